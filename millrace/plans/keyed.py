@@ -283,20 +283,21 @@ def running_top3(spark, sf_dir):
 
 # ------------------------------------------------------------------------------- alerts
 
-NO_DROP_SQL = """
-    WITH d AS (SELECT *, coalesce(value < lag(value) OVER w, false) AS dropped FROM events
+def no_drop_sql(source: str, horizon: str) -> str:
+    return f"""
+    WITH d AS (SELECT *, coalesce(value < lag(value) OVER w, false) AS dropped FROM {source}
                WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     s AS (SELECT *, sum(CASE WHEN dropped THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS stretch FROM d),
     g AS (SELECT user_id, stretch, min(ts) FILTER (NOT dropped) AS since, min(ts) AS opened FROM s GROUP BY 1, 2),
     c AS (SELECT *, lead(opened) OVER (PARTITION BY user_id ORDER BY stretch) AS closing,
-                 (SELECT max(ts) FROM events) AS horizon FROM g)
+                 ({horizon}) AS horizon FROM g)
     SELECT user_id, since, nth, since + nth * INTERVAL 12 HOUR AS alert_time
     FROM (SELECT *, unnest(generate_series(1, 100)) AS nth FROM c WHERE since IS NOT NULL)
     WHERE CASE WHEN closing IS NULL THEN since + nth * INTERVAL 12 HOUR <= horizon
                ELSE since + nth * INTERVAL 12 HOUR < closing END"""
 
 
-@query("no_drop_alert", NO_DROP_SQL)
+@query("no_drop_alert", no_drop_sql("events", "SELECT max(ts) FROM events"))
 def no_drop_alert(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
     return alerts.no_drop_alert(rows, ["user_id"], "ts", "event_id", "value", "12 hours")
@@ -338,11 +339,11 @@ def login_fail_pairs(spark, sf_dir):
     return pairs.drop("event_type")
 
 
-def burst_sql(hours: int) -> str:
+def burst_sql(hours: int, source: str = "events") -> str:
     return f"""
     WITH RECURSIVE f AS (SELECT user_id, ts, event_id, event_type,
         sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run
-      FROM events),
+      FROM {source}),
     e AS (SELECT user_id, run, ts FROM f WHERE event_type = 'error'),
     ok AS (SELECT user_id, run, ts FROM f WHERE event_type <> 'error'),
     b AS (SELECT user_id, run, min(ts) AS first_time FROM e GROUP BY 1, 2

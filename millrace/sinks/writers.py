@@ -71,7 +71,8 @@ class UpsertTable:
         self.spark, self.path, self.keys, self.order = spark, path.rstrip("/"), keys, order
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, self.keys, self.order)
+        # Without an order a key occurs once per batch, as in an updating result.
+        newest = latest_per_key(batch, self.keys, self.order) if self.order else batch
         newest.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self) -> DataFrame:
