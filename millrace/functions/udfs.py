@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pandas.core.groupby import SeriesGroupBy
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -38,8 +39,8 @@ def register(spark: SparkSession) -> None:
 def udaf_avg(df: DataFrame, keys: list[str], value: str, name: str = "average") -> DataFrame:
     """Average written as an accumulator of (sum, count)."""
 
-    def accumulate(values: pd.Series) -> dict[str, float]:
-        return {"sum": values.sum(), "count": values.count()}
+    def accumulate(groups: SeriesGroupBy) -> dict[str, pd.Series]:
+        return {"sum": groups.sum(), "count": groups.count()}
 
     fields = {"sum": "sum", "count": "sum"}
     return user_aggregate(df, keys, value, fields, accumulate, F.col("sum") / F.col("count"), name)

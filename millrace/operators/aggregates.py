@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pandas.core.groupby import SeriesGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,14 +81,15 @@ def running_distinct(df: DataFrame, value: str, arrival: str, name: str = "uv")
     """How many different values have been seen, after each row.
 
     The first arrival of each value comes from a partial aggregate, so a value
-    with very many rows costs one row per task; the marks are then counted in
-    arrival order.
+    with very many rows costs one row per task.  The marks go into the scan as
+    extra rows right before the row they belong to; no join is needed.
     """
     firsts = df.groupBy(value).agg(F.min(arrival).alias(arrival)).where(F.col(value).isNotNull())
-    marks = firsts.select(arrival, F.lit(1).cast("bigint").alias("_new"))
-    marked = df.join(marks, arrival, "left")
-    counted = sequence(marked, [], [arrival]).running(**{name: seq.total(F.coalesce("_new", F.lit(0)))})
-    return counted.df.drop("_new")
+    marks = firsts.select(arrival, F.lit(1).cast("bigint").alias("_new"), F.lit(0).alias("_row"))
+    rows = df.withColumns({"_new": F.lit(0).cast("bigint"), "_row": F.lit(1)})
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    counted = sequence(both, [], [arrival, "_row"]).running(**{name: seq.total("_new")}).df
+    return counted.where("_row = 1").drop("_new", "_row")
 
 
 def distinct_values(df: DataFrame, keys: list[str], arrival: str) -> DataFrame:
@@ -169,28 +171,26 @@ def user_aggregate(
     keys: list[str],
     value: str,
     fields: dict[str, str],
-    accumulate: Callable[[pd.Series], dict[str, float]],
+    accumulate: Callable[[SeriesGroupBy], dict[str, pd.Series]],
     finish: Column,
     name: str,
 ) -> DataFrame:
     """A Python accumulator that scales: accumulate per Arrow batch, merge on the JVM.
 
-    ``accumulate`` folds the values of one key in one batch into ``fields``;
-    each field names the built-in aggregate that merges it (sum, min, max).
-    A group is never handed to Python as a whole, so it may be of any size.
+    ``accumulate`` gets a batch's values grouped by key and folds each group
+    into ``fields``, one pandas series per field; each field names the built-in
+    aggregate that merges it (sum, min, max).  A group is never handed to
+    Python as a whole, so it may be of any size.
     """
     key_types = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
     schema = ", ".join([*key_types, *[f"`{f}` double" for f in fields]])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            rows = []
-            for key, group in batch.groupby(keys, dropna=False, sort=False)[value]:
-                part = accumulate(group)
-                rows.append([*key, *[float(part[f]) for f in fields]])
-            yield pd.DataFrame(rows, columns=[*keys, *fields])
+            if len(batch):
+                parts = accumulate(batch.groupby(keys, dropna=False, sort=False)[value])
+                folded = pd.DataFrame({f: parts[f].astype("float64") for f in fields}).reset_index()
+                yield folded[[*keys, *fields]]
 
     merged = df.select(*keys, value).mapInPandas(partial, schema).groupBy(*keys).agg(
         *[getattr(F, how)(field).alias(field) for field, how in fields.items()]

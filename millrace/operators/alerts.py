@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.durations import micros
 from millrace.operators import sequence as seq
-from millrace.operators.sequence import sequence, ticks
+from millrace.operators.sequence import rows_per_slice, sequence, ticks
 from millrace.operators.watermark import span
-from millrace.session import shared_dir
+from millrace.session import stored
 
 
 def no_drop_alert(df: DataFrame, keys: list[str], time: str, arrival: str, value: str, wait: str) -> DataFrame:
@@ -93,8 +97,9 @@ def login_fail_burst(
     Bursts of a key do not overlap: the next one starts at the first failure
     after the previous span.  Most bursts stand alone and are found by one
     group-by.  Only where failures chain on for longer than the span does the
-    start of a burst depend on the one before; those chains are resolved by
-    following "next start" links with doubling strides.
+    start of a burst depend on the one before.  Such a chain is walked in one
+    task if it is small, and resolved by following "next start" links with
+    doubling strides if it is not.
     """
     width = micros(within)
     rows = sequence(df.withColumns({"_fails": fails, "_at": ticks(df, time)}), keys, [time, arrival])
@@ -106,7 +111,8 @@ def login_fail_burst(
     )
     rows = rows.running(_chain=seq.tally(opens))
     rows = rows.reversed().running(_cleared=seq.latest(F.when(~F.col("_fails"), F.col("_at"))).before())
-    failures = rows.df.where("_fails").select(*keys, "_chain", "_cleared", "_at", time)
+    # Four jobs read the failures; the scans behind them run once.
+    failures = stored(rows.df.where("_fails").select(*keys, "_chain", "_cleared", "_at", time), "failures")
 
     place = [*keys, "_chain"]
     chains = failures.groupBy(*place).agg(
@@ -117,23 +123,47 @@ def login_fail_burst(
         F.max(time).alias("last_time"),
         F.max("_cleared").alias("_cleared"),
     )
-    single = chains.where(F.col("_to") - F.col("_from") <= width)
-    long = chains.where(F.col("_to") - F.col("_from") > width)
-    found = _split_chains(failures, long, place, time, width)
-    bursts = single.drop("_to").unionByName(found)
+    limit = rows_per_slice(df.sparkSession)
+    is_long = F.col("_to") - F.col("_from") > width
+    longest, spans = (
+        chains.where(is_long).agg(F.max("n"), F.max((F.col("_to") - F.col("_from")) / width)).first()
+    )
+    bursts = chains.where(~is_long).drop("_to")
+    if longest:
+        # A chain that fits one task is walked there; only larger ones need the distributed form.
+        short = failures.join(chains.where(is_long & (F.col("n") <= limit)).select(*place), place, "left_semi")
+        bursts = bursts.unionByName(short.groupBy(*place).applyInPandas(_walk(place, time, width), bursts.schema))
+    if longest and longest > limit:
+        huge = chains.where(is_long & (F.col("n") > limit))
+        bursts = bursts.unionByName(_split_chains(failures, huge, spans, place, time, width))
     kept = F.col("_cleared").isNull() | (F.col("_cleared") > F.col("_from") + width)
     return bursts.where(kept & (F.col("n") >= at_least)).select(*keys, "first_time", "last_time", "n")
 
 
-def _split_chains(failures: DataFrame, long: DataFrame, place: list[str], time: str, width: int) -> DataFrame:
-    """Bursts of the chains that are longer than one span."""
-    spark = failures.sparkSession
+def _walk(place: list[str], time: str, width: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Cut one chain of bounded size into bursts."""
+
+    def cut(chain: pd.DataFrame) -> pd.DataFrame:
+        chain = chain.sort_values("_at")
+        ats, begins = chain["_at"].to_numpy(), [0]
+        while (after := int(np.searchsorted(ats, ats[begins[-1]] + width, side="right"))) < len(ats):
+            begins.append(after)
+        ends = np.array([*begins[1:], len(ats)])
+        bursts = chain.iloc[begins][[*place, "_cleared"]].copy()
+        bursts["n"], bursts["_from"] = ends - begins, ats[begins]
+        bursts["first_time"] = chain[time].to_numpy()[begins]
+        bursts["last_time"] = chain[time].to_numpy()[ends - 1]
+        return bursts[[*place, "n", "_from", "first_time", "last_time", "_cleared"]]
+
+    return cut
+
+
+def _split_chains(
+    failures: DataFrame, long: DataFrame, spans: float, place: list[str], time: str, width: int
+) -> DataFrame:
+    """Bursts of chains of any size, at most ``spans`` spans long."""
     out = [*place, "n", "_from", "first_time", "last_time", "_cleared"]
     members = failures.join(long.select(*place), place, "left_semi")
-    longest = long.agg(F.max((F.col("_to") - F.col("_from")) / width)).first()[0]
-    if longest is None:
-        return long.select(*out)
-    shared_dir(spark)
     # Failures at the same instant act alike, so links join instants.
     instants = members.groupBy(*place, "_at").agg(F.count(F.lit(1)).alias("_rows"))
     probes = instants.select(*place, (F.col("_at") + width).alias("_spot"), F.col("_at").alias("_start"))
@@ -145,23 +175,20 @@ def _split_chains(failures: DataFrame, long: DataFrame, place: list[str], time:
     walk = sequence(both, place, ["_spot", "_is_probe"], descending=True)
     links = (
         walk.running(_next=seq.latest("_found"))
-        .df.where("_is_probe = 1")
+        .df.where("_is_probe = 1 and _next is not null")
         .select(*place, F.col("_start").alias("_at"), "_next")
-        .checkpoint()
     )
+    links = stored(links, "burst-links")
     starts = long.select(*place, F.col("_from").alias("_at"))
     # A chain of k spans has at most k + 1 starts; each round doubles the stride.
-    rounds = int(longest + 1).bit_length()
-    for _ in range(rounds):
+    rounds = int(spans + 1).bit_length()
+    for nth in range(1, rounds + 1):
         reached = starts.join(links, [*place, "_at"]).select(*place, F.col("_next").alias("_at"))
-        starts = starts.unionByName(reached.where("_at is not null")).distinct().checkpoint()
-        far = links.select(*place, F.col("_at").alias("_next"), F.col("_next").alias("_far"))
-        links = (
-            links.where("_next is not null")
-            .join(far, [*place, "_next"])
-            .select(*place, "_at", F.col("_far").alias("_next"))
-            .checkpoint()
-        )
+        starts = stored(starts.unionByName(reached).distinct(), "burst-starts")
+        if nth < rounds:
+            far = links.select(*place, F.col("_at").alias("_next"), F.col("_next").alias("_far"))
+            strides = links.join(far, [*place, "_next"]).select(*place, "_at", F.col("_far").alias("_next"))
+            links = stored(strides, "burst-links")
     marks = starts.withColumn("_starts", F.lit(True))
     owned = members.join(marks, [*place, "_at"], "left")
     owner = sequence(owned, place, ["_at"]).running(
