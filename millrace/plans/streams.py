@@ -14,7 +14,8 @@ from millrace.functions.durations import micros
 from millrace.functions.udfs import average
 from millrace.operators import aggregates as agg
 from millrace.operators import joins, windows
-from millrace.operators.project import tagged_union
+from millrace.operators.project import tagged_union, union_all
+from millrace.plans import analytics
 from millrace.plans.keyed import (
     CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item, no_drop_sql,
 )
@@ -378,12 +379,14 @@ def stream_login_fail_pairs(spark, sf_dir):
     SELECT user_id, event_type, event_id, nth, false AS is_alert FROM c WHERE nth < 2
     UNION ALL SELECT user_id, event_type, event_id, nth, true FROM c WHERE nth = 2""")
 def stream_blacklist_filter(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).select(
-        "event_id", "user_id", "event_type", F.to_date(F.expr("ts + interval 8 hours")).alias("local_day")
+    rows = event_stream(spark, sf_dir)
+    rows = rows.select(
+        "event_id", "user_id", "event_type", F.to_date(F.expr("ts + interval 8 hours")).alias("local_day"),
+        F.unix_micros(instant(rows, "ts")).alias("at"),
     )
-    fold = folds.Blacklist("local_day", "event_id", 2)
+    fold = folds.Blacklist("local_day", "event_id", "at", 2)
     judged = run_to_files(keyed.fold_arrivals(rows, ["user_id", "event_type"], "event_id", fold), "blacklist")
-    return judged.withColumnRenamed("arrival", "event_id")
+    return judged.withColumnRenamed("arrival", "event_id").drop("carried")
 
 
 @query("stream_match_join", """
@@ -484,6 +487,135 @@ def stream_interval_join(spark, sf_dir):
     return times(run_to_files(paired, "interval"), "o_orderdate", "l_shipdate")
 
 
+def joined_horizon(delay: str) -> str:
+    return (f"SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL {delay}")
+
+
+@query("stream_reconcile_outer", f"""
+    SELECT * FROM ({ORACLES['reconcile_outer']}) WHERE kind = 'matched'
+      OR (kind = 'pay_no_receipt' AND o_orderdate + INTERVAL 10 DAY < ({joined_horizon('1 DAY')}))
+      OR (kind = 'receipt_no_pay' AND l_shipdate + INTERVAL 5 DAY < ({joined_horizon('1 DAY')}))""")
+def stream_reconcile_outer(spark, sf_dir):
+    orders, lines = timed_sides(spark, sf_dir, "1 day")
+    both = joins.reconcile_outer(
+        orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days", ["order_key"],
+        kinds=("matched", "pay_no_receipt", "receipt_no_pay"), bucketed=False,
+    )
+    kept = times(run_to_files(both, "reconcile"), "o_orderdate", "l_shipdate")
+    return kept.withColumn("l_linenumber", F.coalesce("l_linenumber", F.lit(-1)))
+
+
+@query("stream_left_join_streams", f"""
+    SELECT o_orderkey AS order_key, o_orderdate, l_shipdate AS r_l_shipdate FROM orders
+    LEFT JOIN lineitem ON o_orderkey = l_orderkey
+      AND l_shipdate BETWEEN o_orderdate - INTERVAL 10 DAY AND o_orderdate + INTERVAL 10 DAY
+    WHERE l_orderkey IS NOT NULL OR o_orderdate + INTERVAL 10 DAY < ({joined_horizon('1 DAY')})""")
+def stream_left_join_streams(spark, sf_dir):
+    orders, lines = timed_sides(spark, sf_dir, "1 day")
+    kept = joins.left_join_streams(orders, lines, "order_key", "o_orderdate", "l_shipdate", "10 days")
+    kept = times(run_to_files(kept, "left"), "o_orderdate", "r_l_shipdate")
+    return kept.select("order_key", "o_orderdate", "r_l_shipdate")
+
+
+# --------------------------------------------------------------------- worked analytics
+
+@query("stream_app_word_count", ORACLES["app_word_count"])
+def stream_app_word_count(spark, sf_dir):
+    path = f"{sf_dir}/documents.parquet"
+    texts = table_stream(spark, path, spark.read.parquet(path).schema)
+    return run_to_upsert(analytics.word_count(texts, "text"), ["word"], "words")
+
+
+@query("stream_app_hourly_pv", ORACLES["app_hourly_pv"])
+def stream_app_hourly_pv(spark, sf_dir):
+    hours = analytics.hourly_pv(timed_stream(spark, sf_dir, "1 hour"), F.col("event_type") == "view", "ts")
+    return times(run_to_upsert(hours, ["window_start"], "pv"), "window_start")
+
+
+@query("stream_app_channel_stats", "SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2")
+def stream_app_channel_stats(spark, sf_dir):
+    path = f"{sf_dir}/documents.parquet"
+    texts = table_stream(spark, path, spark.read.parquet(path).schema)
+    return run_to_upsert(agg.composite_key_count(texts, ["source", "lang"]), ["source", "lang"], "channels")
+
+
+@query("stream_app_hot_urls", f"""
+    WITH c AS (SELECT url, s + INTERVAL 1 HOUR AS window_end, count(*) AS cnt FROM (
+        SELECT '/item/' || json_extract_string(props, '$.k') AS url, {sliding('1 HOUR', '10 MINUTE', '50 MINUTE')} AS s
+        FROM events WHERE event_type <> 'click') GROUP BY 1, 2)
+    SELECT window_end, url, cnt, row_num FROM (
+      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c) WHERE row_num <= 5""")
+def stream_app_hot_urls(spark, sf_dir):
+    # Log lines; the watermark covers the disorder and the minutes a window may still change.
+    log = event_stream(spark, sf_dir).select(
+        F.concat_ws(
+            " ", F.lit("10.0.0.1"), F.col("user_id").cast("string"), F.lit("-"),
+            F.date_format("ts", analytics.LOG_TIME), F.lit("+0000"),
+            F.when(F.col("event_type") == "click", "POST").otherwise("GET"),
+            F.concat(F.lit("/item/"), F.get_json_object("props", "$.k")),
+        ).alias("value")
+    )
+    requests = readers.decode_web_log(log, time_format=analytics.LOG_TIME).select(
+        "url", F.col("time").cast("timestamp_ntz").alias("time")
+    )
+    timed = with_event_time(requests, "time", "25 minutes")
+    counts = timed.groupBy("url", F.window("time", "1 hour", "10 minutes")["end"].alias("window_end")).agg(
+        F.count(F.lit(1)).alias("cnt")
+    )
+    ranked = batches.rank_updates(counts, ["url"], "window_end", ["cnt", "url"], 5)
+    return times(ranked, "window_end").select("window_end", "url", "cnt", "row_num")
+
+
+@query("stream_app_ad_clicks", f"""
+    WITH c AS (SELECT event_type, ts, row_number() OVER (
+        PARTITION BY user_id, event_type, CAST(ts + INTERVAL 8 HOUR AS DATE) ORDER BY event_id) AS nth FROM events)
+    SELECT event_type, s AS window_start, count(*) AS n FROM (
+      SELECT *, {sliding('1 HOUR', '10 MINUTE', '50 MINUTE')} AS s FROM c WHERE nth < 2) GROUP BY 1, 2""")
+def stream_app_ad_clicks(spark, sf_dir):
+    # The event type stands for the advertisement and for the province: both lie on the click row.
+    rows = event_stream(spark, sf_dir)
+    rows = rows.select(
+        "event_id", "user_id", "event_type", F.to_date(F.expr("ts + interval 8 hours")).alias("local_day"),
+        F.unix_micros(instant(rows, "ts")).alias("at"),
+    )
+    fold = folds.Blacklist("local_day", "event_id", "at", 2)
+    judged = keyed.fold_arrivals(rows, ["user_id", "event_type"], "event_id", fold)
+    passed = judged.where("not is_alert").withColumn("ts", F.timestamp_micros("carried"))
+    # The judged clicks are a stream of their own, so that alerts and counts can both read them.
+    base = scratch(spark, "clicks")
+    run_to_files(passed.select("event_type", "ts"), "clicks", path=base)
+    clicks = spark.readStream.schema("event_type string, ts timestamp").parquet(f"{base}/data")
+    counted = windows.slide(
+        clicks.withWatermark("ts", "1 hour"), ["event_type"], "ts", "1 hour", "10 minutes", n=F.count(F.lit(1))
+    )
+    newest = run_to_upsert(counted, ["event_type", "window_start", "window_end"], "ads")
+    return times(newest, "window_start").select("event_type", "window_start", "n")
+
+
+@query("stream_app_login_risk", f"""
+    SELECT user_id, 'pair' AS detector, previous_time AS since, ts AS until FROM ({ORACLES['stream_login_fail_pairs']})
+    UNION ALL SELECT user_id, 'pattern', first_time, ts FROM ({ORACLES['stream_pattern_consecutive']})
+    UNION ALL SELECT user_id, 'burst', first_time, last_time FROM ({ORACLES['stream_login_fail_burst']})""")
+def stream_app_login_risk(spark, sf_dir):
+    def shown(rows, detector, since, until):
+        return rows.select("user_id", F.lit(detector).alias("detector"), F.col(since).alias("since"), F.col(until).alias("until"))
+
+    return union_all(
+        shown(stream_login_fail_pairs(spark, sf_dir), "pair", "previous_time", "ts"),
+        shown(stream_pattern_consecutive(spark, sf_dir), "pattern", "first_time", "ts"),
+        shown(stream_login_fail_burst(spark, sf_dir), "burst", "first_time", "last_time"),
+    )
+
+
+@query("stream_eager_trigger", f"""
+    SELECT user_id, {bucket('1 DAY')} AS window_start, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_eager_trigger(spark, sf_dir):
+    # Update mode gives a window out again whenever it changed; the table keeps the newest result.
+    rows = timed_stream(spark, sf_dir, "1 hour")
+    counted = windows.tumble(rows, ["user_id"], "ts", "1 day", n=F.count(F.lit(1))).drop("window_end")
+    return times(run_to_upsert(counted, ["user_id", "window_start"], "eager"), "window_start")
+
+
 # -------------------------------------------------------------------------------- timers
 
 @query("periodic_timer", "SELECT DISTINCT user_id FROM events")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.udfs import average
 from millrace.operators import joins, topn, watermark, windows
 from millrace.operators import sequence as seq
 from millrace.plans import analytics
@@ -60,6 +61,17 @@ def tumble_et(spark, sf_dir):
     )
 
 
+@query("incremental_window_agg", SHIFTED_CTE + f"""
+    SELECT user_id, {bucket('1 DAY', 'et')} AS window_start, {bucket('1 DAY', 'et')} + INTERVAL 1 DAY AS window_end,
+           count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 8) AS average FROM e GROUP BY 1, 2, 3""")
+def incremental_window_agg(spark, sf_dir):
+    # Accumulators are merged before and after the shuffle; rows are never kept per window.
+    return windows.tumble(
+        shifted_events(spark, sf_dir), ["user_id"], "et", "1 day", n=F.count(F.lit(1)),
+        total=F.round(F.sum("value"), 4), average=F.round(average("value"), 8),
+    )
+
+
 @query("slide_pt", f"""
     SELECT user_id, s AS window_start, s + INTERVAL 5 HOUR AS window_end, round(sum(value), 4) AS total FROM (
       SELECT *, {sliding('5 HOUR', '2 HOUR', '4 HOUR')} AS s FROM events)

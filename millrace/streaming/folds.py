@@ -195,13 +195,17 @@ class FailPairs(Fold):
 
 @dataclass(frozen=True)
 class Blacklist(Fold):
-    """Pass a day's rows below the threshold; one alert at the threshold."""
+    """Pass a day's rows below the threshold; one alert at the threshold.
+
+    ``carry`` names a bigint column of the row that the output keeps (a time).
+    """
 
     day: str
     arrival: str
+    carry: str
     threshold: int
     state: str = field(default="day date, n bigint", init=False)
-    out: str = field(default="arrival bigint, is_alert boolean, nth bigint", init=False)
+    out: str = field(default="arrival bigint, carried bigint, is_alert boolean, nth bigint", init=False)
 
     def start(self):
         return (None, 0)
@@ -210,8 +214,9 @@ class Blacklist(Fold):
         day = row[self.day]
         n = state[1] + 1 if state[0] == day else 1
         passes, warns = n < self.threshold or n == 1, n == max(self.threshold, 2)
-        shown = [(row[self.arrival], False, n)] if passes else []
-        return (day, n), [*shown, *([(row[self.arrival], True, n)] if warns else [])]
+        place = (row[self.arrival], row[self.carry])
+        shown = [(*place, False, n)] if passes else []
+        return (day, n), [*shown, *([(*place, True, n)] if warns else [])]
 
 
 @dataclass(frozen=True)
