@@ -60,7 +60,7 @@ def state_settings(spark: SparkSession) -> Iterator[None]:
     old = {name: spark.conf.get(name, None) for name in (PROVIDER, PARTITIONS)}
     spark.conf.set(PROVIDER, ROCKSDB)
     context = spark.sparkContext
-    if context.master.startswith("local") and old[PARTITIONS] == "200":
+    if context.master.startswith("local") and old[PARTITIONS] in (None, "200"):
         spark.conf.set(PARTITIONS, context.defaultParallelism)
     try:
         yield
