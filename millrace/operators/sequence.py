@@ -6,11 +6,12 @@ is small and hopeless once one key owns a third of the table.  ``sequence``
 therefore measures the keys first:
 
 * no key above the slice limit: ordinary windows, one shuffle on the key;
-* otherwise the rows of the large keys are cut along the order axis into
-  slices that fit one task.  Each slice is summarised with a normal aggregate,
-  the summaries (one row per slice) are accumulated, and the accumulated value
-  is put in front of the next slice as one extra *seam* row.  The same window
-  expression then runs per (key, slice) and the seam rows are dropped.
+* otherwise the other keys still take that way, and the rows of the large keys
+  are cut along the order axis into slices that fit one task.  Each slice is
+  summarised with a normal aggregate, the summaries (one row per slice) are
+  accumulated, and the accumulated value is put in front of the next slice as
+  one extra *seam* row.  The same window expression then runs per (key, slice)
+  and the seam rows are dropped.
 
 With no key at all (a running total over a whole table) slices are always
 used, so a table is never ordered inside a single partition.
@@ -26,6 +27,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 SLICE = "_slice"
 DATA = "_is_data"
 SLICE_ROWS_CONF = "millrace.rowsPerSlice"
@@ -125,33 +128,19 @@ def previous(value: Column | str) -> Running:
 
 
 @dataclass(frozen=True)
-class Sequence:
-    """Rows of each key in a fixed order; see the module text."""
+class Part:
+    """Keys that are handled alike: whole, or cut into slices."""
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
     descending: bool
     sliced: bool
+    scanned: bool = False
 
-    @property
-    def df(self) -> DataFrame:
-        return self.rows.drop(SLICE)
-
-    def mapped(self, change: Callable[[DataFrame], DataFrame]) -> Sequence:
-        """Apply a row-wise change (added columns, a filter) and keep the slices."""
-        return replace(self, rows=change(self.rows))
-
-    def reversed(self) -> Sequence:
-        """The same slices walked from the newest row to the oldest."""
-        return replace(self, descending=not self.descending)
-
-    def running(self, peers: bool = False, **columns: Running) -> Sequence:
-        """Add running columns over all earlier rows and the current one.
-
-        With ``peers`` rows of equal order value see one another (RANGE frame).
-        """
-        fed = self.rows.select("*", *[c.value.alias(_fed(n)) for n, c in columns.items()])
+    def running(self, peers: bool, columns: dict[str, Running]) -> Part:
+        part = self._settled()
+        fed = part.rows.select("*", *[c.value.alias(_fed(n)) for n, c in columns.items()])
         if self.sliced:
             fed = fed.withColumn(DATA, F.lit(1))
             fed = fed.unionByName(self._seams(fed, columns), allowMissingColumns=True)
@@ -162,16 +151,10 @@ class Sequence:
         for name, item in columns.items():
             value = item.merge(_fed(name)).over(upto if item.with_current else ahead)
             added[name] = value["v"] if item.boxed else value
-        out = fed.withColumns(added).drop(*[_fed(n) for n in columns])
-        return self._data_only(out)
+        return self._data_only(fed.withColumns(added).drop(*[_fed(n) for n in columns]))
 
-    def bounded(self, preceding: int, **columns: Callable[[WindowSpec], Column]) -> Sequence:
-        """Add columns that look back at most ``preceding`` rows.
-
-        Each function gets the ordered window and returns a window expression,
-        such as ``lambda w: F.sum("v").over(w.rowsBetween(-2, 0))``.
-        """
-        rows = self.rows
+    def bounded(self, preceding: int, columns: dict[str, Callable[[WindowSpec], Column]]) -> Part:
+        rows = self._settled().rows
         if self.sliced:
             rows = rows.withColumn(DATA, F.lit(1))
             rows = rows.unionByName(self._halo(rows, preceding))
@@ -180,6 +163,12 @@ class Sequence:
 
     # -- helpers
 
+    def _settled(self) -> Part:
+        """A sliced scan reads its input twice, so the result of an earlier scan is stored first."""
+        if self.sliced and self.scanned:
+            return replace(self, rows=stored(self.rows, "slices"), scanned=False)
+        return self
+
     def _direction(self, name: str) -> Column:
         return F.col(name).desc() if self.descending else F.col(name).asc()
 
@@ -191,10 +180,10 @@ class Sequence:
         """The slices of one key in order, one summary row each."""
         return Window.partitionBy(*self.keys).orderBy(self._direction(SLICE))
 
-    def _data_only(self, rows: DataFrame) -> Sequence:
+    def _data_only(self, rows: DataFrame) -> Part:
         if self.sliced:
             rows = rows.where(F.col(DATA) == 1).drop(DATA)
-        return replace(self, rows=rows)
+        return replace(self, rows=rows, scanned=True)
 
     def _seams(self, fed: DataFrame, columns: dict[str, Running]) -> DataFrame:
         """One row per (key, slice): everything folded from the slices before it."""
@@ -235,6 +224,48 @@ class Sequence:
         )
 
 
+@dataclass(frozen=True)
+class Sequence:
+    """Rows of each key in a fixed order; see the module text."""
+
+    parts: tuple[Part, ...]
+
+    @property
+    def df(self) -> DataFrame:
+        frames = [p.rows.drop(SLICE) for p in self.parts]
+        return reduce(DataFrame.unionByName, frames)
+
+    @property
+    def sliced(self) -> bool:
+        return any(p.sliced for p in self.parts)
+
+    def mapped(self, change: Callable[[DataFrame], DataFrame]) -> Sequence:
+        """Apply a row-wise change (added columns, a filter) and keep the slices."""
+        return self._each(lambda p: replace(p, rows=change(p.rows)))
+
+    def reversed(self) -> Sequence:
+        """The same slices walked from the newest row to the oldest."""
+        return self._each(lambda p: replace(p, descending=not p.descending))
+
+    def running(self, peers: bool = False, **columns: Running) -> Sequence:
+        """Add running columns over all earlier rows and the current one.
+
+        With ``peers`` rows of equal order value see one another (RANGE frame).
+        """
+        return self._each(lambda p: p.running(peers, columns))
+
+    def bounded(self, preceding: int, **columns: Callable[[WindowSpec], Column]) -> Sequence:
+        """Add columns that look back at most ``preceding`` rows.
+
+        Each function gets the ordered window and returns a window expression,
+        such as ``lambda w: F.sum("v").over(w.rowsBetween(-2, 0))``.
+        """
+        return self._each(lambda p: p.bounded(preceding, columns))
+
+    def _each(self, step: Callable[[Part], Part]) -> Sequence:
+        return Sequence(tuple(step(p) for p in self.parts))
+
+
 def _fed(name: str) -> str:
     return f"_fed_{name}"
 
@@ -252,9 +283,13 @@ def sequence(
     Its first column, an integer or a time, is the axis that slices are cut on.
     """
     limit = limit or rows_per_slice(df.sparkSession)
-    made = _slice_whole(df, order, limit) if not keys else _slice_hot_keys(df, keys, order, limit)
-    rows, sliced = made
-    return Sequence(rows, tuple(keys), tuple(order), descending, sliced)
+    whole, cut = (None, _slice_whole(df, order, limit)) if not keys else _split_keys(df, keys, order, limit)
+    parts = [
+        Part(rows, tuple(keys), tuple(order), descending, sliced)
+        for rows, sliced in ((whole, False), (cut, True))
+        if rows is not None
+    ]
+    return Sequence(tuple(parts))
 
 
 def _step(rows: Column, span: Column, limit: int, factor: int) -> Column:
@@ -263,11 +298,11 @@ def _step(rows: Column, span: Column, limit: int, factor: int) -> Column:
     return F.greatest(F.ceil(span / pieces), F.lit(1)).cast("bigint")
 
 
-def _slice_whole(df: DataFrame, order: list[str], limit: int) -> tuple[DataFrame, bool]:
+def _slice_whole(df: DataFrame, order: list[str], limit: int) -> DataFrame:
     axis = ticks(df, order[0])
     n, lo, hi = df.agg(F.count(F.lit(1)), F.min(axis), F.max(axis)).first()
     if not n:
-        return df.withColumn(SLICE, F.lit(0).cast("bigint")), True
+        return df.withColumn(SLICE, F.lit(0).cast("bigint"))
     spread = max(1, df.sparkSession.sparkContext.defaultParallelism)
     limit = max(1, min(limit, -(-n // spread)))
     factor = 4
@@ -280,12 +315,13 @@ def _slice_whole(df: DataFrame, order: list[str], limit: int) -> tuple[DataFrame
         if fullest <= limit:
             break
         factor *= 8
-    return df.withColumn(SLICE, F.coalesce(cut, F.lit(-1))), True
+    return df.withColumn(SLICE, F.coalesce(cut, F.lit(-1)))
 
 
-def _slice_hot_keys(
+def _split_keys(
     df: DataFrame, keys: list[str], order: list[str], limit: int
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys as they are, and those of large keys with a slice number."""
     axis = ticks(df, order[0])
     sizes = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi")
@@ -293,7 +329,9 @@ def _slice_hot_keys(
     hot = sizes.where(F.col("_n") > limit)
     n_hot = hot.count()
     if not n_hot:
-        return df, False
+        return df, None
+    # A few rows, used by every later step: kept, so that the table is counted no more than twice.
+    hot = stored(hot, "hot-keys")
     factor = 4
     while True:
         grid = hot.select(
@@ -316,5 +354,5 @@ def _slice_hot_keys(
             break
         factor *= 8
     helpers = ["_lo", "_step", *[f"_k{i}" for i in range(len(keys))]]
-    rows = df.join(grid, same_key, "left").withColumn(SLICE, F.coalesce(cut, F.lit(0)))
-    return rows.drop(*helpers), True
+    large = df.join(grid, same_key).withColumn(SLICE, F.coalesce(cut, F.lit(-1))).drop(*helpers)
+    return df.join(grid, same_key, "left_anti"), large
