@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.durations import micros
 from millrace.operators import sequence as seq
-from millrace.operators.sequence import rows_per_slice, sequence, ticks
+from millrace.operators.sequence import rows_per_slice, sequence, ticks, ticks_of
 from millrace.operators.watermark import span
 from millrace.session import stored
 
@@ -71,18 +71,11 @@ def login_fail_pairs(
     """Failures whose previous row of the key is also a failure at most ``within`` apart."""
     rows = sequence(df.withColumn("_fails", fails), keys, order)
     rows = rows.running(_before=seq.previous(F.struct(F.col("_fails").alias("fails"), F.col(time).alias("t"))))
-    gap = F.abs(ticks(df, time) - _ticks_of(df, time, "_before.t"))
+    gap = F.abs(ticks(df, time) - ticks_of(F.col("_before.t"), df.schema[time].dataType.typeName()))
     pairs = rows.df.where(F.col("_fails") & F.col("_before.fails") & (gap <= micros(within)))
     return pairs.withColumn("previous_time", F.col("_before.t")).drop("_fails", "_before")
 
 
-def _ticks_of(df: DataFrame, like: str, column: str) -> Column:
-    kind = df.schema[like].dataType.typeName()
-    if kind == "timestamp_ntz":
-        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")
-    return F.unix_micros(F.col(column))
-
-
 def login_fail_burst(
     df: DataFrame,
     keys: list[str],
@@ -215,30 +208,28 @@ def order_pay_monitor(
     is_pay: Column,
     within: str,
 ) -> DataFrame:
-    """State of an order that is created once and paid at most once.
+    """Whether orders are paid in time, in event-time order.
 
     ``paid``: pay follows the create within the span, both ends included;
-    ``no_pay``: the span ended first; ``pay_without_create``: a pay that
-    found no live create (none, not yet, or timed out).
+    ``no_pay``: the span of a create ended first; ``pay_without_create``: a pay
+    that found no live create (none, already paid, or timed out).  A further
+    create before the end of the span takes the place of the earlier one.
     """
-    place = F.struct(F.col(time).alias("t"), F.col(arrival).alias("a"))
-    orders = df.where(is_create | is_pay).groupBy(key).agg(
-        F.min(F.when(is_create, place)).alias("_c"), F.min(F.when(is_pay, place)).alias("_p")
+    steps = df.where(is_create | is_pay).select(key, time, arrival, is_create.alias("_create"))
+    place = F.struct(F.col("_create").alias("create"), F.col(time).alias("t"))
+    rows = sequence(steps, [key], [time, arrival]).running(_before=seq.previous(place))
+    rows = rows.reversed().running(_next=seq.previous(time)).df
+    live = F.coalesce(
+        F.col("_before.create") & (F.col(time) <= F.col("_before.t") + span(within)), F.lit(False)
     )
-    paid = (F.col("_p") > F.col("_c")) & (F.col("_p.t") <= F.col("_c.t") + span(within))
-    paid = F.coalesce(paid, F.lit(False))
-    kinds = F.when(paid, F.array(F.lit("paid"))).otherwise(
-        F.array_compact(
-            F.array(
-                F.when(F.col("_c").isNotNull(), "no_pay"),
-                F.when(F.col("_p").isNotNull(), "pay_without_create"),
-            )
-        )
+    ended = F.col("_next").isNull() | (F.col("_next") > F.col(time) + span(within))
+    kind = (
+        F.when(F.col("_create"), F.when(ended, "no_pay"))
+        .when(live, "paid")
+        .otherwise("pay_without_create")
     )
-    kind = F.col("kind")
-    return orders.select(key, "_c", "_p", F.explode(kinds).alias("kind")).select(
-        key,
-        "kind",
-        F.when(kind != "pay_without_create", F.col("_c.t")).alias("create_time"),
-        F.when(kind != "no_pay", F.col("_p.t")).alias("pay_time"),
+    states = rows.withColumn("kind", kind).where("kind is not null")
+    created = F.when(F.col("_create"), F.col(time)).when(F.col("kind") == "paid", F.col("_before.t"))
+    return states.select(
+        key, "kind", created.alias("create_time"), F.when(~F.col("_create"), F.col(time)).alias("pay_time")
     )

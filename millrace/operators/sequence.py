@@ -43,12 +43,17 @@ def rows_per_slice(spark: SparkSession) -> int:
 
 def ticks(df: DataFrame, name: str) -> Column:
     """An order column as a bigint: microseconds for times, itself for integers."""
-    kind = df.schema[name].dataType.typeName()
-    if kind == "timestamp_ntz":
-        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)")
+    return ticks_of(F.col(name), df.schema[name].dataType.typeName())
+
+
+def ticks_of(column: Column, kind: str) -> Column:
     if kind == "timestamp":
-        return F.unix_micros(name)
-    return F.col(name).cast("bigint")
+        return F.unix_micros(column)
+    if kind != "timestamp_ntz":
+        return column.cast("bigint")
+    # From the clock fields, so that the session's time zone plays no part.
+    minutes = (F.unix_date(F.to_date(column)).cast("bigint") * 24 + F.hour(column)) * 60 + F.minute(column)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
 
 
 # ---------------------------------------------------------------- running values

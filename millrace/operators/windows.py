@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.durations import micros
 from millrace.operators import sequence as seq
-from millrace.operators.sequence import sequence, ticks
+from millrace.operators.sequence import sequence, ticks, ticks_of
 
 
 def _flat(df: DataFrame, keys: list[str], window: str = "window") -> DataFrame:
@@ -53,15 +53,34 @@ def slide_panes(
     pane = df.groupBy(*keys, F.window(time, step).alias("_pane")).agg(
         *[_plain(how, column).alias(n) for n, (how, column) in aggregates.items()]
     )
-    # A window that covers the pane ends 0 .. ratio-1 steps after the pane's end.
-    ends = F.explode(F.sequence(F.lit(0), F.lit(ratio - 1)))
-    shift = F.make_dt_interval(secs=F.col("_i") * F.lit(micros(step) / 1e6).cast("decimal(18,6)"))
-    copies = pane.select("*", ends.alias("_i")).withColumn("window_end", F.col("_pane.end") + shift)
-    out = copies.groupBy(*keys, "window_end").agg(
+    # A window that covers the pane ends 0 .. ratio-1 steps after it.  Windows are put into
+    # blocks of consecutive ends, so that each pane is sent to one or two blocks, not to
+    # each of its windows; it is copied per window only where the block is added up.
+    block = 4 * ratio
+    first_end = F.floor(ticks_of(F.col("_pane.end"), _kind(df, time)) / F.lit(micros(step))).cast("bigint")
+    blocks = F.sequence(F.floor(F.col("_end") / block), F.floor((F.col("_end") + ratio - 1) / block))
+    sent = pane.withColumn("_end", first_end).withColumn("_block", F.explode(blocks))
+    sent = sent.repartition(*keys, "_block")
+    low = F.greatest(F.col("_end"), F.col("_block") * block)
+    high = F.least(F.col("_end") + ratio - 1, F.col("_block") * block + block - 1)
+    copies = sent.withColumn("_to", F.explode(F.sequence(low, high)))
+    out = copies.groupBy(*keys, "_block", "_to").agg(
         *[_MERGE[how](n).alias(n) for n, (how, _) in aggregates.items()]
     )
-    start = F.col("window_end") - F.make_dt_interval(secs=F.lit(micros(size) / 1e6).cast("decimal(18,6)"))
-    return out.select(*keys, start.alias("window_start"), "window_end", *aggregates)
+    end = _time_at(F.col("_to") * micros(step), _kind(df, time))
+    start = _time_at(F.col("_to") * micros(step) - micros(size), _kind(df, time))
+    return out.select(*keys, start.alias("window_start"), end.alias("window_end"), *aggregates)
+
+
+def _kind(df: DataFrame, time: str) -> str:
+    return df.schema[time].dataType.typeName()
+
+
+def _time_at(at: Column, kind: str) -> Column:
+    """Microseconds as a time of the given type."""
+    if kind == "timestamp":
+        return F.timestamp_micros(at)
+    return F.timestamp_add("MICROSECOND", at, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def _plain(how: str, column: str) -> Column:

@@ -255,7 +255,7 @@ def over_named_sql(spark, sf_dir):
 
 @query("over_row_number", """
     SELECT day, item, cnt, row_num FROM (
-      SELECT *, row_number() OVER (PARTITION BY day ORDER BY cnt DESC, item) AS row_num FROM (
+      SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY cnt DESC, item) AS INTEGER) AS row_num FROM (
         SELECT date_trunc('day', ts) AS day, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item, count(*) AS cnt
         FROM events GROUP BY 1, 2)) WHERE row_num <= 10""")
 def over_row_number(spark, sf_dir):
@@ -370,15 +370,19 @@ def login_fail_burst(spark, sf_dir):
     return alerts.login_fail_burst(rows, ["user_id"], "ts", "event_id", F.col("event_type") == "error", "6 hours")
 
 
-FIRST_ORDER_SQL = """
-    WITH o AS (SELECT user_id,
-        min(ts) FILTER (event_type = 'signup') AS c, min(ts) FILTER (event_type = 'purchase') AS p
-      FROM events GROUP BY 1),
-    k AS (SELECT *, c IS NOT NULL AND p IS NOT NULL AND p > c AND p <= c + INTERVAL 2 DAY AS paid FROM o)"""
-MONITOR_SQL = FIRST_ORDER_SQL + """
-    SELECT user_id, 'paid' AS kind, c AS create_time, p AS pay_time FROM k WHERE paid
-    UNION ALL SELECT user_id, 'no_pay', c, NULL FROM k WHERE NOT paid AND c IS NOT NULL
-    UNION ALL SELECT user_id, 'pay_without_create', NULL, p FROM k WHERE NOT paid AND p IS NOT NULL"""
+def monitor_sql(source: str, open_end: str) -> str:
+    """``open_end`` tells when a create that nothing follows counts as unpaid."""
+    return f"""
+    WITH r AS (SELECT user_id, ts, event_type, lag(event_type) OVER w AS before, lag(ts) OVER w AS before_ts, lead(ts) OVER w AS next_ts
+      FROM {source} WHERE event_type IN ('signup', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    k AS (SELECT *, coalesce(before = 'signup' AND ts <= before_ts + INTERVAL 2 DAY, false) AS live FROM r)
+    SELECT user_id, 'paid' AS kind, before_ts AS create_time, ts AS pay_time FROM k WHERE event_type = 'purchase' AND live
+    UNION ALL SELECT user_id, 'pay_without_create', NULL, ts FROM k WHERE event_type = 'purchase' AND NOT live
+    UNION ALL SELECT user_id, 'no_pay', ts, NULL FROM k WHERE event_type = 'signup'
+      AND (next_ts > ts + INTERVAL 2 DAY OR (next_ts IS NULL AND {open_end}))"""
+
+
+MONITOR_SQL = monitor_sql("events", "true")
 
 
 @query("order_pay_monitor", MONITOR_SQL)

@@ -94,7 +94,7 @@ def src_web_log(spark, sf_dir):
 
 
 @query("src_table_file", """
-    SELECT 'u' || user_id AS id, count(*) AS n, sum(CAST(floor(value) AS BIGINT)) AS total
+    SELECT 'u' || user_id AS id, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total
     FROM events WHERE event_id % 10 <> 9 GROUP BY 1""")
 def src_table_file(spark, sf_dir):
     path = scratch(spark, "sensor")

@@ -17,7 +17,8 @@ from millrace.operators import joins, windows
 from millrace.operators.project import tagged_union, union_all
 from millrace.plans import analytics
 from millrace.plans.keyed import (
-    CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item, no_drop_sql,
+    CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item, monitor_sql,
+    no_drop_sql,
 )
 from millrace.plans.registry import ORACLES, query, table
 from millrace.plans.timed import HOT_ITEMS_SQL, PAYS, bucket, session_sql, sliding
@@ -454,9 +455,8 @@ def stream_login_fail_burst(spark, sf_dir):
     return micro_times(found, first_time="first_at", last_time="last_at")
 
 
-@query("stream_order_pay_monitor")
+@query("stream_order_pay_monitor", monitor_sql(SEEN, f"ts + INTERVAL 2 DAY <= ({horizon('1 HOUR')})"))
 def stream_order_pay_monitor(spark, sf_dir):
-    # Users sign up and buy more than once here, so there is no short SQL twin; tests hold the rule.
     fold = folds.OrderPay("create", "pay", keyed.AT, micros("2 days"))
     found = in_event_time(
         spark, sf_dir, fold, "order_pay",
@@ -544,7 +544,7 @@ def stream_app_channel_stats(spark, sf_dir):
         SELECT '/item/' || json_extract_string(props, '$.k') AS url, {sliding('1 HOUR', '10 MINUTE', '50 MINUTE')} AS s
         FROM events WHERE event_type <> 'click') GROUP BY 1, 2)
     SELECT window_end, url, cnt, row_num FROM (
-      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c) WHERE row_num <= 5""")
+      SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS row_num FROM c) WHERE row_num <= 5""")
 def stream_app_hot_urls(spark, sf_dir):
     # Log lines; the watermark covers the disorder and the minutes a window may still change.
     log = event_stream(spark, sf_dir).select(
@@ -616,6 +616,17 @@ def stream_eager_trigger(spark, sf_dir):
     return times(run_to_upsert(counted, ["user_id", "window_start"], "eager"), "window_start")
 
 
+@query("stream_app_order_timeout", f"""
+    SELECT user_id, kind, create_time, pay_time FROM ({ORACLES['stream_order_pay_monitor']})
+    UNION ALL SELECT user_id, 'pattern_' || kind, begin_time, then_time FROM ({ORACLES['stream_pattern_followed_by']})""")
+def stream_app_order_timeout(spark, sf_dir):
+    found = stream_pattern_followed_by(spark, sf_dir).select(
+        "user_id", F.concat(F.lit("pattern_"), "kind").alias("kind"),
+        F.col("begin_time").alias("create_time"), F.col("then_time").alias("pay_time"),
+    )
+    return stream_order_pay_monitor(spark, sf_dir).unionByName(found)
+
+
 # -------------------------------------------------------------------------------- timers
 
 @query("periodic_timer", "SELECT DISTINCT user_id FROM events")

@@ -238,7 +238,7 @@ HOT_ITEMS_SQL = f"""
         SELECT {ITEM_SQL} AS item, {sliding('1 HOUR', '5 MINUTE', '55 MINUTE')} AS s FROM events WHERE event_type = 'view')
       GROUP BY 1, 2)
     SELECT window_end, item, cnt, row_num FROM (
-      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item) AS row_num FROM c) WHERE row_num <= 5"""
+      SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item) AS INTEGER) AS row_num FROM c) WHERE row_num <= 5"""
 
 
 @query("hot_items_sql", HOT_ITEMS_SQL)
@@ -267,7 +267,7 @@ HOT_URLS_SQL = SHIFTED_CTE + f""",
         SELECT *, {sliding('1 HOUR', '10 MINUTE', '50 MINUTE', 'et')} AS s FROM w)
       WHERE wm IS NULL OR s + INTERVAL 1 HOUR + INTERVAL 15 MINUTE > wm GROUP BY 1, 2)
     SELECT window_end, url, cnt, row_num FROM (
-      SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c) WHERE row_num <= 5"""
+      SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS row_num FROM c) WHERE row_num <= 5"""
 
 
 def got_urls(spark, sf_dir):
