@@ -66,8 +66,10 @@ def main() -> int:
     parser.add_argument("--slice")
     parser.add_argument("--only")
     parser.add_argument("--skip-streams", action="store_true")
+    parser.add_argument("--zone", default="UTC", help="session time zone")
     args = parser.parse_args()
     conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    conf["spark.sql.session.timeZone"] = args.zone
     if args.slice:
         conf["millrace.rowsPerSlice"] = args.slice
     spark = get_session(master="local[8]", **conf)
