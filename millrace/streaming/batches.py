@@ -24,11 +24,21 @@ from millrace.streaming.runtime import run_batches, run_to_upsert
 
 
 class Carried:
-    """Rows that each batch leaves for the batches after it."""
+    """Rows that each batch leaves for the batches after it.
+
+    Batch ids follow one another without gaps, so a result that sums up all
+    batches so far is read from the folder of the batch before (``last``);
+    ``before`` gives what all earlier batches left.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path, T.StructType.fromDDL(schema)
 
+    def last(self, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id - 1}")
+
     def before(self, batch_id: int) -> DataFrame:
         if batch_id == 0:
             return self.spark.createDataFrame([], self.schema)
@@ -55,11 +65,12 @@ def running_total(stream: DataFrame, arrival: str, value: Column, name: str) ->
     carried = Carried(spark, f"{base}/carried", "v double")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        start = carried.before(batch_id).agg(F.coalesce(F.sum("v"), F.lit(0.0))).first()[0]
+        start = carried.last(batch_id).agg(F.coalesce(F.sum("v"), F.lit(0.0))).first()[0]
         fed = batch.withColumn("_v", value.cast("double"))
         rows = sequence(fed, [], [arrival]).running(**{name: seq.total("_v")}).df
         _store(rows.withColumn(name, F.col(name) + F.lit(start)).drop("_v"), base, "rows", batch_id)
-        carried.leave(fed.agg(F.coalesce(F.sum("_v"), F.lit(0.0)).alias("v")), batch_id)
+        upto = F.coalesce(F.sum("_v"), F.lit(0.0)) + F.lit(start)
+        carried.leave(fed.agg(upto.alias("v")), batch_id)
 
     run_batches(stream, each, base)
     return _stored(spark, base, "rows")
@@ -105,7 +116,7 @@ def split_late(
     progress = Carried(spark, f"{base}/progress", f"t {kind}")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        newest = progress.before(batch_id).agg(F.max("t").alias("_newest"))
+        newest = progress.last(batch_id).agg(F.max("t").alias("_newest"))
         # One row by construction, so the broadcast is bounded.
         judged = batch.withColumn("_one", F.lit(1)).join(F.broadcast(newest.withColumn("_one", F.lit(1))), "_one")
         last_end = F.window(time, step or size)["start"] + span(size)
@@ -114,7 +125,8 @@ def split_late(
         helpers = ("_one", "_newest", "_end")
         _store(judged.where(~late).drop(*helpers), base, "main", batch_id)
         _store(judged.where(late).drop(*helpers), base, "side", batch_id)
-        progress.leave(batch.agg(F.max(time).alias("t")), batch_id)
+        times = batch.select(F.col(time).alias("t")).unionByName(progress.last(batch_id))
+        progress.leave(times.agg(F.max("t").alias("t")), batch_id)
 
     run_batches(stream, each, base)
     return _stored(spark, base, "main"), _stored(spark, base, "side")
@@ -135,12 +147,20 @@ def split_stream(stream: DataFrame, condition: Column, side_columns: list[str])
 
 
 def label_by_control(stream: DataFrame, control: DataFrame, arrival: str, switch: str, name: str) -> DataFrame:
-    """Data rows with the newest control value at their arrival; the control table is read per batch."""
+    """Data rows with the newest control value at their arrival.
+
+    Each batch reads the control rows of its own span and the newest one before it.
+    """
     spark = stream.sparkSession
     base = scratch(spark, "control")
+    number = F.col(arrival)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        _store(joins.control_broadcast(batch, control, arrival, switch, name), base, "rows", batch_id)
+        first, last = batch.agg(F.min(arrival), F.max(arrival)).first()
+        inside = control.where(number.between(first, last)).select(arrival, switch)
+        newest = control.where(number < first).agg(F.max_by(switch, arrival).alias(switch), F.max(arrival).alias(arrival))
+        marks = inside.unionByName(newest.where(number.isNotNull()))
+        _store(joins.control_broadcast(batch, marks, arrival, switch, name), base, "rows", batch_id)
 
     run_batches(stream, each, base)
     return _stored(spark, base, "rows")
