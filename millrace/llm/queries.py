@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, licenses, packing, quality, sharding
+from millrace.llm import chat, langid, licenses, packing, pii, quality, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
+# The key of the registered query; a real job hands in its own.
+PII_KEY = "example key"
+
 
 def word_tokenizer() -> str:
     import public_tokenizers
@@ -77,3 +80,22 @@ def op8(spark, sf_dir):
         F.crc32(F.coalesce("doc.text", F.lit(""))).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_feistel_pseudonyms")
+def op9(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    done = pii.pseudonymise(docs, PII_KEY)
+    return done.select("doc_id", "text", F.aggregate(F.map_values("pii_found"), F.lit(0), lambda a, n: a + n).alias("n_found"),
+                       *[F.coalesce(F.element_at("pii_found", k), F.lit(0)).alias(f"n_{k}") for k in pii.KINDS])
+
+
+@query("op10_transcript_roles", """
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS turn, role,
+           CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS n_lines, coalesce(text, '') AS text,
+           '<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' AS rendered
+    FROM conversations""")
+def op10(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = chat.transcript(rows, "conv_id", "turn", "role", "text")
+    return chat.parse(turns, chat.fit(turns)).withColumnRenamed("conv", "conv_id")
