@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, langid, licenses, packing, pii, quality, sharding
+from millrace.llm import chat, langid, licenses, packing, pii, quality, repeats, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -99,3 +99,8 @@ def op10(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     turns = chat.transcript(rows, "conv_id", "turn", "role", "text")
     return chat.parse(turns, chat.fit(turns)).withColumnRenamed("conv", "conv_id")
+
+
+@query("op6_bwt_repeats")
+def op6(spark, sf_dir):
+    return repeats.clean(documents(spark, sf_dir))
