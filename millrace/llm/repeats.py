@@ -34,8 +34,8 @@ from millrace.session import stored
 
 LENGTH = 100
 GRAM = 32
-SEGMENT = 2 << 20
-BUCKET_BYTES = 2 << 20
+SEGMENT = 256 << 10
+BUCKET_BYTES = 512 << 10
 SEPARATOR = 0xFF  # not a byte of UTF-8
 
 _MIX = np.random.default_rng(100)
@@ -96,13 +96,14 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """One row per fragment (``again`` false), or per run of repeats already seen in the batch (``again`` true)."""
     kind = docs.schema["id"].dataType.simpleString()
 
-    def of_part(rows: list[int], texts: list[bytes], ids: list, hashes: list) -> tuple:
-        """Columns of a part; ``rows`` numbers the documents of its segments."""
-        place = sorted(range(len(ids)), key=lambda r: (ids[r] is not None, ids[r] if ids[r] is not None else 0, hashes[r]))
-        rank = np.empty(len(ids), np.int64)
-        for k, r in enumerate(place):
-            same = k and (ids[r], hashes[r]) == (ids[place[k - 1]], hashes[place[k - 1]])
-            rank[r] = rank[place[k - 1]] if same else k
+    def ranks(ids: list, hashes: list) -> np.ndarray:
+        """Number of each document in the order of the corpus; repeated rows share one."""
+        keys = [(i is not None, i if i is not None else 0, h) for i, h in zip(ids, hashes, strict=True)]
+        number = {k: n for n, k in enumerate(sorted(set(keys)))}
+        return np.array([number[k] for k in keys], np.int64)
+
+    def of_part(rows: list[tuple], texts: list[bytes], rank: np.ndarray, salt: int) -> tuple:
+        """Columns of a part, given as segments (row, from, to)."""
         row = np.array([r for r, _, _ in rows])
         offset = np.array([a for _, a, _ in rows])
         lengths = np.array([b - a for _, a, b in rows])
@@ -123,7 +124,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         d, l, h = runs(of[later], lo[later], hi[later])
         fresh = ~later
         unique = (d.astype(np.uint64) << np.uint64(32)) + l.astype(np.uint64)
-        unique = (unique + np.uint64(hash((ids[0], len(data))) & 0xFFFFFFFF)) * _ODD[5]
+        unique = (unique + np.uint64(salt & 0xFFFFFFFF)) * _ODD[5]
         unique ^= unique >> _SHIFT
         docs_of = np.concatenate([of[fresh], d])
         return (
@@ -145,8 +146,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
                         filled = 0
                     parts[-1].append((r, a, b))
                     filled += b - a
+            rank = ranks(ids, hashes)
             for rows in filter(None, parts):
-                anchor, content, of, lo, size, again = of_part(rows, texts, ids, hashes)
+                anchor, content, of, lo, size, again = of_part(rows, texts, rank, hashes[rows[0][0]] + rows[0][1])
                 take = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor), pa.array(content), batch.column("id").take(take), batch.column("h").take(take),
@@ -167,7 +169,7 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
         key = (key << np.uint64(8)) | padded[k : k + n]
     reach = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         if reach >= depth:
             return order
         ordered = key[order]
