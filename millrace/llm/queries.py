@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, langid, licenses, packing, pii, quality, repeats, sharding
+from millrace.llm import chat, decontam, langid, licenses, neardup, packing, pii, quality, repeats, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -104,3 +104,16 @@ def op10(spark, sf_dir):
 @query("op6_bwt_repeats")
 def op6(spark, sf_dir):
     return repeats.clean(documents(spark, sf_dir))
+
+
+@query("op5_minhash_join")
+def op5(spark, sf_dir):
+    return neardup.classes(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
+
+
+@query("op3_template_decontamination")
+def op3(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontam.contaminated(documents(spark, sf_dir), items)
+    return hits.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("shared").cast("long").alias("n_shared"),
+                       "share", "slots", "changed", "kind")

@@ -48,25 +48,29 @@ _SHIFT = np.uint64(29)
 
 def grams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the 32 and of the 64 bytes from each place on."""
-    x, done, short = _BYTES[data], 1, None
+    x, y, shifted, done, short = _BYTES.take(data), np.empty(len(data), np.uint64), np.empty(len(data), np.uint64), 1, None
     for odd in _ODD[:6]:
-        y = x[:-done] * odd
-        y += x[done:]
-        y ^= y >> _SHIFT
-        x, done = y, 2 * done
+        n = len(x) - done
+        np.multiply(x[:n], odd, out=y[:n])
+        y[:n] += x[done:]
+        np.right_shift(y[:n], _SHIFT, out=shifted[:n])
+        y[:n] ^= shifted[:n]
+        x, y, done = y[:n], x[:n], 2 * done
         if done == GRAM:
-            short = x
+            short = x.copy()
     return short, x
 
 
 def fragments(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
     """(anchor hash, content hash, first start, last start) of all fragments in the segments ``begin`` to ``end`` of a buffer."""
     short, long = grams(data)
-    least = (short & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(short), dtype=np.uint64)
-    width, reach = LENGTH - GRAM + 1, 1
+    least = short & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(short), dtype=np.uint64)
+    width, reach, spare = LENGTH - GRAM + 1, 1, np.empty_like(least)
     while 2 * reach <= width:
-        least = np.minimum(least[:-reach], least[reach:])
-        reach *= 2
+        n = len(least) - reach
+        np.minimum(least[:n], least[reach:], out=spare[:n])
+        least, spare, reach = spare[:n], least, 2 * reach
     over = width - reach
     least = np.minimum(least[: len(least) - over], least[over:])
     size = end - begin - LENGTH + 1
