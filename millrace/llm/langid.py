@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_ROWS = 128
 SAMPLE_CHARS = 200
@@ -143,39 +144,40 @@ class Model:
         return out, letters[ends[1:]] > letters[ends[:-1]]
 
 
-def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, ``lang_pred``, ``score`` (lead of the best language over the second, 0 to 1) and ``bits`` per character."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
+RESULT = T.StructType([
+    T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType()),
+])
+
+
+def judge(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, lead over the second (0 to 1) and bits per character of each text."""
+    rates, has = model.rates(texts)
+    every = np.arange(len(texts))
+    best, score, bits = np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts))
+    if model.labels:
+        best = rates.argmin(axis=1)
+        bits = rates[every, best]
+        rates[every, best] = np.inf
+        second = rates.min(axis=1)
+        score = np.where(np.isfinite(second), 1 - bits / np.where(np.isfinite(second) & (second > 0), second, 1), 1.0)
+    names = np.array([*model.labels, UNKNOWN], object)
+    return names[np.where(has, best, len(model.labels))], np.where(has, np.clip(score, 0, 1), 0.0), np.where(has, bits, 0.0)
+
+
+def predicted(docs: DataFrame, model: Model, *, text: str = "text", result: str = "language") -> DataFrame:
+    """All columns, and a struct of ``lang_pred``, ``score`` (lead over the second language) and ``bits`` per character."""
     shipped = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays, bounded by MOST_CHARS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = object.__new__(Model)
         vars(model).update(shipped.value)
-        names = np.array([*model.labels, UNKNOWN], object)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                rates, has = model.rates(batch.column("text").to_pylist())
-                n = len(has)
-                if not model.labels:
-                    best, score, bits = np.full(n, 0), np.zeros(n), np.zeros(n)
-                else:
-                    best = rates.argmin(axis=1)
-                    bits = rates[np.arange(n), best]
-                    others = rates.copy()
-                    others[np.arange(n), best] = np.inf
-                    second = others.min(axis=1)
-                    lead = 1 - bits / np.where(np.isfinite(second) & (second > 0), second, 1)
-                    score = np.where(np.isfinite(second), lead, 1.0)
-                best = np.where(has, best, len(model.labels))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), pa.array(names[best], pa.string()),
-                     pa.array(np.where(has, np.clip(score, 0, 1), 0.0)), pa.array(np.where(has, bits, 0.0))],
-                    ["key", "lang_pred", "score", "bits"],
-                )
-
-    return rows.mapInArrow(run, f"key {kind}, lang_pred string, score double, bits double").withColumnRenamed("key", key)
+        for batch in batches:
+            parts = [judge(model, batch.slice(at, 2000).to_pylist()) for at in range(0, len(batch), 2000)]
+            lang, score, bits = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else ([], [], [])
+            yield pa.StructArray.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], ["lang_pred", "score", "bits"])
+
+    return docs.withColumn(result, F.arrow_udf(run, RESULT, F.ArrowUDFType.SCALAR_ITER)(F.coalesce(F.col(text), F.lit(""))))
 
 
 def held_out(key: str = "doc_id"):
@@ -183,7 +185,7 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """Learn from the labelled rows outside the held-out quarter, then predict every row."""
+def identify(docs: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", result: str = "language") -> DataFrame:
+    """Learn from the labelled rows outside the held-out quarter, then predict every row: all columns and a struct ``result``."""
     model = Model(labelled(docs.where(~held_out(key)), key=key, text=text, label=label))
-    return predict(docs, model, key=key, text=text).withColumn("held_out", held_out(key))
+    return predicted(docs, model, text=text, result=result)

@@ -68,7 +68,8 @@ def op4(spark, sf_dir):
 
 @query("op7_language_id")
 def op7(spark, sf_dir):
-    return langid.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "bits")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", langid.held_out().alias("held_out"), "language.*")
 
 
 @query("op8_two_pass_shuffle")
