@@ -2,12 +2,12 @@
 
 1. Each text is read as words in lower case; texts with the same words are one *node*. Its five-word shingles give a MinHash
    signature, cut into bands. Bands and rows follow from the threshold and the recall asked for at it.
-2. Nodes that share a band meet in a bucket. Within a bucket all nodes are compared with its smallest node, which is one pair
-   per node, not one per two nodes. Every pair is verified on the full shingle sets.
-3. Nodes that fail against the smallest are compared with the other nodes of the bucket. Jaccard distance is a metric, so nodes
-   whose distances to the smallest differ by more than the allowed distance cannot be similar and are left out without loss.
-   Two nodes that both pass are in one class through the smallest node.
-4. Verified pairs are the links; classes are their connected components, by label propagation with pointer jumping.
+2. Nodes that share a band meet in a bucket, whose smallest node is its leader. All nodes with one leader form a group, so
+   a pair that shares buckets many times is mostly in one group, and the candidates are as many rows as nodes, not pairs.
+3. Groups are cut into blocks of ``BLOCK`` nodes, and each two blocks are compared in one task: products of their shingle
+   incidence matrices give all intersections at once, on the full sets. A pair with several common leaders counts in the group
+   of the smallest. A task gives out the number of links of its nodes and a spanning forest of them, never the pairs.
+4. Classes are the connected components of the links, by label propagation with pointer jumping.
 
 Defined results: a text without words (null, empty, signs only) is a class of its own; a text of fewer than five words has its
 words as its one shingle; rows that repeat are in one class; ``class_id`` is the smallest id of the class (null if all are null);
@@ -34,6 +34,8 @@ SIMILAR = 0.8
 RECALL = 0.9995
 HASHES_MOST = 128
 KEPT_WORDS = 1_000_000
+BLOCK = 1024
+COLUMNS = 4096
 WORD = re.compile(r"\w+")
 
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -115,26 +117,74 @@ def signatures(docs: DataFrame, hasher: MinHash) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, h long, node binary, bands array<long>")
 
 
-def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a``, ``b`` and their Jaccard similarity on the full shingle sets; ``texts`` has one text per node."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
-        for batch in batches:
-            out = []
-            for ta, tb in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                tb = tb.as_py()
-                if tb != last:  # rows of one partner mostly stand together
-                    last, mine = tb, shingles(words_of(tb))
-                other = shingles(words_of(ta.as_py()))
-                common = np.intersect1d(mine, other, assume_unique=True).size
-                out.append(common / (len(mine) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "jaccard"])
-
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, jaccard double")
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the common parts of the sets numbered ``left`` (rows) and ``right`` (columns)."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(often > 1) - 1  # a shingle of one set is in no common part
+    use = often[column] > 1
+    of, column = of[use], rank[column[use]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(rank[-1]) + 1, COLUMNS):
+        part = slice(*np.searchsorted(column, [at, at + COLUMNS]))
+        present = np.zeros((len(sets), COLUMNS), np.float32)
+        present[of[part], column[part] - at] = 1
+        common += present[left] @ present[right].T
+    return common
+
+
+def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """(node, root) pairs that connect what the matrix links."""
+    both = np.zeros((n, n), bool)
+    both[np.ix_(left, right)] = linked
+    both |= both.T
+    open_, out = both.any(axis=1), []
+    while open_.any():
+        root = int(np.argmax(open_))
+        seen = np.zeros(n, bool)
+        edge = np.zeros(n, bool)
+        edge[root] = True
+        while edge.any():
+            seen |= edge
+            edge = both[edge].any(axis=0) & ~seen
+        open_ &= ~seen
+        out += [(int(v), root) for v in np.flatnonzero(seen) if v != root]
+    return out
+
+
+def verifier(similar: float):
+    """Compare two blocks of a group, or one with itself."""
+
+    def run(key, group):
+        leader, one, other = (k.as_py() for k in key)
+        nodes, blocks = group["node"].to_pylist(), group["block"].to_numpy()
+        sets = [shingles(words_of(t)) for t in group["text"].to_pylist()]
+        left, right = np.flatnonzero(blocks == one), np.flatnonzero(blocks == other)
+        size = np.array([len(x) for x in sets], np.float64)
+        common = intersections(sets, left, right).astype(np.float64)
+        linked = common / (size[left][:, None] + size[right] - common) >= similar - 1e-12
+        if one == other:
+            linked &= left[:, None] < right
+        # Pairs that also have a smaller leader in common count there.
+        before = [[x for x in xs if x < leader] for xs in group["leaders"].to_pylist()]
+        number = {x: k for k, x in enumerate(sorted({x for xs in before for x in xs}))}
+        if number:
+            has = np.zeros((len(nodes), len(number)), np.float32)
+            for r, xs in enumerate(before):
+                has[r, [number[x] for x in xs]] = 1
+            linked &= has[left] @ has[right].T == 0
+        degree = np.bincount(left, linked.sum(axis=1), len(nodes)) + np.bincount(right, linked.sum(axis=0), len(nodes))
+        some = np.flatnonzero(degree)
+        tied = forest(linked, left, right, len(nodes))
+        return pa.table({
+            "a": pa.array([nodes[k] for k in some] + [nodes[v] for v, _ in tied], pa.binary()),
+            "b": pa.array([None] * len(some) + [nodes[r] for _, r in tied], pa.binary()),
+            "n": pa.array([int(degree[k]) for k in some] + [0] * len(tied), pa.int64()),
+        })
+
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -166,26 +216,22 @@ def classes(
 
     banded = nodes.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("bucket"))
     least = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    met = stored(banded.join(least, "bucket").where("node <> leader"), "buckets")
-    stars = met.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-
-    wanted = met.select("node").union(met.select("leader")).distinct()
-    where = nodes.select("node", "at.id", "at.h").join(wanted, "node", "left_semi")
-    texts = stored(rows.join(where, rows["id"].eqNullSafe(where["id"]) & (rows["h"] == where["h"])).select("node", "text")
-                   .dropDuplicates(["node"]), "near-texts")
-
-    first = stored(similarities(stars, texts), "stars")
-    apart = 1 - similar
-    placed = met.join(first, (met["node"] == first["a"]) & (met["leader"] == first["b"])).select("bucket", "node", "jaccard")
-    missed = placed.where(F.col("jaccard") < similar).select("bucket", F.col("node").alias("u"), F.col("jaccard").alias("ju"))
-    others = missed.join(placed, "bucket").where(
-        (F.col("u") != F.col("node")) & (F.abs(F.col("ju") - F.col("jaccard")) <= apart + 1e-9)
-        & ((F.col("jaccard") >= similar) | (F.col("u") > F.col("node"))))
-    more = others.select(F.greatest("u", "node").alias("a"), F.least("u", "node").alias("b")).distinct()
-    second = similarities(more, texts)
-    links = stored(first.unionByName(second).where(F.col("jaccard") >= similar).select("a", "b").distinct(), "links")
-
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    met = banded.join(least, "bucket").select("node", F.xxhash64("leader").alias("leader"))
+    groups = stored(met.groupBy("node").agg(F.collect_set("leader").alias("leaders")), "groups")
+
+    where = nodes.select("node", "at.id", "at.h").join(groups, "node")
+    texts = rows.join(where, rows["id"].eqNullSafe(where["id"]) & (rows["h"] == where["h"])).select(
+        "node", "leaders", "text").dropDuplicates(["node"])
+    each = stored(texts, "near-texts").select("node", "leaders", "text", F.explode("leaders").alias("leader"))
+    blocks = groups.select(F.explode("leaders").alias("leader")).groupBy("leader").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
+    dealt = each.join(blocks, "leader").withColumn("block", mine).withColumn("with", F.explode(F.expr("sequence(0, n_blocks - 1)")))
+    paired = dealt.select("leader", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"),
+                          "block", "node", "leaders", "text")
+    found = stored(paired.groupBy("leader", "one", "other").applyInArrow(verifier(similar), "a binary, b binary, n long"), "verified")
+    links = found.where("b is not null").select("a", "b")
+    degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
     known = signed.select("id", "h", "node").join(components(links), "node", "left").join(degree, "node", "left")
     # A row without words is a class of its own.
     alone = F.coalesce("root", "node", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "h").cast("string").cast("binary"))
