@@ -121,25 +121,41 @@ def decode(codes: np.ndarray, model: Model, before: int, end: int) -> list[int]:
     return path[::-1]
 
 
-def in_order(rows: pd.DataFrame) -> list[str]:
+def in_order(rows) -> list[str]:
     """The lines of a block, by turn number and then text."""
     keyed = [((0, 0) if pd.isna(t) else (1, t), list(v)) for t, v in zip(rows["turn"], rows["lines"], strict=True)]
     return [line for _, lines in sorted(keyed) for line in lines]
 
 
+def by_parts(keys: list[str], one, columns: list[str]):
+    """Apply a function of (key, rows) to each part of a frame that holds many."""
+
+    def run(frame):
+        parts = [one(key, rows) for key, rows in frame.groupby(keys, sort=False)]
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
+
+    return run
+
+
+NO_CONVERSATION = "\x00"
+ROWS_PER_TASK = 2000
+
+
 def parse(turns: DataFrame, model: Model) -> DataFrame:
     """``conv``, ``turn`` (from 0), ``role``, ``n_lines``, ``text`` and ``rendered`` of every recovered turn."""
+    kind = turns.schema["conv"].dataType
     block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-1)).cast("long")
-    rows = turns.select("conv", block.alias("block"), "turn", "lines")
-    conv = rows.schema["conv"].dataType.simpleString()
+    rows = turns.select(F.coalesce(F.col("conv").cast("string"), F.lit(NO_CONVERSATION)).alias("conv"), block.alias("block"), "turn", "lines")
+    n_parts = max(64, -(-turns.count() // ROWS_PER_TASK))
+    part = lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(n_parts)).alias("part")
 
-    def scores(key, group: pd.DataFrame) -> pd.DataFrame:
+    def scores(key, group):
         codes = symbols(in_order(group))
         first = model.start + model.emit[:, codes[0]]
         best = (first[:, None] + transfer(codes[1:], model)).max(axis=0)
         return pd.DataFrame({"conv": [key[0]], "block": [key[1]], "alone": [best], "through": [transfer(codes, model).ravel()]})
 
-    def chain(key, group: pd.DataFrame) -> pd.DataFrame:
+    def chain(key, group):
         group = group.sort_values("block")
         through = [np.array(m).reshape(6, 6) for m in group["through"]]
         score, back = np.array(group["alone"].iloc[0]), []
@@ -153,7 +169,7 @@ def parse(turns: DataFrame, model: Model) -> DataFrame:
         ends.reverse()
         return pd.DataFrame({"conv": group["conv"], "block": group["block"], "before": [-1, *ends[:-1]], "end": ends})
 
-    def turns_of(key, group: pd.DataFrame) -> pd.DataFrame:
+    def turns_of(key, group):
         lines = in_order(group)
         path = decode(symbols(lines), model, int(group["before"].iloc[0]), int(group["end"].iloc[0]))
         out: list[list] = []
@@ -167,21 +183,22 @@ def parse(turns: DataFrame, model: Model) -> DataFrame:
             "begins": [o[1] for o in out], "n_lines": [len(o[2]) for o in out], "text": ["\n".join(o[2]) for o in out],
         })
 
-    matrices = rows.groupBy("conv", "block").applyInPandas(scores, f"conv {conv}, block long, alone array<double>, through array<double>")
-    ends = matrices.groupBy("conv").applyInPandas(chain, f"conv {conv}, block long, before int, end int")
-    same = rows["conv"].eqNullSafe(ends["conv"]) & (rows["block"] == ends["block"])
-    between = rows.join(ends, same).select(rows["conv"], rows["block"], "turn", "lines", "before", "end")
-    parts = between.groupBy("conv", "block").applyInPandas(
-        turns_of, f"conv {conv}, block long, nth long, role string, begins boolean, n_lines long, text string")
+    matrices = rows.groupBy(part("conv", "block")).applyInPandas(
+        by_parts(["conv", "block"], scores, ["conv", "block", "alone", "through"]),
+        "conv string, block long, alone array<double>, through array<double>")
+    ends = matrices.groupBy(part("conv")).applyInPandas(
+        by_parts(["conv"], chain, ["conv", "block", "before", "end"]), "conv string, block long, before int, end int")
+    parts = rows.join(ends, ["conv", "block"]).groupBy(part("conv", "block")).applyInPandas(
+        by_parts(["conv", "block"], turns_of, ["conv", "block", "nth", "role", "begins", "n_lines", "text"]),
+        "conv string, block long, nth long, role string, begins boolean, n_lines long, text string")
     # Turn numbers: begun turns of the blocks before, then of the block. A turn that goes on over a block's end is put together.
     begun = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     per_block = parts.groupBy("conv", "block").agg(F.sum(F.col("begins").cast("long")).alias("n"), F.min("begins").alias("all_begin"))
-    earlier = per_block.select(F.col("conv").alias("c"), F.col("block").alias("b"), "all_begin", F.coalesce(F.sum("n").over(begun), F.lit(0)).alias("earlier"))
+    earlier = per_block.select("conv", "block", "all_begin", F.coalesce(F.sum("n").over(begun), F.lit(0)).alias("earlier"))
     here = F.col("nth") - F.when(F.col("all_begin"), 0).otherwise(1) + F.col("earlier")
-    numbered = parts.join(earlier, parts["conv"].eqNullSafe(earlier["c"]) & (parts["block"] == earlier["b"])).withColumn("at", here)
-    whole = numbered.groupBy("conv", "at").agg(
+    whole = parts.join(earlier, ["conv", "block"]).withColumn("at", here).groupBy("conv", "at").agg(
         F.min("role").alias("role"), F.sum("n_lines").alias("n_lines"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "text"))), lambda p: p["text"]), "\n").alias("text"))
     return whole.select(
-        "conv", F.col("at").alias("turn"), "role", "n_lines", "text",
+        F.when(F.col("conv") != NO_CONVERSATION, F.col("conv")).cast(kind).alias("conv"), F.col("at").alias("turn"), "role", "n_lines", "text",
         F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")).alias("rendered"))
