@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 ROLES = ("system", "user", "assistant")
 STATES = [(r, b) for r in ROLES for b in (True, False)]
 BLOCK_TURNS = 512
@@ -188,9 +190,9 @@ def parse(turns: DataFrame, model: Model) -> DataFrame:
         "conv string, block long, alone array<double>, through array<double>")
     ends = matrices.groupBy(part("conv")).applyInPandas(
         by_parts(["conv"], chain, ["conv", "block", "before", "end"]), "conv string, block long, before int, end int")
-    parts = rows.join(ends, ["conv", "block"]).groupBy(part("conv", "block")).applyInPandas(
+    parts = stored(rows.join(ends, ["conv", "block"]).groupBy(part("conv", "block")).applyInPandas(
         by_parts(["conv", "block"], turns_of, ["conv", "block", "nth", "role", "begins", "n_lines", "text"]),
-        "conv string, block long, nth long, role string, begins boolean, n_lines long, text string")
+        "conv string, block long, nth long, role string, begins boolean, n_lines long, text string"), "turn-parts")
     # Turn numbers: begun turns of the blocks before, then of the block. A turn that goes on over a block's end is put together.
     begun = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     per_block = parts.groupBy("conv", "block").agg(F.sum(F.col("begins").cast("long")).alias("n"), F.min("begins").alias("all_begin"))
