@@ -2,8 +2,8 @@
 
 A transcript is a sequence of lines. Hidden states are the roles, each as "begins a turn" and "goes on". What is seen of a
 line is its speaker marker, if any, and its shape. The most probable sequence of states (Viterbi) tells where turns begin and
-who speaks. Probabilities are counted from labelled conversations, with one added to each count; the counts are as small as the
-state space.
+who speaks. Probabilities are counted from labelled conversations, marker and shape apart, with a little added to each count; the
+counts are as small as the state space.
 
 Long conversations are decoded in blocks of ``BLOCK_TURNS`` source turns: every block gives the best score from each
 state before it to each state at its end, these small matrices are chained per conversation, and each block is then decoded
@@ -82,10 +82,13 @@ def fit(turns: DataFrame) -> Model:
         for batch in batches:
             yield pd.Series([symbols(list(v)) for v in batch])
 
-    emit, move, start = np.ones((6, len(MARKS) * len(SHAPES))), np.ones((6, 6)) * 1e-3, np.ones(6) * 1e-3
+    marks, shapes = np.full((6, len(MARKS)), 1e-2), np.ones((6, len(SHAPES)))
+    move, start = np.full((6, 6), 1e-3), np.full(6, 1e-3)
     coded = known.select("role", F.posexplode(codes("lines")).alias("at", "code"))
     for r in coded.groupBy("role", (F.col("at") == 0).alias("first"), "code").count().collect():
-        emit[STATES.index((r["role"], r["first"])), r["code"]] += r["count"]
+        state, (mark, kind) = STATES.index((r["role"], r["first"])), divmod(r["code"], len(SHAPES))
+        marks[state, mark] += r["count"]
+        shapes[state, kind] += r["count"]
     n = F.size("lines")
     for r in known.groupBy("role").agg(F.count("*").alias("n"), F.sum(n - 1).alias("on"), F.sum((n > 1).cast("long")).alias("longer")).collect():
         begin, on = STATES.index((r["role"], True)), STATES.index((r["role"], False))
@@ -98,7 +101,8 @@ def fit(turns: DataFrame) -> Model:
         move[STATES.index((r["a"], r["one"])), STATES.index((r["b"], True))] += r["count"]
     for r in known.where("turn = 0").groupBy("role").count().collect():
         start[STATES.index((r["role"], True))] += r["count"]
-    return Model(start, move, emit)
+    marks, shapes = (p / p.sum(axis=1, keepdims=True) for p in (marks, shapes))
+    return Model(start, move, (marks[:, :, None] * shapes[:, None, :]).reshape(6, -1))
 
 
 def transfer(codes: np.ndarray, model: Model) -> np.ndarray:

@@ -28,7 +28,7 @@ WINDOW = 4096
 CLASS = 16
 DEPTH = 4
 END = 2
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 10_000
 
 PIECES = "key {}, start long, length long, ids binary, doc_tokens long"
 
