@@ -9,39 +9,32 @@ from pyspark.sql import functions as F
 
 from millrace.functions.durations import micros
 from millrace.operators import sequence as seq
-from millrace.operators.sequence import BROADCAST_ROWS, rows_per_slice, sequence, ticks
-
-
-def has_hot_key(df: DataFrame, keys: list[str]) -> bool:
-    """Whether one key has more rows than a task should take (a partial aggregate)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) > rows_per_slice(df.sparkSession)
+from millrace.operators.sequence import BROADCAST_ROWS, sequence, ticks
 
 
 def match_join(left: DataFrame, right: DataFrame, key: str, left_arrival: str, right_arrival: str) -> DataFrame:
-    """Pair the rows of two inputs that share a key occurring once per side.
+    """Pair the rows of two inputs one to one: the n-th arrival of a key on one side with its n-th on the other.
 
     ``completed_by`` tells which side came second and so completed the pair.
     """
     second = F.when(F.col(left_arrival) > F.col(right_arrival), "left").otherwise("right")
-    return left.join(right, key).withColumn("completed_by", second)
+    nth = {"_nth": seq.tally()}
+    firsts = sequence(left, [key], [left_arrival]).running(**nth).df
+    seconds = sequence(right, [key], [right_arrival]).running(**nth).df
+    return firsts.join(seconds, [key, "_nth"]).drop("_nth").withColumn("completed_by", second)
 
 
-def _bucketed(
-    left: DataFrame, right: DataFrame, left_time: str, right_time: str, lower: int, upper: int
-) -> tuple[DataFrame, DataFrame]:
-    """Give both sides a time bucket as wide as the interval.
+def _once(df: DataFrame, time: str, width: int) -> DataFrame:
+    """Each row in the one bucket of its time; rows without a time stay, in none."""
+    return df.withColumn("_bucket", F.floor(ticks(df, time) / F.lit(width)).cast("bigint"))
 
-    A right row lies in one bucket, a left row is copied into the at most two
-    that its interval touches, so rows of one key spread over many tasks.
-    """
-    width = max(upper - lower, 1)
-    at = ticks(left, left_time)
-    lowest = F.floor((at + F.lit(lower)) / F.lit(width)).cast("bigint")
-    highest = F.floor((at + F.lit(upper)) / F.lit(width)).cast("bigint")
-    left = left.withColumn("_bucket", F.explode(F.sequence(lowest, highest)))
-    right = right.withColumn("_bucket", F.floor(ticks(right, right_time) / F.lit(width)).cast("bigint"))
-    return left, right
+
+def _copied(df: DataFrame, time: str, lowest: int, highest: int, width: int) -> DataFrame:
+    """Each row in the at most two buckets that the interval around its time touches; rows without a time match nothing."""
+    at = ticks(df, time)
+    first = F.floor((at + F.lit(lowest)) / F.lit(width)).cast("bigint")
+    last = F.floor((at + F.lit(highest)) / F.lit(width)).cast("bigint")
+    return df.withColumn("_bucket", F.explode(F.sequence(first, last)))
 
 
 def _within(df: DataFrame, left_time: str, right_time: str, lower: int, upper: int) -> Column:
@@ -64,20 +57,19 @@ def interval_join(
     right_time: str,
     lower: str,
     upper: str,
-    bucketed: bool | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Inner join on the key where the right time lies in [left+lower, left+upper].
 
-    ``bucketed`` adds the time bucket to the join key; by default it is used
-    when a key of either side is too large for one task.  Works on streams
-    (give both sides a watermark and ``bucketed=False``).
+    A time bucket as wide as the interval is part of the join key, so the rows of
+    one key spread over many tasks.  Streams (with a watermark on both sides)
+    take ``bucketed=False``.
     """
     low, high = _signed(lower), _signed(upper)
     on = [key]
-    if bucketed is None:
-        bucketed = has_hot_key(left, [key]) or has_hot_key(right, [key])
     if bucketed:
-        left, right = _bucketed(left, right, left_time, right_time, low, high)
+        width = max(high - low, 1)
+        left, right = _copied(left, left_time, low, high, width), _once(right, right_time, width)
         on.append("_bucket")
     paired = left.join(right, on).where(_within(left, left_time, right_time, low, high))
     return paired.drop("_bucket")
@@ -91,55 +83,34 @@ def reconcile_outer(
     right_time: str,
     lower: str,
     upper: str,
-    left_id: list[str],
     kinds: tuple[str, str, str] = ("matched", "left_only", "right_only"),
-    bucketed: bool | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Interval join that keeps the unmatched rows of both sides, told apart by ``kind``.
 
-    ``left_id`` names the columns that identify a left row.
+    Rows with a null key or time, and rows that occur several times, are kept one by one.
     """
     low, high = _signed(lower), _signed(upper)
-    if bucketed is None:
-        bucketed = has_hot_key(left, [key]) or has_hot_key(right, [key])
-    left = left.withColumn("_l", F.lit(True))
-    right = right.withColumn("_r", F.lit(True))
     inside = _within(left, left_time, right_time, low, high)
-    kind = (
-        F.when(F.col("_l") & F.col("_r"), kinds[0]).when(F.col("_l"), kinds[1]).otherwise(kinds[2])
-    ).alias("kind")
-    out_columns = [key, *[c for c in (*left.columns, *right.columns) if c not in (key, "_l", "_r")]]
+    out_columns = [key, *[c for c in (*left.columns, *right.columns) if c != key]]
     right_key = right.withColumnRenamed(key, "_rk")
+    same = (F.col(key) == F.col("_rk")) & inside
     if not bucketed:
-        joined = left.join(right_key, (F.col(key) == F.col("_rk")) & inside, "full_outer")
-        return joined.withColumn(key, F.coalesce(key, "_rk")).select(*out_columns, kind)
-
-    left_copies, right_once = _bucketed(left, right_key, left_time, right_time, low, high)
-    right_once = right_once.withColumnRenamed("_bucket", "_rb")
-    joined = left_copies.join(
-        right_once,
-        (F.col(key) == F.col("_rk")) & (F.col("_bucket") == F.col("_rb")) & inside,
-        "full_outer",
-    ).withColumn(key, F.coalesce(key, "_rk"))
-    paired_or_right = joined.where("_r").select(*out_columns, kind)
-    # A left row is unmatched when each of its copies is.
+        kind = F.when(F.col("_l") & F.col("_r"), kinds[0]).when(F.col("_l"), kinds[1]).otherwise(kinds[2])
+        joined = left.withColumn("_l", F.lit(True)).join(right_key.withColumn("_r", F.lit(True)), same, "full_outer")
+        return joined.withColumn(key, F.coalesce(key, "_rk")).select(*out_columns, kind.alias("kind"))
+
+    # The side that is kept lies in one bucket and the other is copied, once for each side, so no row needs an identity.
     width = max(high - low, 1)
-    at = ticks(left, left_time)
-    copies = (F.floor((at + F.lit(high)) / F.lit(width)) - F.floor((at + F.lit(low)) / F.lit(width)) + 1)
-    left_columns = [c for c in out_columns if c in left.columns and c not in left_id]
-    alone = (
-        joined.where("_r is null")
-        .groupBy(*left_id)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*left_columns)).alias("_row"))
-        .select(*left_id, "_n", "_row.*")
-        .where(F.col("_n") == copies)
-    )
-    missing = [
-        F.lit(None).cast(right.schema[c].dataType).alias(c) for c in out_columns if c not in left.columns
-    ]
-    return paired_or_right.unionByName(
-        alone.select(*[c for c in out_columns if c in left.columns], *missing, F.lit(kinds[1]).alias("kind"))
+    at = same & (F.col("_bucket") == F.col("_other"))
+    other = _copied(right_key, right_time, -high, -low, width).withColumnRenamed("_bucket", "_other").withColumn("_r", F.lit(True))
+    of_left = _once(left, left_time, width).join(other, at, "left").select(
+        *out_columns, F.when(F.col("_r"), kinds[0]).otherwise(kinds[1]).alias("kind")
     )
+    other = _copied(left, left_time, low, high, width).withColumnRenamed("_bucket", "_other")
+    alone = _once(right_key, right_time, width).join(other, at, "left_anti").withColumnRenamed("_rk", key)
+    missing = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns if c != key]
+    return of_left.unionByName(alone.drop("_bucket").select("*", *missing, F.lit(kinds[2]).alias("kind")))
 
 
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, prefix: str = "r_") -> DataFrame:

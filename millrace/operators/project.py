@@ -113,5 +113,5 @@ def distribute(df: DataFrame, mode: str, parts: int | None = None, key: str | No
     if mode == "random":
         return df.repartition(*count, F.rand())
     if mode == "global":
-        return df.coalesce(1)
+        return df.repartition(1)  # its own exchange; coalesce would pull the work before it into the one task
     raise ValueError(f"unknown mode {mode!r}")

@@ -306,7 +306,7 @@ def _step(rows: Column, span: Column, limit: int, factor: int) -> Column:
 def _slice_whole(df: DataFrame, order: list[str], limit: int) -> DataFrame:
     axis = ticks(df, order[0])
     n, lo, hi = df.agg(F.count(F.lit(1)), F.min(axis), F.max(axis)).first()
-    if not n:
+    if not n or lo is None:  # no rows, or no order value: one slice
         return df.withColumn(SLICE, F.lit(0).cast("bigint"))
     spread = max(1, df.sparkSession.sparkContext.defaultParallelism)
     limit = max(1, min(limit, -(-n // spread)))
@@ -355,7 +355,7 @@ def _split_keys(
             .agg(F.max("n"), F.max("s"))
             .first()
         )
-        if fullest <= limit or widest <= 1:
+        if fullest <= limit or (widest or 0) <= 1:
             break
         factor *= 8
     helpers = ["_lo", "_step", *[f"_k{i}" for i in range(len(keys))]]

@@ -105,6 +105,7 @@ def session_hot(
     starts where the previous row is more than a gap away; numbering the
     starts and grouping by that number needs no task to see a whole key.
     """
+    df = df.where(F.col(time).isNotNull())  # as the built-in window does
     rows = sequence(df, keys, [time, arrival])
     if not rows.sliced:
         return session(df, keys, time, gap, **aggregates)

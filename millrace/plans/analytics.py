@@ -114,7 +114,7 @@ def reconcile_report(
 ) -> DataFrame:
     """Payments against receipts three ways, as row counts."""
     inside = joins.interval_join(pays, receipts, key, pay_time, receipt_time, lower, upper)
-    outer = joins.reconcile_outer(pays, receipts, key, pay_time, receipt_time, lower, upper, [key], kinds)
+    outer = joins.reconcile_outer(pays, receipts, key, pay_time, receipt_time, lower, upper, kinds)
     firsts = receipts.groupBy(key).agg(F.min(receipt_time).alias(receipt_time))
     matched = joins.match_join(pays, firsts, key, pay_time, receipt_time)
     n = F.count(F.lit(1)).alias("n")

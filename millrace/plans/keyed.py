@@ -49,10 +49,10 @@ CLICK_PLACE_SQL = """
 
 
 def user_provinces(spark, sf_dir):
-    """The nation of each user.  Only the nation table, of a fixed 25 rows, is broadcast by hint."""
+    """The nation of each user; Spark broadcasts the nations if their measured size allows it."""
     buyers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("province"))
-    return buyers.join(F.broadcast(nations), "c_nationkey").drop("c_nationkey")
+    return buyers.join(nations, "c_nationkey").drop("c_nationkey")
 
 
 def placed_clicks(spark, sf_dir):

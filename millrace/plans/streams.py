@@ -20,7 +20,7 @@ from millrace.plans.keyed import (
     CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item, monitor_sql,
     no_drop_sql,
 )
-from millrace.plans.registry import ORACLES, query, table
+from millrace.plans.registry import ORACLES, events, query, table
 from millrace.plans.timed import HOT_ITEMS_SQL, PAYS, bucket, session_sql, sliding
 from millrace.session import scratch
 from millrace.sources import readers, schemas
@@ -498,7 +498,7 @@ def joined_horizon(delay: str) -> str:
 def stream_reconcile_outer(spark, sf_dir):
     orders, lines = timed_sides(spark, sf_dir, "1 day")
     both = joins.reconcile_outer(
-        orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days", ["order_key"],
+        orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days",
         kinds=("matched", "pay_no_receipt", "receipt_no_pay"), bucketed=False,
     )
     kept = times(run_to_files(both, "reconcile"), "o_orderdate", "l_shipdate")
@@ -629,22 +629,32 @@ def stream_app_order_timeout(spark, sf_dir):
 
 # -------------------------------------------------------------------------------- timers
 
+def _until_all_fired(running, result, keys, patience=300):
+    """Wait until each key has fired; raise if no further key does for a while."""
+    seen, quiet = 0, 0
+    while seen < keys:
+        if running.awaitTermination(1):
+            raise RuntimeError("the timer stream ended early")
+        done = any(p["sink"]["numOutputRows"] > 0 for p in running.recentProgress)
+        now = result().select("user_id").distinct().count() if done else 0
+        seen, quiet = now, 0 if now > seen else quiet + 1
+        if quiet > patience:
+            raise RuntimeError(f"{seen} of {keys} timers fired")
+
+
 @query("periodic_timer", "SELECT DISTINCT user_id FROM events")
 def periodic_timer(spark, sf_dir):
     # Each user's timer is armed by the rows and must have fired at least once.
     base = scratch(spark, "timer")
     fired = keyed.periodic_timer(event_stream(spark, sf_dir).select("user_id"), ["user_id"], 1000)
+    users = events(spark, sf_dir).select("user_id").distinct().count()
     with state_settings(spark):
         running = (
             fired.writeStream.format("parquet").option("path", f"{base}/data")
             .option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="1 second").start()
         )
         try:
-            for _ in range(60):
-                running.awaitTermination(1)
-                if any(p["numInputRows"] == 0 and p["sink"]["numOutputRows"] != 0 and p["batchId"] > 0
-                       for p in running.recentProgress):
-                    break
+            _until_all_fired(running, lambda: spark.read.schema(fired.schema).parquet(f"{base}/data"), users)
         finally:
             running.stop()
     return spark.read.schema(fired.schema).parquet(f"{base}/data").select("user_id").distinct()

@@ -25,8 +25,8 @@ def table_stream(
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    # A glob makes the source accept a single file as well as a directory.
-    return reader.parquet(path + "*")
+    # A glob makes the source accept a single file as well as a directory; this one matches the path alone.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def instant(df: DataFrame, column: str) -> Column:

@@ -167,7 +167,7 @@ def test_reconciliation_by_interval(spark):
     for bucketed in (False, True):
         inner = joins.interval_join(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", bucketed)
         assert rows_of(inner, "tx") == [("a",), ("c",), ("d",)]
-        outer = joins.reconcile_outer(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", ["tx"], bucketed=bucketed)
+        outer = joins.reconcile_outer(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", bucketed=bucketed)
         assert rows_of(outer, "tx", "kind") == [
             ("a", "matched"), ("b", "left_only"), ("c", "matched"), ("d", "matched"),
             ("e", "left_only"), ("e", "right_only"), ("f", "right_only"),

@@ -118,7 +118,7 @@ def test_interval_joins_match_python(spark, left, right):
     for bucketed in (False, True):
         inner = interval_join(ldf, rdf, "k", "lt", "rt", "-3 seconds", "4 seconds", bucketed)
         assert sorted((r.l, r.r) for r in inner.collect()) == pairs
-        outer = reconcile_outer(ldf, rdf, "k", "lt", "rt", "-3 seconds", "4 seconds", ["l"], bucketed=bucketed).collect()
+        outer = reconcile_outer(ldf, rdf, "k", "lt", "rt", "-3 seconds", "4 seconds", bucketed=bucketed).collect()
         assert sorted((r.l, r.r) for r in outer if r.kind == "matched") == pairs
         assert sorted(r.l for r in outer if r.kind == "left_only") == lone_l
         assert sorted(r.r for r in outer if r.kind == "right_only") == lone_r

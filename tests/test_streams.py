@@ -216,10 +216,10 @@ def test_stream_joins(spark):
     inner = run_to_files(joins.interval_join(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", False), "inner")
     assert rows_of(inner.where("tx <> 'end'"), "tx") == [("t0",), ("t2",), ("t4",), ("t5",)]
     outer = run_to_files(
-        joins.reconcile_outer(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", ["tx"], bucketed=False), "outer"
+        joins.reconcile_outer(left, right, "tx", "pt", "rt", "-5 seconds", "10 seconds", bucketed=False), "outer"
     )
     batch = [make(spark, r).select(F.col("k").alias("tx"), F.col("t").alias(c)) for r, c in ((left_rows, "pt"), (right_rows, "rt"))]
-    want = joins.reconcile_outer(*batch, "tx", "pt", "rt", "-5 seconds", "10 seconds", ["tx"])
+    want = joins.reconcile_outer(*batch, "tx", "pt", "rt", "-5 seconds", "10 seconds")
     assert rows_of(outer.where("tx <> 'end'"), "tx", "kind") == rows_of(want, "tx", "kind")
     kept = run_to_files(joins.left_join_streams(left, right, "tx", "pt", "rt", "10 seconds"), "left")
     kept = kept.where("tx <> 'end'")
