@@ -635,8 +635,8 @@ def _until_all_fired(running, result, keys, patience=300):
     while seen < keys:
         if running.awaitTermination(1):
             raise RuntimeError("the timer stream ended early")
-        done = any(p["sink"]["numOutputRows"] > 0 for p in running.recentProgress)
-        now = result().select("user_id").distinct().count() if done else 0
+        begun = any(p["batchId"] > 0 for p in running.recentProgress)  # the first batch has written its folder
+        now = result().select("user_id").distinct().count() if begun else 0
         seen, quiet = now, 0 if now > seen else quiet + 1
         if quiet > patience:
             raise RuntimeError(f"{seen} of {keys} timers fired")
