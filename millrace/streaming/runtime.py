@@ -26,6 +26,7 @@ def table_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A glob makes the source accept a single file as well as a directory; this one matches the path alone.
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
