@@ -3,7 +3,7 @@
 A transcript is a sequence of lines. Hidden states are the roles, each as "begins a turn" and "goes on". What is seen of a
 line is its speaker marker, if any, and its shape. The most probable sequence of states (Viterbi) tells where turns begin and
 who speaks. Probabilities are counted from labelled conversations, marker and shape apart, with a little added to each count; the
-counts are as small as the state space.
+counts are as small as the state space. A task decodes its many sequences side by side.
 
 Long conversations are decoded in blocks of ``BLOCK_TURNS`` source turns: every block gives the best score from each
 state before it to each state at its end, these small matrices are chained per conversation, and each block is then decoded
@@ -56,8 +56,14 @@ def shape(line: str) -> str:
 
 def symbols(lines: list[str]) -> np.ndarray:
     """Code of each line: marker and shape."""
-    parts = [(m, shape(rest)) for m, rest in map(split_marker, lines)]
-    return np.array([MARKS.index(m) * len(SHAPES) + SHAPES.index(s) for m, s in parts], np.int64)
+    return read(lines)[0]
+
+
+def read(lines: list[str]) -> tuple[np.ndarray, list[str]]:
+    """(code of each line, the lines without their markers)."""
+    parts = [split_marker(line) for line in lines]
+    codes = [MARKS.index(m) * len(SHAPES) + SHAPES.index(shape(rest)) for m, rest in parts]
+    return np.array(codes, np.int64), [rest for _, rest in parts]
 
 
 def transcript(conversations: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -105,42 +111,80 @@ def fit(turns: DataFrame) -> Model:
     return Model(start, move, (marks[:, :, None] * shapes[:, None, :]).reshape(6, -1))
 
 
-def transfer(codes: np.ndarray, model: Model) -> np.ndarray:
-    """Best score from each state before the lines to each state at their end."""
-    best = np.where(np.eye(6, dtype=bool), 0.0, -np.inf)
-    for c in codes:
-        best = (best[:, :, None] + model.move[None]).max(axis=1) + model.emit[:, c]
-    return best
-
-
-def decode(codes: np.ndarray, model: Model, before: int, end: int) -> list[int]:
-    """The best states between a state before the lines (-1: none) and the state at their end."""
-    score = (model.start if before < 0 else model.move[before]) + model.emit[:, codes[0]]
-    back = []
-    for c in codes[1:]:
-        ways = score[:, None] + model.move
-        back.append(ways.argmax(axis=0))
-        score = ways.max(axis=0) + model.emit[:, c]
-    path = [end]
-    for b in reversed(back):
-        path.append(int(b[path[-1]]))
-    return path[::-1]
-
-
-def in_order(rows) -> list[str]:
-    """The lines of a block, by turn number and then text."""
-    keyed = [((0, 0) if pd.isna(t) else (1, t), list(v)) for t, v in zip(rows["turn"], rows["lines"], strict=True)]
-    return [line for _, lines in sorted(keyed) for line in lines]
-
-
-def by_parts(keys: list[str], one, columns: list[str]):
-    """Apply a function of (key, rows) to each part of a frame that holds many."""
-
-    def run(frame):
-        parts = [one(key, rows) for key, rows in frame.groupby(keys, sort=False)]
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
-
-    return run
+class Runs:
+    """Sequences that lie one after the other in a flat array, walked side by side: step t meets the t-th item of each."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.n = len(lengths)
+        self.order = np.argsort(-lengths, kind="stable")
+        self.starts = (np.cumsum(lengths) - lengths)[self.order]
+        self.total = int(lengths.sum())
+        longest_first = lengths[self.order]
+        self.active = np.searchsorted(-longest_first, -np.arange(int(longest_first[0]) if self.n else 0), side="left")
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        """Places of the items of each step, for the sequences that reach so far, the longest first."""
+        for t, n in enumerate(self.active):
+            yield self.starts[:n] + t
+
+    def __reversed__(self) -> Iterator[np.ndarray]:
+        for t in range(len(self.active) - 1, -1, -1):
+            yield self.starts[: self.active[t]] + t
+
+    def restored(self, values: np.ndarray) -> np.ndarray:
+        """Values per sequence, back in the order of the flat array."""
+        out = np.empty_like(values)
+        out[self.order] = values
+        return out
+
+
+def transfer(codes: np.ndarray, lengths: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Best scores per sequence: of each state at its end from nothing before, and from each state before it."""
+    runs = Runs(lengths)
+    emit = model.emit.T[codes]
+    through = np.tile(np.where(np.eye(6, dtype=bool), 0.0, -np.inf), (runs.n, 1, 1))
+    alone = np.empty((runs.n, 6))
+    for t, at in enumerate(runs):
+        n = len(at)
+        through[:n] = (through[:n, :, :, None] + model.move).max(axis=2) + emit[at][:, None, :]
+        alone[:n] = (model.start if t == 0 else (alone[:n, :, None] + model.move).max(axis=1)) + emit[at]
+    return runs.restored(alone), runs.restored(through)
+
+
+def best_path(runs: Runs, first: np.ndarray, step, ends: np.ndarray | None) -> np.ndarray:
+    """The best state at each place. ``first``: scores of the first item of each sequence; ``step(score, at)``: scores by
+    (sequence, state before, state there); ``ends``: the known last states, if any."""
+    score, back = first[runs.order], np.zeros((runs.total, 6), np.int8)
+    for t, at in enumerate(runs):
+        if t:
+            ways = step(score[: len(at)], at)
+            back[at] = ways.argmax(axis=1)
+            score[: len(at)] = ways.max(axis=1)
+    state = score.argmax(axis=1) if ends is None else ends[runs.order]
+    path = np.empty(runs.total, np.int64)
+    for at in reversed(runs):
+        path[at] = state[: len(at)]
+        state[: len(at)] = back[at, path[at]]
+    return path
+
+
+def decode(codes: np.ndarray, lengths: np.ndarray, model: Model, before: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The best states of each sequence between a state before it (-1: none) and the state at its end."""
+    runs, emit = Runs(lengths), model.emit.T[codes]
+    entry = np.where(before[:, None] < 0, model.start, model.move[before])
+    first = entry + emit[np.cumsum(lengths) - lengths]
+    return best_path(runs, first, lambda score, at: score[:, :, None] + model.move + emit[at][:, None, :], ends)
+
+
+def blocks_in_order(frame: pd.DataFrame) -> tuple[pd.DataFrame, list[str], np.ndarray]:
+    """(first row of each block, all lines by block, turn number and then text, number of lines per block)."""
+    lines = [list(v) for v in frame["lines"]]
+    keys = list(zip(frame["conv"], frame["block"], frame["turn"].isna(), frame["turn"].fillna(0), lines, strict=True))
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    frame = frame.iloc[order]
+    begins = ~frame.duplicated(["conv", "block"]).to_numpy()
+    n_lines = np.array([len(lines[k]) for k in order], np.int64)
+    return frame[begins], [line for k in order for line in lines[k]], np.add.reduceat(n_lines, np.flatnonzero(begins))
 
 
 NO_CONVERSATION = "\x00"
@@ -155,48 +199,43 @@ def parse(turns: DataFrame, model: Model) -> DataFrame:
     n_parts = max(64, -(-turns.count() // ROWS_PER_TASK))
     part = lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(n_parts)).alias("part")
 
-    def scores(key, group):
-        codes = symbols(in_order(group))
-        first = model.start + model.emit[:, codes[0]]
-        best = (first[:, None] + transfer(codes[1:], model)).max(axis=0)
-        return pd.DataFrame({"conv": [key[0]], "block": [key[1]], "alone": [best], "through": [transfer(codes, model).ravel()]})
-
-    def chain(key, group):
-        group = group.sort_values("block")
-        through = [np.array(m).reshape(6, 6) for m in group["through"]]
-        score, back = np.array(group["alone"].iloc[0]), []
-        for m in through[1:]:
-            ways = score[:, None] + m
-            back.append(ways.argmax(axis=0))
-            score = ways.max(axis=0)
-        ends = [int(score.argmax())]
-        for b in reversed(back):
-            ends.append(int(b[ends[-1]]))
-        ends.reverse()
-        return pd.DataFrame({"conv": group["conv"], "block": group["block"], "before": [-1, *ends[:-1]], "end": ends})
-
-    def turns_of(key, group):
-        lines = in_order(group)
-        path = decode(symbols(lines), model, int(group["before"].iloc[0]), int(group["end"].iloc[0]))
-        out: list[list] = []
-        for line, state in zip(lines, path, strict=True):
-            role, begins = STATES[state]
-            if begins or not out:
-                out.append([role, begins, []])
-            out[-1][2].append(split_marker(line)[1] if begins else line)
+    def scores(frame):
+        heads, lines, lengths = blocks_in_order(frame)
+        alone, through = transfer(symbols(lines), lengths, model)
+        return pd.DataFrame({"conv": heads["conv"].array, "block": heads["block"].array, "alone": list(alone), "through": list(through.reshape(-1, 36))})
+
+    def chain(frame):
+        frame = frame.sort_values(["conv", "block"])
+        begins = ~frame.duplicated("conv").to_numpy()
+        lengths = np.diff([*np.flatnonzero(begins), len(frame)])
+        through = np.stack(frame["through"].to_list()).reshape(-1, 6, 6)
+        first = np.stack(frame["alone"][begins].to_list())
+        ends = best_path(Runs(lengths), first, lambda score, at: score[:, :, None] + through[at], None)
+        return pd.DataFrame({"conv": frame["conv"].array, "block": frame["block"].array, "before": np.where(begins, -1, np.roll(ends, 1)), "end": ends})
+
+    def turns_of(frame):
+        heads, lines, lengths = blocks_in_order(frame)
+        codes, bare = read(lines)
+        path = decode(codes, lengths, model, heads["before"].to_numpy(np.int64), heads["end"].to_numpy(np.int64))
+        head = np.cumsum(lengths) - lengths
+        begins = path % 2 == 0  # the even states begin a turn
+        cut = begins.copy()
+        cut[head] = True
+        at = np.flatnonzero(cut)
+        block = np.repeat(np.arange(len(lengths)), lengths)[at]
+        nth = np.arange(len(at)) - np.searchsorted(at, head)[block]
+        texts = ["\n".join([bare[a] if begins[a] else lines[a], *lines[a + 1 : z]]) for a, z in zip(at, [*at[1:], len(lines)], strict=True)]
         return pd.DataFrame({
-            "conv": [key[0]] * len(out), "block": [key[1]] * len(out), "nth": range(len(out)), "role": [o[0] for o in out],
-            "begins": [o[1] for o in out], "n_lines": [len(o[2]) for o in out], "text": ["\n".join(o[2]) for o in out],
+            "conv": heads["conv"].array[block], "block": heads["block"].array[block], "nth": nth, "role": [STATES[k][0] for k in path[at]],
+            "begins": begins[at], "n_lines": np.diff([*at, len(lines)]), "text": texts,
         })
 
     matrices = rows.groupBy(part("conv", "block")).applyInPandas(
-        by_parts(["conv", "block"], scores, ["conv", "block", "alone", "through"]),
-        "conv string, block long, alone array<double>, through array<double>")
+        scores, "conv string, block long, alone array<double>, through array<double>")
     ends = matrices.groupBy(part("conv")).applyInPandas(
-        by_parts(["conv"], chain, ["conv", "block", "before", "end"]), "conv string, block long, before int, end int")
+        chain, "conv string, block long, before int, end int")
     parts = stored(rows.join(ends, ["conv", "block"]).groupBy(part("conv", "block")).applyInPandas(
-        by_parts(["conv", "block"], turns_of, ["conv", "block", "nth", "role", "begins", "n_lines", "text"]),
-        "conv string, block long, nth long, role string, begins boolean, n_lines long, text string"), "turn-parts")
+        turns_of, "conv string, block long, nth long, role string, begins boolean, n_lines long, text string"), "turn-parts")
     # Turn numbers: begun turns of the blocks before, then of the block. A turn that goes on over a block's end is put together.
     begun = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     per_block = parts.groupBy("conv", "block").agg(F.sum(F.col("begins").cast("long")).alias("n"), F.min("begins").alias("all_begin"))

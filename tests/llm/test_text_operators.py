@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -379,12 +380,32 @@ def test_lost_markers_are_recovered(spark):
     model = chat.fit(turns)
     lines = [("User: " if t % 2 == 0 else "Assistant: ") * (rng.random() < 0.7) + text for _, t, _, text in rows[:120]]
     codes = chat.symbols(lines)
-    score = np.array([(model.start + model.emit[:, codes[0]])[:, None] + chat.transfer(codes[1:], model)]).max(axis=(0, 1))
-    path = chat.decode(codes, model, -1, int(score.argmax()))
+    one = np.array([len(codes)])
+    alone, _ = chat.transfer(codes, one, model)
+    path = chat.decode(codes, one, model, np.array([-1]), alone.argmax(axis=1))
     right = sum(chat.STATES[s][0] == rows[k][2] for k, s in enumerate(path))
     assert right >= 0.9 * len(path)
 
 
+def test_side_by_side_decoding_is_plain_viterbi():
+    rng = np.random.default_rng(5)
+    model = chat.Model(rng.random(6), rng.random((6, 6)), rng.random((6, 20)))
+    lengths = np.array([3, 1, 7, 3, 2])
+    codes = rng.integers(0, 20, lengths.sum())
+    alone, through = chat.transfer(codes, lengths, model)
+    path = chat.decode(codes, lengths, model, np.full(5, -1), alone.argmax(axis=1))
+    for k, (a, n) in enumerate(zip(np.cumsum(lengths) - lengths, lengths)):
+        part = codes[a : a + n]
+        score = lambda states: model.start[states[0]] + sum(model.move[p, q] for p, q in zip(states, states[1:])) + sum(model.emit[s, c] for s, c in zip(states, part))  # noqa: E731,B023
+        if n <= 3:
+            want = max(itertools.product(range(6), repeat=int(n)), key=score)
+            assert tuple(path[a : a + n]) == want
+        assert score(path[a : a + n]) == pytest.approx(alone[k].max())
+    first = model.emit[:, codes[0]] + model.move
+    assert through[0].max(axis=1) == pytest.approx(
+        ((first[:, :, None] + model.move + model.emit[:, codes[1]]).max(axis=1)[:, :, None] + model.move + model.emit[:, codes[2]]).max(axis=1).max(axis=1))
+
+
 def test_odd_conversations(spark):
     rows = [(1, 0, "user", None), (1, 1, None, "more"), (None, 0, "user", "hello"), (2, None, "user", "a"), (2, None, "user", "a"), (3, 0, "robot", "b")]
     turns = chat.transcript(talk(spark, rows), "conv_id", "turn", "role", "text")
