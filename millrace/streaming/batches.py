@@ -174,7 +174,11 @@ def rank_updates(counts: DataFrame, keys: list[str], window: str, by: list[str],
 
 
 def append_jdbc(stream: DataFrame, url: str, table: str, base: str, **options: str) -> None:
-    """Append a stream to a database table, batch by batch; needs the driver on the class path."""
+    """Append a stream to a database table, batch by batch; needs the driver on the class path.
+
+    At least once: a batch that failed between insert and commit is inserted again. Where that matters, give the table a
+    unique key or use a keyed upsert table.
+    """
     settings = jdbc_options(url, table, **options)
 
     def each(batch: DataFrame, batch_id: int) -> None:

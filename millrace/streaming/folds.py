@@ -3,7 +3,8 @@
 A fold sees the rows of one key one at a time.  ``step`` takes the remembered
 values and a row and returns new values and output rows; ``due`` and ``expire``
 give a fold a deadline in event time (microseconds, as everywhere here).
-Folds hold a bounded number of values, so the state of a key stays small.
+Folds hold a bounded number of values, so the state of a key stays small; only ``FollowedBy`` keeps every begin that
+waits for its answer.  A null value counts as a row but adds nothing, as in the built-in aggregates.
 """
 
 from __future__ import annotations
@@ -15,6 +16,15 @@ State = tuple
 Rows = list[tuple]
 
 
+def plus(total: float | None, value: float | None) -> float | None:
+    """Sum in which nulls add nothing; null as long as there is no value."""
+    return total if value is None else value if total is None else total + value
+
+
+def highest_first(values: list, more: float | None, n: int) -> list:
+    return sorted([*values, *([] if more is None else [more])], reverse=True)[:n]
+
+
 @dataclass(frozen=True)
 class Fold:
     """``state`` and ``out`` are schemas in DDL; ``out`` leaves out the key columns."""
@@ -41,21 +51,22 @@ class Profile(Fold):
 
     value: str
     arrival: str
-    state: str = field(default="n bigint, total double, highest double, last double", init=False)
+    state: str = field(default="n bigint, known bigint, total double, highest double, last double", init=False)
     out: str = field(
         default="arrival bigint, n bigint, total double, highest double, average double, last double, previous double",
         init=False,
     )
 
     def start(self):
-        return (0, 0.0, None, None)
+        return (0, 0, None, None, None)
 
     def step(self, state, row):
-        n, total, highest, last = state
+        n, known, total, highest, last = state
         v = row[self.value]
-        n, total = n + 1, total + v
-        highest = v if highest is None else max(highest, v)
-        return (n, total, highest, v), [(row[self.arrival], n, total, highest, total / n, v, last)]
+        n, known, total = n + 1, known + (v is not None), plus(total, v)
+        highest = max((x for x in (highest, v) if x is not None), default=None)
+        average = total / known if known else None
+        return (n, known, total, highest, v), [(row[self.arrival], n, total, highest, average, v, last)]
 
 
 @dataclass(frozen=True)
@@ -66,12 +77,12 @@ class CountTumble(Fold):
     out: str = field(default="window_no bigint, total double", init=False)
 
     def start(self):
-        return (0, 0.0, 0)
+        return (0, None, 0)
 
     def step(self, state, row):
-        n, total, number = state[0] + 1, state[1] + row[self.value], state[2]
+        n, total, number = state[0] + 1, plus(state[1], row[self.value]), state[2]
         if n == self.size:
-            return (0, 0.0, number + 1), [(number, total)]
+            return (0, None, number + 1), [(number, total)]
         return (n, total, number), []
 
 
@@ -94,7 +105,8 @@ class CountSlide(Fold):
         n, recent = state[0] + 1, [*state[1], row[self.value]][-self.size :]
         past = n - self.size if self.first_full else n
         fires = past >= 0 and past % self.step_rows == 0
-        return (n, recent), [(row[self.arrival], n, sum(recent))] if fires else []
+        known = [v for v in recent if v is not None]
+        return (n, recent), [(row[self.arrival], n, sum(known) if known else None)] if fires else []
 
 
 @dataclass(frozen=True)
@@ -112,7 +124,7 @@ class Jump(Fold):
 
     def step(self, state, row):
         v, last = row[self.value], state[0]
-        jumps = last is not None and abs(v - last) > self.threshold
+        jumps = v is not None and last is not None and abs(v - last) > self.threshold
         return (v,), [(row[self.arrival], v, last)] if jumps else []
 
 
@@ -130,7 +142,7 @@ class RunningTop(Fold):
         return ([],)
 
     def step(self, state, row):
-        top = sorted([*state[0], row[self.value]], reverse=True)[: self.n]
+        top = highest_first(state[0], row[self.value], self.n)
         return (top,), [(row[self.arrival], top)]
 
 
@@ -147,7 +159,7 @@ class TopTwo(Fold):
         return ([],)
 
     def step(self, state, row):
-        top = sorted([*state[0], row[self.value]], reverse=True)[:2]
+        top = highest_first(state[0], row[self.value], 2)
         if top == list(state[0]):
             return state, []
         return (top,), [(row[self.arrival], v, f"TOP{i + 1}") for i, v in enumerate(top)]
@@ -163,10 +175,10 @@ class Changes(Fold):
     out: str = field(default="arrival bigint, is_insert boolean, n bigint, total double", init=False)
 
     def start(self):
-        return (0, 0.0)
+        return (0, None)
 
     def step(self, state, row):
-        n, total = state[0] + 1, state[1] + row[self.value]
+        n, total = state[0] + 1, plus(state[1], row[self.value])
         old = [(row[self.arrival], False, *state)] if state[0] else []
         return (n, total), [*old, (row[self.arrival], True, n, total)]
 
@@ -189,7 +201,7 @@ class FailPairs(Fold):
         if not row[self.fails]:
             return (None,), []
         at, last = row[self.time], state[0]
-        close = last is not None and abs(at - last) <= self.within
+        close = at is not None and last is not None and abs(at - last) <= self.within
         return (at,), [(row[self.arrival], at, last)] if close else []
 
 
@@ -355,7 +367,7 @@ class NoDrop(Fold):
     def step(self, state, row):
         last, since, nth = state
         v = row[self.value]
-        if last is not None and v < last:
+        if last is not None and v is not None and v < last:
             return (v, None, 0), []
         return (v, row[self.time] if since is None else since, nth), []
 

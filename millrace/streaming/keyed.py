@@ -27,6 +27,13 @@ class _Remembered(StatefulProcessor):
     def load(self):
         return tuple(self.kept.get()) if self.kept.exists() else self.fold.start()
 
+    def keep(self, state: tuple) -> None:
+        """A key that is back at its start values is forgotten."""
+        if tuple(state) == self.fold.start():
+            self.kept.clear()
+        else:
+            self.kept.update(state)
+
     def shown(self, key, values: tuple) -> Row:
         return Row(**dict(zip(self.keys, key)), **dict(zip(self.names, values)))
 
@@ -47,7 +54,7 @@ class InArrivalOrder(_Remembered):
             state, out = self.fold.step(state, row)
             for values in out:
                 yield self.shown(key, values)
-        self.kept.update(state)
+        self.keep(state)
 
 
 class InEventTime(_Remembered):
@@ -88,7 +95,7 @@ class InEventTime(_Remembered):
             yield from (self.shown(key, values) for values in out)
         state, out = self._expired(state, mark)
         yield from (self.shown(key, values) for values in out)
-        self.kept.update(state)
+        self.keep(state)
         self.waiting.clear()
         if later:
             self.waiting.put([tuple(r) for r in later])
@@ -123,8 +130,8 @@ def fold_arrivals(df: DataFrame, keys: list[str], arrival: str, fold: Fold, ttl_
 
 
 def fold_event_time(df: DataFrame, keys: list[str], time: str, arrival: str, fold: Fold) -> DataFrame:
-    """One fold per key in event-time order; ``time`` must carry a watermark."""
-    rows = df.withColumn(AT, F.unix_micros(time))
+    """One fold per key in event-time order; ``time`` must carry a watermark. Rows without a time are left out."""
+    rows = df.where(F.col(time).isNotNull()).withColumn(AT, F.unix_micros(time))
     state, out, full = _types(rows, keys, fold)
     row_type = T.StructType([f for f in rows.schema.fields if f.name not in (*keys, time)])
     processor = InEventTime(fold, state, out.names, keys, None, arrival=arrival, row_type=row_type)

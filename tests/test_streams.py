@@ -80,6 +80,51 @@ def test_folds_in_arrival_order(spark, data):
     assert rows_of(top, "arrival", F.get("top", F.lit(0)), F.get("top", F.lit(2))) == rows_of(want, "n", "top1", "top3")
 
 
+def test_folds_skip_nulls(spark, data):
+    rows = [(*r[:3], None if r[0] % 4 == 1 or r[0] < 9 else r[3], r[4]) for r in data]
+    batch = make(spark, rows)
+    stream = stream_of(spark, rows, sentinel=False).select("n", "k", "v")
+
+    def folded(fold):
+        return run_to_files(keyed.fold_arrivals(stream, KEYS, "n", fold), "fold")
+
+    want = seq.sequence(batch, KEYS, ARRIVAL).running(c=seq.tally(), total=seq.total("v"), m=seq.highest("v"), p=seq.previous("v")).df
+    got = folded(folds.Profile("v", "n"))
+    assert rows_of(got, "arrival", "n", "total", "highest", "previous") == rows_of(want, "n", "c", "total", "m", "p")
+    want = windows.count_slide(batch, KEYS, ARRIVAL, 5, 2, total=lambda w: F.sum("v").over(w))
+    assert rows_of(folded(folds.CountSlide("v", "n", 5, 2)), "arrival", "total") == rows_of(want, "n", "total")
+    want = windows.count_tumble(batch, KEYS, ARRIVAL, 5, total=F.sum("v"))
+    assert rows_of(folded(folds.CountTumble("v", 5)), "k", "window_no", "total") == rows_of(want, "k", "window_no", "total")
+    want = over.prev_value_jump(batch, KEYS, ARRIVAL, "v", 20)
+    assert rows_of(folded(folds.Jump("v", "n", 20)), "arrival", "previous_value") == rows_of(want, "n", "previous_value")
+    for fold in (folds.RunningTop("v", "n"), folds.TopTwo("v", "n"), folds.Changes("v", "n")):
+        assert folded(fold).count() > 0
+
+
+def test_a_settled_key_is_forgotten():
+    class Value:
+        def __init__(self):
+            self.now = None
+
+        def exists(self):
+            return self.now is not None
+
+        def get(self):
+            return self.now
+
+        def update(self, values):
+            self.now = tuple(values)
+
+        def clear(self):
+            self.now = None
+
+    row = lambda n, side: {"n": n, "side": side, "at": n}
+    one = keyed.InArrivalOrder(folds.MatchPair("side", "at"), None, ["left_at", "right_at", "completed_by"], ["k"], None, arrival="n")
+    one.kept = Value()
+    assert list(one.handleInputRows(("a",), iter([row(1, "l")]), None)) == [] and one.kept.exists()
+    assert len(list(one.handleInputRows(("a",), iter([row(2, "r")]), None))) == 1 and not one.kept.exists()
+
+
 def test_folds_in_event_time(spark, data):
     """Rows arrive shuffled inside the watermark delay; results equal the ordered batch form."""
     batch = batch_of(spark, data)
