@@ -212,7 +212,7 @@ def classes(
     rows = rows.select("id", F.xxhash64("text").alias("h"), "text")
     signed = stored(signatures(rows, MinHash(*bands_for(similar, recall))), "signatures")
     nodes = signed.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("id", "h")).alias("at"), F.first("bands").alias("bands"))
+        F.min(F.struct("id", "h")).alias("at"), F.first("bands").alias("bands"), (F.count(F.lit(1)) - 1).alias("n_copies"))
 
     banded = nodes.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("bucket"))
     least = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -232,12 +232,16 @@ def classes(
     found = stored(paired.groupBy("leader", "one", "other").applyInArrow(verifier(similar), "a binary, b binary, n long"), "verified")
     links = found.where("b is not null").select("a", "b")
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
-    known = signed.select("id", "h", "node").join(components(links), "node", "left").join(degree, "node", "left")
+    # Everything is settled per node first. What many rows share, a class or a text, is then joined from a stored table, so
+    # that Spark can split a large one.
+    settled = stored(nodes.select("node", "at", "n_copies").join(components(links), "node", "left").join(degree, "node", "left").select(
+        "node", "at", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "node").alias("class")), "settled")
+    heads = stored(settled.groupBy("class").agg(F.min("at").alias("head")), "heads")
+    told = stored(settled.join(heads, "class").select("node", "head", "n_links", "n_copies"), "told")
+    worded = signed.where("node is not null").select("id", "h", "node").join(told, "node").select(
+        "id", "h", F.col("head.id").alias("class_id"), F.col("head.h").alias("first_h"), "n_links", "n_copies")
     # A row without words is a class of its own.
-    alone = F.coalesce("root", "node", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "h").cast("string").cast("binary"))
-    member = known.withColumn("class", alone)
-    heads = member.groupBy("class").agg(F.min(F.struct("id", "h")).alias("head"))
-    copies = signed.where("node is not null").groupBy("node").agg((F.count(F.lit(1)) - 1).alias("n_copies"))
-    return member.join(heads, "class").join(copies, "node", "left").select(
-        "id", "h", F.col("head.id").alias("class_id"), F.col("head.h").alias("first_h"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"))
+    none = F.lit(0).cast("long")
+    wordless = signed.where("node is null").select(
+        "id", "h", F.col("id").alias("class_id"), F.col("h").alias("first_h"), none.alias("n_links"), none.alias("n_copies"))
+    return worded.unionAll(wordless)
