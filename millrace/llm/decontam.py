@@ -1,12 +1,15 @@
 """Benchmark decontamination by template canonicalisation, on built-in functions only.
 
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template. Windows of
-``WINDOW`` canonical words of the benchmark are hash-joined with all windows of all documents. For a document that shares enough
-windows with an item, the slots are compared on the alignment with most shared windows: a value of the item must always have become the same
-value. Then the document holds the item, word for word or with other parameters.
+``WINDOW`` words of the benchmark, as they are and canonical, are hash-joined with all windows of all documents. Shared windows of one
+shift are a run. Slots are compared where the windows of a run stand, each by its own shift: a value of the item must always have become the
+same value, inside a run and among the runs put together. Runs that are word for word always go together. If the runs hold enough windows
+of the item, the document holds it, word for word or with other parameters.
 
 Names are capitalised words that do not begin a sentence; units count behind a number. A benchmark window needs ``LITERAL``
-words that are no placeholders, so runs of numbers do not match each other.
+words that are no placeholders to be looked for as a template, with fewer it is looked for word for word only; a run without any such word
+does not count, so runs of numbers do not match each other. The share is the larger of two: of all windows those found word for word, of
+the windows with enough such words those found either way.
 
 Defined results: a null text is empty; items and documents below ``WINDOW`` words share nothing; rows that repeat id and text are
 one document; of repeated items each counts; further columns are not read; an empty table on either side gives no rows.
@@ -59,48 +62,81 @@ def is_slot(word: str) -> str:
     return f"{word} in ('{NAME}', '{NUMBER}', '{UNIT}')"
 
 
+def plain(words: str | Column) -> Column:
+    """The words without the marks of names."""
+    return F.transform(words, lambda w: F.replace(w, F.lit(NAME), F.lit("")))
+
+
+def windows_of(words: str, canon: str) -> Column:
+    """(place, hash, whether of the words themselves) of each window; canonical only where it has a slot, else it is the same."""
+    both = F.struct(windows(words).alias("e"), windows(canon).alias("c"))
+    return F.transform(F.array(both), lambda b: F.concat(
+        F.transform(b["e"], lambda w, i: F.struct(i.alias("pos"), w.alias("w"), F.lit(True).alias("exact"))),
+        F.filter(F.transform(b["c"], lambda w, i: F.struct(i.alias("pos"), w.alias("w"), F.lit(False).alias("exact"))),
+                 lambda s: s["w"] != F.get(b["e"], s["pos"])),
+    ))[0]
+
+
+# Slots of a run (the windows of one shift): item value and document value at the item's places that its windows cover.
+RUNS = (
+    "transform(runs, r -> struct(r.shift as shift, r.at_exact as exact, r.at_dense as dense, size(r.at) = size(r.at_exact) as same, "
+    f"transform(filter(array_distinct(flatten(transform(r.at, i -> sequence(i, i + {WINDOW - 1})))), j -> {is_slot('icanon[j]')}), "
+    "j -> struct(j as j, iwords[j] as a, words[r.shift + j] as b)) as pairs))")
+_NONE = (
+    "named_struct('exact', cast(array() as array<int>), 'dense', cast(array() as array<int>), "
+    "'pairs', cast(array() as array<struct<j: int, a: string, b: string>>))")
+_JOINED = (
+    "named_struct('exact', array_union(s.exact, r.exact), 'dense', array_union(s.dense, r.dense), 'pairs', array_union(s.pairs, r.pairs))")
+_AGREE = (
+    "size(array_distinct(transform(concat(s.pairs, r.pairs), p -> struct(p.a, p.b)))) = "
+    "size(array_distinct(transform(concat(s.pairs, r.pairs), p -> p.a)))")
+# What can be put together: all runs that are word for word, and from each run on the nearest others whose values agree.
+TRIES = (
+    f"concat(array(aggregate(filter(runs, r -> r.same), {_NONE}, (s, r) -> {_JOINED})), "
+    "transform(filter(runs, q -> not q.same), q -> aggregate(array_sort(runs, (x, y) -> case when abs(x.shift - q.shift) < abs(y.shift - q.shift) then -1 "
+    "when abs(x.shift - q.shift) > abs(y.shift - q.shift) then 1 when x.shift < y.shift then -1 when x.shift > y.shift then 1 else 0 end), "
+    f"{_NONE}, (s, r) -> if({_AGREE}, {_JOINED}, s))))")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """``id``, ``h`` (hash of the text), ``item``, shared windows, ``share``, ``slots``, ``changed`` and ``kind`` of every hit."""
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("h"), "text")
-    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("iwords"))
-    items = items.withColumn("icanon", canonical("iwords")).withColumn("iw", windows("icanon"))
-    listed = items.select("item", F.posexplode("iw").alias("ipos", "w"), "icanon")
-    dense = listed.where(F.expr(f"size(filter(slice(icanon, ipos + 1, {WINDOW}), c -> not ({is_slot('c')}))) >= {LITERAL}"))
-    index = stored(dense.select("item", "ipos", "w"), "benchmark-windows")
-    sizes = index.groupBy("item").agg(F.countDistinct("ipos").alias("n"))
+    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("marked"))
+    items = items.select("item", plain("marked").alias("iwords"), canonical("marked").alias("icanon"))
+    listed = items.select("item", "icanon", F.inline(windows_of("iwords", "icanon")).alias("ipos", "w", "exact"))
+    literal = F.expr(f"size(filter(slice(icanon, ipos + 1, {WINDOW}), c -> not ({is_slot('c')})))")
+    listed = listed.select("item", "ipos", "w", "exact", (literal >= LITERAL).alias("dense"), (literal > 0).alias("worded"))
+    index = stored(listed.where("exact or dense"), "benchmark-windows")
+    sizes = index.groupBy("item").agg(
+        F.countDistinct("ipos").alias("n"), F.countDistinct(F.when(F.col("dense"), F.col("ipos"))).alias("n_dense"))
     probe = F.broadcast(index) if index.count() <= BROADCAST_WINDOWS else index
 
-    seen = rows.select("id", "h", tokens(F.col("text")).alias("words")).select("id", "h", canonical("words").alias("canon"))
-    placed = seen.select("id", "h", F.posexplode(windows("canon")).alias("pos", "w"))
+    seen = rows.select("id", "h", tokens(F.col("text")).alias("marked"))
+    seen = seen.select("id", "h", plain("marked").alias("words"), canonical("marked").alias("canon"))
+    placed = seen.select("id", "h", F.inline(windows_of("words", "canon")).alias("pos", "w", "exact")).drop("exact")
+    only = lambda flag: F.collect_set(F.when(F.col(flag), F.col("ipos")))
     shared = placed.join(probe, "w").groupBy("id", "h", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
-        F.collect_set("ipos").alias("at"))
-    whole = shared.groupBy("id", "h", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("shared"),
-        F.max_by("shift", F.struct(F.size("at"), -F.col("shift"))).alias("shift"))
-    hits = stored(whole.join(sizes, "item").withColumn("share", F.col("shared") / F.col("n")).where(F.col("share") >= SHARE), "hits")
-
-    # Slots, only for items that have any.
-    slotted = items.where(F.expr(f"exists(icanon, c -> {is_slot('c')})")).select("item", "iwords", "icanon")
-    asked = hits.join(slotted, "item").select("id", "h", "item", "shift", "iwords", "icanon")
-    none = hits.select("*", F.lit(0).alias("slots"), F.lit(0).alias("changed"), F.lit(True).alias("consistent"))
-    if asked.isEmpty():
-        judged = none
-    else:
-        told = rows.join(asked, rows["id"].eqNullSafe(asked["id"]) & (rows["h"] == asked["h"])).select(
-            rows["id"], rows["h"], "item", "shift", "iwords", "icanon", tokens(F.col("text")).alias("words"))
-        pairs = F.expr(
-            f"filter(transform(sequence(0, size(iwords) - 1), j -> struct(iwords[j] as a, if(shift + j between 0 and size(words) - 1, "
-            f"words[greatest(0, least(size(words) - 1, shift + j))], null) as b, icanon[j] as c)), p -> {is_slot('p.c')} and p.b is not null)")
-        checked = told.withColumn("pairs", pairs).select(
-            "id", "h", "item", F.size("pairs").alias("slots"), F.expr("size(filter(pairs, p -> p.a <> p.b))").alias("changed"),
-            F.expr("size(array_distinct(transform(pairs, p -> struct(p.a, p.b)))) = size(array_distinct(transform(pairs, p -> p.a)))").alias("consistent"),
-        ).dropDuplicates(["id", "h", "item"])
-        on = hits["id"].eqNullSafe(checked["id"]) & (hits["h"] == checked["h"]) & (hits["item"] == checked["item"])
-        judged = hits.join(checked, on, "left").select(
-            hits["*"], F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("changed", F.lit(0)).alias("changed"),
-            F.coalesce("consistent", F.lit(True)).alias("consistent"))
-    kind = F.when(F.col("changed") > 0, "other parameters").otherwise("same words")
-    return judged.where("consistent").select("id", "h", "item", "shared", "share", "slots", "changed", kind.alias("kind"))
+        F.collect_set("ipos").alias("at"), only("exact").alias("at_exact"), only("dense").alias("at_dense"),
+        F.max("worded").alias("worded")).where("worded")
+    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    runs = shared.groupBy("id", "h", "item").agg(
+        F.collect_list(F.struct("shift", "at", "at_exact", "at_dense")).alias("runs"),
+        distinct("at_exact").alias("most_exact"), distinct("at_dense").alias("most_dense"))
+    hits = stored(runs.join(sizes, "item").where(f"most_exact >= {SHARE} * n or (n_dense > 0 and most_dense >= {SHARE} * n_dense)"), "hits")
+
+    told = rows.join(hits, rows["id"].eqNullSafe(hits["id"]) & (rows["h"] == hits["h"])).select(
+        rows["id"], rows["h"], "item", "runs", "n", "n_dense", plain(tokens(F.col("text"))).alias("words"))
+    judged = told.join(items, "item").withColumn("runs", F.expr(RUNS)).withColumn("tries", F.expr(TRIES)).select(
+        "id", "h", "item", F.explode("tries").alias("t"), "n", "n_dense")
+    share = F.greatest(F.size("t.exact") / F.col("n"), F.when(F.col("n_dense") > 0, F.size("t.dense") / F.col("n_dense")))
+    by_words = F.size("t.exact") / F.col("n") == share
+    judged = judged.select(
+        "id", "h", "item", F.struct(
+            share.alias("share"), F.expr("-size(filter(t.pairs, p -> p.a <> p.b))").alias("kept"), F.size("t.pairs").alias("slots"),
+            F.when(by_words, F.size("t.exact")).otherwise(F.size("t.dense")).alias("shared")).alias("best"))
+    best = judged.where(F.col("best.share") >= SHARE).groupBy("id", "h", "item").agg(F.max("best").alias("best"))
+    kind = F.when(F.col("best.kept") < 0, "other parameters").otherwise("same words")
+    return best.select("id", "h", "item", "best.shared", "best.share", "best.slots", (-F.col("best.kept")).alias("changed"), kind.alias("kind"))

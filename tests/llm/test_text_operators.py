@@ -148,6 +148,27 @@ def test_inconsistent_slots_are_no_hit(spark):
     assert table(decontam.contaminated(frame(spark, rows), items), "id") == [(1,)]
 
 
+NATALIA = ("Natalia sold clips to 48 of her friends in April and then she sold half as many clips in May. How many clips "
+           "did Natalia sell altogether in April and May?")
+
+
+def test_partial_edited_and_slot_dense_copies_are_found(spark):
+    filler = words(random.Random(7), 40, "uvwxyz")
+    numbers = "List 3 7 9 12 15 21 33 45 67 89 91 and 99 in order"
+    put = lambda word: NATALIA.replace("she sold", f"she {word} sold")
+    other = NATALIA.replace("48", "72").replace("April", "June").replace("May", "July")
+    third = NATALIA.replace("48", "13").replace("April", "March").replace("May", "August")
+    rows = [(1, f"{filler} {NATALIA.split(' altogether')[0]} {filler}", None), (2, f"{filler} {' '.join(NATALIA.split()[:22])} {filler}", None),
+            (3, put("exactly"), None), (4, f"So {put('So')} {filler}", None), (5, f"{filler} {numbers} {filler}", None),
+            (6, numbers.replace("9", "8"), None), (7, other.replace("she sold", "she only sold"), None), (8, f"{other} {filler} {third}", None),
+            (9, NATALIA.replace("in April and May", "in June and May"), None), (10, f"{third} {filler} {put('exactly')}", None)]
+    items = spark.createDataFrame([(1, NATALIA), (2, numbers)], "item_id long, text string")
+    got = decontam.contaminated(frame(spark, rows), items)
+    assert table(got, "id", "item", "kind") == sorted(
+        [(i, 1, "same words") for i in (1, 2, 3, 4)] + [(5, 2, "same words"), (7, 1, "other parameters"), (8, 1, "other parameters"),
+                                                        (10, 1, "other parameters")], key=repr)
+
+
 def test_decontamination_of_nothing(spark, odd, nothing):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontam.contaminated(nothing, items).count() == 0
