@@ -13,7 +13,8 @@ the same document.
    not been parted are the groups of equal strings; each keeps its earliest member.
 4. The runs of repeated strings of each document are joined to its text.
 
-An anchor whose fragments would not fit a bucket is dealt again by whole strings, so no group is too large for a task.
+The strings of an anchor whose fragments would not fit a bucket are not sent to one: their earliest places are found by partial aggregation, and
+all other places by a join on the string, which Spark can split. So no group has to fit a task's memory.
 
 Defined results: a null text is empty; a text below ``LENGTH`` bytes loses nothing; rows that repeat id and text are one
 document, and each gets its result; rows of one id with different texts are ordered by a hash of the text; a null id precedes all others;
@@ -239,6 +240,24 @@ def _same(a: DataFrame, b: DataFrame):
     return a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
 
 
+def folded(cut: DataFrame) -> DataFrame:
+    """Runs of strings of ``cut`` that start earlier in another place, by partial aggregation and a join that can be split.
+
+    Two hashes besides the anchor stand for a string, as for a fragment.
+    """
+    starts = F.expr(f"transform(sequence(1, length(bytes) - {LENGTH - 1}), "
+                    f"s -> struct(lo + s - 1 as lo, xxhash64(substring(bytes, s, {LENGTH})) as x, xxhash64(1, substring(bytes, s, {LENGTH})) as y))")
+    strings = cut.select("id", "h", "anchor", F.explode(starts).alias("p")).select("id", "h", "anchor", "p.lo", "p.x", "p.y")
+    string = ["anchor", "x", "y"]
+    firsts = strings.groupBy(string).agg(F.min(F.struct("id", "h", "lo")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = stored(firsts.select(*string, "first"), "first-strings")
+    first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("lo") == F.col("first.lo"))
+    later = strings.join(firsts, string).where(~first).select("id", "h", "lo").distinct()
+    run = F.col("lo") - F.row_number().over(Window.partitionBy("id", "h").orderBy("lo"))
+    return later.withColumn("run", run).groupBy("id", "h", "run").agg(
+        F.min("lo").alias("lo"), (F.max("lo") - F.min("lo") + LENGTH).cast("int").alias("size")).select("id", "h", "lo", "size")
+
+
 def spans(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``id``, ``h``, ``lo``, ``size`` of byte runs to remove; ``docs`` has ``id``, ``h`` and ``text``."""
     of_anchor, of_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content").orderBy("id", "h", "lo")
@@ -248,30 +267,30 @@ def spans(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
         "anchor", "id", "h", "lo", "size", (F.col("again") | (F.col("nth") > 1)).alias("again")), "fragments")
     rest = kept.where("not again").select("anchor", "id", "h", "lo", "size").distinct()
 
-    places = rest.groupBy("id", "h").agg(F.collect_list(F.struct("anchor", "lo", "size")).alias("parts"))
-    cut = docs.join(places, _same(docs, places)).select(docs["id"], docs["h"], F.explode(F.expr(
-        "transform(parts, p -> struct(p.anchor as anchor, p.lo as lo, substring(cast(text as binary), p.lo + 1, p.size) as bytes))"
-    )).alias("p")).select("id", "h", "p.anchor", "p.lo", "p.bytes")
+    def cut(parts: DataFrame) -> DataFrame:
+        places = parts.groupBy("id", "h").agg(F.collect_list(F.struct("anchor", "lo", "size")).alias("parts"))
+        return docs.join(places, _same(docs, places)).select(docs["id"], docs["h"], F.explode(F.expr(
+            "transform(parts, p -> struct(p.anchor as anchor, p.lo as lo, substring(cast(text as binary), p.lo + 1, p.size) as bytes))"
+        )).alias("p")).select("id", "h", "p.anchor", "p.lo", "p.bytes")
+
     total = rest.agg(F.sum("size")).first()[0] or 0
     n_buckets = max(64, -(-total // bucket_bytes))
 
-    # Anchors beyond a bucket are dealt by whole strings; equal ones still meet.
-    large = rest.groupBy("anchor").agg(F.sum("size").alias("n")).where(F.col("n") > bucket_bytes).select(F.col("anchor").alias("a"))
+    # Anchors beyond a bucket do not go to buckets.
+    large = rest.groupBy("anchor").agg(F.sum("size").alias("n")).where(F.col("n") > bucket_bytes).select("anchor")
+    large = stored(large, "large-anchors")
+    again = kept.where("again").select("id", "h", "lo", "size")
     if not large.isEmpty():
-        marked = cut.join(large, F.col("anchor") == F.col("a"), "left")
-        strings = f"transform(sequence(1, length(bytes) - {LENGTH - 1}), s -> struct(lo + s - 1 as lo, substring(bytes, s, {LENGTH}) as bytes))"
-        whole = "array(struct(lo, bytes))"
-        cut = marked.withColumn("p", F.explode(F.expr(f"if(a is null, {whole}, {strings})"))).select(
-            "id", "h", F.when(F.col("a").isNull(), F.col("anchor")).otherwise(F.xxhash64("anchor", "p.bytes")).alias("anchor"),
-            "p.lo", "p.bytes")
+        again = again.unionByName(folded(cut(rest.join(large, "anchor", "left_semi"))))
+        rest = rest.join(large, "anchor", "left_anti")
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(n_buckets))
     kind = docs.schema["id"].dataType.simpleString()
 
     def expand(bucket):
         return repeats_of_bucket(bucket)
 
-    partly = cut.groupBy(bucket.alias("bucket")).applyInArrow(expand, f"id {kind}, h long, lo int, size int")
-    return kept.where("again").select("id", "h", "lo", "size").unionByName(partly)
+    partly = cut(rest).groupBy(bucket.alias("bucket")).applyInArrow(expand, f"id {kind}, h long, lo int, size int")
+    return again.unionByName(partly)
 
 
 def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:

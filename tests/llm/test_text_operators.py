@@ -287,6 +287,23 @@ def test_repeats_against_brute_force(spark, monkeypatch, bucket):
     assert got == brute_repeats(rows)
 
 
+def test_equal_strings_of_many_contexts_do_not_meet_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(repeats.spans, "__defaults__", (2000,))
+    whole = repeats.repeats_of_bucket
+
+    def small(bucket):
+        size = sum(len(b) + 1 for b in bucket["bytes"].to_pylist())
+        assert size <= 20_000, size
+        return whole(bucket)
+
+    monkeypatch.setattr(repeats, "repeats_of_bucket", small)
+    rng = random.Random(14)
+    passage = words(rng, 60)
+    rows = [(i, f"{words(rng, 30)} {passage} {words(rng, 30)}") for i in range(300)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.clean(frame(spark, [(i, t, None) for i, t in rows])).collect()}
+    assert got == brute_repeats(rows)
+
+
 def test_repeats_of_odd_rows(spark, odd, nothing):
     got = table(repeats.clean(odd), "doc_id", "n_removed")
     assert got.count((4, 0)) == 2 and (1, 0) in got and len(got) == 9
