@@ -5,8 +5,8 @@ then permuted within their format by a keyed Feistel network: a card number beco
 separators, a date another date, an address another address. The permutation depends on the key and the kind alone, so
 equal values stay equal, and linked, across all documents, and whoever has the key can undo it.
 
-Kinds: payment card (13 to 19 digits, Luhn), phone (+ country code), social security number (its valid areas), IBAN
-(mod 97), IPv4, dates from 1900 to 2099 (year-month-day, day.month.year, day/month/year or month/day/year), e-mail,
+Kinds: payment card (13 to 19 digits, Luhn), phone (+ country code, or a national number with its area code), social security number (its valid areas), IBAN
+(mod 97), IPv4, dates from 1900 to 2099 (year-month-day, also before a time, day.month.year, day/month/year or month/day/year), e-mail,
 hexadecimal secrets of 32 digits or more.
 
 Defined results: a null text stays null, an empty one empty; a text without a match is returned unchanged; rows are
@@ -16,6 +16,7 @@ treated one by one, so repeated rows stay alike; other columns are not touched;
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -29,19 +30,45 @@ KINDS = ("email", "secret", "iban", "ipv4", "date", "phone", "ssn", "card")
 ROUNDS = 8
 MAYBE = r"[0-9@]"
 
+NAME = r"\w\u0300-\u036f\u0900-\u0dff\u0e00-\u0eff+%-"  # with the marks that stand on letters; they stay
 FIND = re.compile(
-    r"(?P<email>(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    rf"(?P<email>(?<![{NAME}.])[{NAME}]+(?:\.[{NAME}]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})"
     r"|(?P<secret>(?<![\w])[0-9a-fA-F]{32,}(?!\w))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ipv4>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?![A-Za-z_]))"
-    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-])(?!\.\d))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w))"
+    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-])(?!\.\d)"
+    r"|(?<![\w/.-])\d{4}-\d{2}-\d{2}(?=[Tt]\d{2}|Z\b))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)"
+    r"|(?<![\w+.(-])(?:1[ .-])?(?:\(\d{2,5}\) ?|\d{3}(?P<dash>[ .-]))\d{3}(?(dash)(?P=dash)|[ .-])\d{4}(?![\w-])(?!\.\d)"
+    r"|(?<![\w+.(-])\(0\d{1,4}\) ?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?![\w-])(?!\.\d)"
+    r"|(?<![\w+./-])0\d{1,4}[ /-]\d{3,4}(?:[ -]?\d{2,4}){1,2}(?![\w/-])(?!\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<!\w)(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{13,19})(?!\w))"
+    r"|(?P<card>(?<!\w)(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<six>[ -])\d{6}(?P=six)\d{4,5}"
+    r"|\d{6}[ -]\d{7,13}|\d{13,19})(?!\w))"
 )
 ACCENTS = "".join(chr(c) for c in range(0xE0, 0x100) if chr(c).isalpha())
 
 
+def beyond(c: str) -> bool:
+    """A letter or digit of no other alphabet."""
+    return c.isalnum() and not c.lower().isascii() and c.lower() not in ACCENTS
+
+
+@functools.cache
+def block_of(c: str) -> int:
+    """Letters beyond Latin-1 are permuted among the letters, or the digits, of one kind of case in their 256 code points; CJK and Hangul among all."""
+    point, kind = ord(c), 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
+    first = next((a for a, b in ((0x4E00, 0x9FFF), (0xAC00, 0xD7A3)) if a <= point <= b), point & ~0xFF)
+    return first * 4 + kind
+
+
+@functools.cache
+def letters_of(block: int) -> str:
+    first = block // 4
+    size = {0x4E00: 0x5200, 0xAC00: 0x2BA4}.get(first, 0x100)
+    return "".join(c for c in map(chr, range(first, first + size)) if beyond(c) and block_of(c) == block)
+
+
 class Feistel:
     """A keyed permutation of the numbers below any bound, by balanced halves and cycle walking."""
 
@@ -98,20 +125,26 @@ class Pseudonyms:
     def _mixed(self, value: str, kind: str, alphabets: tuple[str, ...]) -> str:
         """Every alphabet's characters permuted among themselves."""
         for alphabet in alphabets:
-            chars = "".join(c for c in value.lower() if c in alphabet) if len(value.lower()) == len(value) else ""
+            chars = "".join(c.lower() for c in value if c.lower() in alphabet)
             if chars:
                 value = refill(value, self.feistel.letters(chars, alphabet, f"{kind}{alphabet[0]}", self.back), alphabet)
         return value
 
-    def email(self, value: str) -> str:
+    def email(self, value: str) -> str | None:
         local, _, domain = value.rpartition("@")
-        return self._mixed(local, "email", (SMALL, DIGITS, ACCENTS)) + "@" + domain
+        new = self._mixed(local, "email", (SMALL, DIGITS, ACCENTS))
+        for block in sorted({block_of(c) for c in new if beyond(c)}):
+            alphabet = letters_of(block)
+            at = [i for i, c in enumerate(new) if beyond(c) and block_of(c) == block]
+            mixed = iter(self.feistel.letters("".join(new[i] for i in at), alphabet, f"email{block}", self.back))
+            new = "".join(next(mixed) if i in at else c for i, c in enumerate(new))
+        return new + "@" + domain if any(c.isalnum() for c in local) else None
 
     def secret(self, value: str) -> str:
         return self._mixed(value, "secret", (HEX,))
 
     def phone(self, value: str) -> str | None:
-        head = re.match(r"\+\d{1,3}", value)[0]
+        head = re.match(r"\+\d{1,3}|(?:1[ .-])?\(?\d", value)[0]  # the first digit of an area code tells its form
         rest = value[len(head):]
         return head + self._mixed(rest, "phone", (DIGITS,)) if 6 <= sum(c.isdigit() for c in rest) <= 12 else None
 

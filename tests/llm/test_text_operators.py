@@ -376,6 +376,21 @@ def test_pseudonyms_keep_format_and_can_be_undone():
     assert back.text(new)[0] == text
 
 
+def test_pseudonyms_of_other_scripts_and_national_forms():
+    there, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", back=True)
+    names = ["иванов", "Иванов.7", "παπάς", "محمد", "山田太郎", "김철수", "İvan.b", "jürgen", "jose\u0301", "राम"]
+    phones = ["(017) 555-7713", "555-123-4567", "(030) 12345678", "030 1234567", "1-555-123-4567", "555.123.4567", "(476) 555-6291"]
+    others = ["3782 822463 10005", "2021-03-04T10:00", "2021-03-04T10:00:00Z"]
+    for value, kind in [*[(f"{n}@mail.example.com", "email") for n in names], *[(p, "phone") for p in phones],
+                        (others[0], "card"), *[(d, "date") for d in others[1:]]]:
+        text = f"so {value} it is"
+        new, found = there.text(text)
+        assert found == {kind: 1} and new != text and len(new) == len(text), (value, new, found)
+        assert back.text(new)[0] == text, value
+    for left in ("_+_@mail.example.com", "3782 822463 10006", "2021-02-30T10:00", "2021-03-04Tea"):
+        assert there.text(left) == (left, {})
+
+
 def test_pseudonyms_in_rows(spark, odd, nothing):
     rows = frame(spark, [(1, None, None), (2, "", None), (3, "no data here", None), (4, "write to x.y@z.example.org", None), (4, "write to x.y@z.example.org", None)])
     got = pii.pseudonymise(rows, PII_KEY)
