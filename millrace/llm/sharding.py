@@ -1,7 +1,8 @@
 """Two-pass external shuffle: scatter into memory-sized buckets, then Fisher-Yates inside each.
 
-Pass one sends every record to a bucket chosen by a seeded hash of its key, so buckets are uniform whatever the
-order, the source or the copies of the input. Pass two shuffles each bucket in memory. The buckets in order, each in its
+Pass one sends every record to a bucket chosen by a seeded hash of its key and text. Rows that repeat both and would fill more
+than a quarter of a bucket are numbered and dealt in blocks of that size, so buckets are uniform whatever the order, the source or
+the copies of the input. Pass two shuffles each bucket in memory. The buckets in order, each in its
 shuffled order, are one random permutation of the input; shard ``s`` of ``n`` takes its positions from
 ``ceil(s * rows / n)`` on, so shard sizes differ by one row at most.
 
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import stored
+
 MIN_BUCKETS = 64
 
 
@@ -28,14 +31,30 @@ def bucket_count(docs: DataFrame, text: str, bucket_bytes: int) -> int:
     return max(MIN_BUCKETS, -(-size // bucket_bytes))
 
 
-def scatter(docs: DataFrame, n_buckets: int, seed: int, key: str, text: str) -> DataFrame:
+def scatter(docs: DataFrame, n_buckets: int, seed: int, key: str, text: str, bucket_bytes: int) -> DataFrame:
     """Pass one: ``doc`` with its bucket and two hashes that fix an order inside the bucket."""
-    return docs.select(
+    name = ["by_key", "by_text"]
+    rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n_buckets)).alias("bucket"),
         F.xxhash64(F.lit(seed + 1), F.col(key)).alias("by_key"),
         F.xxhash64(F.lit(seed + 2), F.col(text)).alias("by_text"),
+        F.greatest(F.lit(1), F.floor(F.lit(bucket_bytes // 4) / (F.coalesce(F.octet_length(text), F.lit(0)) + 16))).alias("block"),
     )
+    dealt = lambda df, *more: df.select(
+        "doc", F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in name], *more), F.lit(n_buckets)).alias("bucket"), *name)
+    copies = rows.groupBy(*name).agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("most")).where("n > most").select(*name)
+    copies = stored(copies, "many-copies")
+    if copies.isEmpty():
+        return dealt(rows)
+    # A number for each copy: those in earlier files, and a running number inside the file.
+    many = stored(rows.join(copies, name, "left_semi"), "copies").withColumn("file", F.col("_metadata.file_name"))
+    earlier = Window.partitionBy(*name).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = many.groupBy(*name, "file").agg(F.count(F.lit(1)).alias("n")).select(
+        *name, "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy(*name, "file").orderBy("block")) - 1
+    numbered = many.withColumn("nth", nth).join(offsets, [*name, "file"])
+    blocks = dealt(numbered, F.floor((F.col("before") + F.col("nth")) / F.col("block")))
+    return dealt(rows.join(copies, name, "left_anti")).unionByName(blocks)
 
 
 def fisher_yates(seed: int):
@@ -59,7 +78,7 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """``doc``, ``shard`` and ``slot`` (from 0, without gaps) of every row."""
     n_buckets = bucket_count(docs, text, bucket_bytes)
-    scattered = scatter(docs, n_buckets, seed, key, text)
+    scattered = scatter(docs, n_buckets, seed, key, text, bucket_bytes)
     schema = T.StructType([
         T.StructField("doc", docs.schema), T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()),
     ])

@@ -361,6 +361,26 @@ def test_shards_are_even_and_repeatable(spark, odd, nothing):
     assert sharding.shuffle_into_shards(nothing).count() == 0
 
 
+def test_copies_do_not_fill_one_bucket(spark, monkeypatch):
+    plain = sharding.fisher_yates
+
+    def small(seed):
+        run = plain(seed)
+
+        def checked(key, bucket):
+            assert bucket.num_rows <= 120, bucket.num_rows
+            return run(key, bucket)
+
+        return checked
+
+    monkeypatch.setattr(sharding, "fisher_yates", small)
+    rows = frame(spark, [(1, f"text {i} of one id", None) for i in range(600)] + [(2, "the same text again and again", None)] * 600
+                 + [(None, f"text {i} without id", None) for i in range(300)] + [(None, None, None)] * 300)
+    place = lambda df: table(sharding.shuffle_into_shards(df, 7, bucket_bytes=2000), "doc.doc_id", "doc.text", "shard", "slot")
+    got = place(rows)
+    assert got == place(rows.repartition(5)) and len({r[2:] for r in got}) == len(got) == 1800
+
+
 # ------------------------------------------------------------------ personal data
 
 def test_pseudonyms_keep_format_and_can_be_undone():
