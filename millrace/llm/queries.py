@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, langid, licenses, neardup, packing, pii, quality, repeats, sharding
+from millrace.llm import chat, decontam, interactions, langid, licenses, neardup, packing, pii, quality, repeats, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -118,3 +118,36 @@ def op3(spark, sf_dir):
     hits = decontam.contaminated(documents(spark, sf_dir), items)
     return hits.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("shared").cast("long").alias("n_shared"),
                        "share", "slots", "changed", "kind")
+
+
+@query("op12_filter_audit", r"""
+    WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                      min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+    marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    c AS (SELECT part, (len(words) < 200)::INT + 2 * (100 * list_unique(words) < 50 * len(words))::INT
+                 + 4 * (100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * len(t))::INT
+                 + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > first_id, false)::INT AS bits,
+                 coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+          FROM w LEFT JOIN marks USING (doc_id)),
+    cells AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM c GROUP BY part, bits),
+    one AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f)),
+    orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM one a, one b, one c, one d, one e
+               WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+    steps AS (SELECT filter_order, CAST(step AS INT) AS step, 1 << (ascii(filter_order[step]) - 65) AS own,
+                     CAST(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS BIGINT) AS b
+              FROM orders, range(1, 6) r(step)),
+    found AS (SELECT part, filter_order, step,
+                     sum(CASE WHEN bits & (coalesce(b, 0) | own) = 0 THEN n ELSE 0 END) AS kept,
+                     sum(CASE WHEN bits & coalesce(b, 0) = 0 AND bits & own <> 0 THEN n ELSE 0 END) AS removed,
+                     sum(CASE WHEN bits & coalesce(b, 0) <> 0 AND bits & own <> 0 THEN n ELSE 0 END) AS redundant,
+                     sum(CASE WHEN bits = own THEN n ELSE 0 END) AS unique_fails,
+                     sum(CASE WHEN bits & coalesce(b, 0) = 0 AND bits & own <> 0 THEN good ELSE 0 END) AS good_lost,
+                     sum(CASE WHEN bits & coalesce(b, 0) = 0 AND bits & own <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+              FROM cells, steps GROUP BY ALL)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM found""")
+def op12(spark, sf_dir):
+    return interactions.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
