@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, interactions, langid, licenses, neardup, packing, pii, quality, repeats, sharding
+from millrace.llm import chat, decontam, hardneg, interactions, langid, licenses, neardup, packing, pii, quality, repeats, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -151,3 +151,25 @@ def op3(spark, sf_dir):
            CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM found""")
 def op12(spark, sf_dir):
     return interactions.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op13_hard_negatives", """
+    WITH q AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                      CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+               FROM q a, q b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (SELECT * FROM scores WHERE same
+                  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INT) AS rank
+    FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+    QUALIFY rank <= 3""")
+def op13(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", shifted))
