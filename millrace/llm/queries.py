@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, hardneg, interactions, langid, licenses, neardup, packing, pii, quality, repeats, sharding
+from millrace.llm import chat, decontam, hardneg, interactions, langid, licenses, neardup, packing, pii, quality, quality_fm, repeats, sharding
 from millrace.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -173,3 +173,11 @@ def op13(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.mine(rows.withColumn("label", shifted))
+
+
+@query("op11_factorisation_machine")
+def op11(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    told = quality_fm.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), result="score")
+    return told.select("doc_id", quality_fm.held_out().alias("held_out"), "score",
+                       (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
