@@ -42,11 +42,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode_all = encoder(tokenizer).encode_all
         for batch in batches:
             of, start, length, ids, total = [], [], [], [], []
-            for row, value in enumerate(batch.column("text")):
-                mine = encode(value.as_py()) + end
+            for row, mine in enumerate(encode_all(value.as_py() for value in batch.column("text"))):
+                mine += end
                 for at in range(0, len(mine), 4 * window):
                     piece = mine[at : at + 4 * window]
                     of.append(row)

@@ -13,8 +13,10 @@ the same document.
    not been parted are the groups of equal strings; each keeps its earliest member.
 4. The runs of repeated strings of each document are joined to its text.
 
-The strings of an anchor whose fragments would not fit a bucket are not sent to one: their earliest places are found by partial aggregation, and
-all other places by a join on the string, which Spark can split. So no group has to fit a task's memory.
+An anchor that stands in very many contexts (``ANCHOR_BYTES``) is thinned before it goes to a bucket (``thinned``): strings that occur
+once are sieved out by a hash of each string, repeated ones of one batch are folded, and so are equal runs of what remains. The
+sieve only leaves out what has no equal; the transform compares the rest. Should an anchor still be too large, its strings are
+grouped by their bytes, with partial aggregation and a join that Spark can split. So no group has to fit a task's memory.
 
 Defined results: a null text is empty; a text below ``LENGTH`` bytes loses nothing; rows that repeat id and text are one
 document, and each gets its result; rows of one id with different texts are ordered by a hash of the text; a null id precedes all others;
@@ -37,6 +39,7 @@ LENGTH = 100
 GRAM = 32
 SEGMENT = 256 << 10
 BUCKET_BYTES = 512 << 10
+ANCHOR_BYTES = 4 << 20
 SEPARATOR = 0xFF  # not a byte of UTF-8
 
 _MIX = np.random.default_rng(100)
@@ -240,25 +243,98 @@ def _same(a: DataFrame, b: DataFrame):
     return a["id"].eqNullSafe(b["id"]) & (a["h"] == b["h"])
 
 
-def folded(cut: DataFrame) -> DataFrame:
-    """Runs of strings of ``cut`` that start earlier in another place, by partial aggregation and a join that can be split.
+def keys_of_strings(long: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One hash per string of ``LENGTH`` bytes, from the hashes of its first and last 64."""
+    key = long[at] * _ODD[6]
+    key ^= key >> _SHIFT
+    key += long[at + LENGTH - 64]
+    key *= _ODD[7]
+    return key ^ (key >> _SHIFT)
 
-    Two hashes besides the anchor stand for a string, as for a fragment.
-    """
-    starts = F.expr(f"transform(sequence(1, length(bytes) - {LENGTH - 1}), "
-                    f"s -> struct(lo + s - 1 as lo, xxhash64(substring(bytes, s, {LENGTH})) as x, xxhash64(1, substring(bytes, s, {LENGTH})) as y))")
-    strings = cut.select("id", "h", "anchor", F.explode(starts).alias("p")).select("id", "h", "anchor", "p.lo", "p.x", "p.y")
-    string = ["anchor", "x", "y"]
-    firsts = strings.groupBy(string).agg(F.min(F.struct("id", "h", "lo")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    firsts = stored(firsts.select(*string, "first"), "first-strings")
+
+def strings_of(cut: DataFrame) -> DataFrame:
+    """One row per string of the fragments: key, anchor and place; ``size`` is 0. Strings that a batch has had already, compared byte
+    by byte, come as runs to remove instead, with their ``size``."""
+    kind = cut.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("bytes").to_pylist()
+            if not parts:
+                continue
+            names = [(i is not None, i if i is not None else 0, h)
+                     for i, h in zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), strict=True)]
+            number = {n: k for k, n in enumerate(sorted(set(names)))}
+            doc = np.array([number[n] for n in names], np.int64)
+            row_of = np.zeros(len(number), np.int64)
+            row_of[doc] = np.arange(len(doc))
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            sizes = np.array([len(p) for p in parts])
+            begin, counts = np.cumsum(sizes) - sizes, sizes - LENGTH + 1
+            of = np.repeat(np.arange(len(parts)), counts)
+            inside = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+            at, lo = begin[of] + inside, batch.column("lo").to_numpy()[of] + inside
+            key = keys_of_strings(grams(data)[1], at)
+            order = np.lexsort((lo, doc[of], key))
+            same = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+            head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+            later = order[same]
+            if len(later):
+                text = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+                head = head[same]
+                equal = (doc[of[later]] != doc[of[head]]) | (lo[later] != lo[head])  # a repeated row is not later than itself
+                for a in range(0, len(later), 1 << 16):  # 6.5 MB at a time
+                    b = slice(a, a + (1 << 16))
+                    equal[b] &= (text[at[later[b]]] == text[at[head[b]]]).all(axis=1)
+                later = later[equal]
+            fresh = np.ones(len(of), bool)
+            fresh[later] = False
+            d, first, last = runs(doc[of[later]], lo[later], lo[later])
+            rows = np.concatenate([of[fresh], row_of[d]])
+            take = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([key[fresh].view(np.int64), np.zeros(len(d), np.int64)])), batch.column("anchor").take(take),
+                batch.column("id").take(take), batch.column("h").take(take), pa.array(np.concatenate([lo[fresh], first]).astype(np.int32)),
+                pa.array(np.concatenate([np.zeros(fresh.sum(), np.int64), last - first + LENGTH]).astype(np.int32)),
+            ], ["x", "anchor", "id", "h", "lo", "size"])
+
+    return cut.mapInArrow(run, f"x long, anchor long, id {kind}, h long, lo int, size int")
+
+
+def thinned(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Runs to remove, and the fragments of large anchors that still have to be compared, as ``anchor, id, h, lo, size``."""
+    strings = stored(strings_of(cut), "strings")
+    single = strings.where("size = 0").drop("size")
+    keys = stored(single.groupBy("x").count().where("count > 1").select("x"), "repeated-strings")
+    often = single.join(keys, "x")
+    place = F.row_number().over(Window.partitionBy("id", "h", "anchor").orderBy("lo"))
+    parts = often.distinct().withColumn("run", F.col("lo") - place).groupBy("id", "h", "anchor", "run").agg(
+        F.min("lo").alias("lo"), (F.max("lo") - F.min("lo") + LENGTH).cast("int").alias("size"),
+        F.min_by("x", "lo").alias("head"), F.max_by("x", "lo").alias("tail")).drop("run")
+    # A run of strings with one anchor has at most 168 bytes, which its first and last string cover.
+    parts = stored(parts, "repeated-runs")
+    run = ["anchor", "head", "tail", "size"]
+    firsts = stored(parts.groupBy(run).agg(F.min(F.struct("id", "h", "lo")).alias("first"), F.count(F.lit(1)).alias("n")), "first-runs")
+    first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("lo") == F.col("first.lo"))
+    later = parts.join(firsts.where("n > 1"), run).where(~first).select("id", "h", "lo", "size")
+    again = strings.where("size > 0").select("id", "h", "lo", "size").unionByName(later)
+    return again, firsts.select("anchor", "first.*", "size")
+
+
+def by_bytes(cut: DataFrame) -> DataFrame:
+    """Runs of strings of ``cut`` that start earlier in another place, by partial aggregation and a join that can be split."""
+    starts = F.expr(f"transform(sequence(1, length(bytes) - {LENGTH - 1}), s -> struct(lo + s - 1 as lo, substring(bytes, s, {LENGTH}) as x))")
+    strings = cut.select("id", "h", F.explode(starts).alias("p")).select("id", "h", "p.lo", "p.x")
+    firsts = strings.groupBy("x").agg(F.min(F.struct("id", "h", "lo")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = stored(firsts.select("x", "first"), "first-strings")
     first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("lo") == F.col("first.lo"))
-    later = strings.join(firsts, string).where(~first).select("id", "h", "lo").distinct()
+    later = strings.join(firsts, "x").where(~first).select("id", "h", "lo").distinct()
     run = F.col("lo") - F.row_number().over(Window.partitionBy("id", "h").orderBy("lo"))
     return later.withColumn("run", run).groupBy("id", "h", "run").agg(
         F.min("lo").alias("lo"), (F.max("lo") - F.min("lo") + LENGTH).cast("int").alias("size")).select("id", "h", "lo", "size")
 
 
-def spans(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def spans(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
     """``id``, ``h``, ``lo``, ``size`` of byte runs to remove; ``docs`` has ``id``, ``h`` and ``text``."""
     of_anchor, of_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content").orderBy("id", "h", "lo")
     found = occurrences(docs).withColumn("nth", F.rank().over(of_content)).withColumn(
@@ -273,16 +349,22 @@ def spans(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
             "transform(parts, p -> struct(p.anchor as anchor, p.lo as lo, substring(cast(text as binary), p.lo + 1, p.size) as bytes))"
         )).alias("p")).select("id", "h", "p.anchor", "p.lo", "p.bytes")
 
-    total = rest.agg(F.sum("size")).first()[0] or 0
-    n_buckets = max(64, -(-total // bucket_bytes))
+    def larger(parts: DataFrame, label: str) -> DataFrame:
+        sums = parts.groupBy("anchor").agg(F.sum("size").alias("n"))
+        return stored(sums.where(F.col("n") > anchor_bytes).select("anchor"), label)
 
-    # Anchors beyond a bucket do not go to buckets.
-    large = rest.groupBy("anchor").agg(F.sum("size").alias("n")).where(F.col("n") > bucket_bytes).select("anchor")
-    large = stored(large, "large-anchors")
     again = kept.where("again").select("id", "h", "lo", "size")
+    large = larger(rest, "large-anchors")
     if not large.isEmpty():
-        again = again.unionByName(folded(cut(rest.join(large, "anchor", "left_semi"))))
-        rest = rest.join(large, "anchor", "left_anti")
+        gone, few = thinned(cut(rest.join(large, "anchor", "left_semi")))
+        again = again.unionByName(gone)
+        still = larger(few, "largest-anchors")
+        if not still.isEmpty():
+            again = again.unionByName(by_bytes(cut(few.join(still, "anchor", "left_semi"))))
+            few = few.join(still, "anchor", "left_anti")
+        rest = rest.join(large, "anchor", "left_anti").unionByName(few)
+    total = rest.agg(F.sum("size")).first()[0] or 0
+    n_buckets = max(64, -(-total // bucket_bytes))
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(n_buckets))
     kind = docs.schema["id"].dataType.simpleString()
 

@@ -1,16 +1,21 @@
 """Token ids of whole texts, with a memory of the pieces between blanks.
 
 No token of the word tokenizer reaches over a blank or line feed, and none depends on what lies beyond, so a text is cut
-there and each distinct piece is encoded once per worker.
+there and each distinct piece is encoded once per worker. The unknown pieces of many texts are encoded in one call. A full memory
+forgets the pieces that were met once only; frequent ones stay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 
 from millrace.llm.worker import kept
 
 KEPT_PIECES = 1_000_000
+BATCH_CHARS = 4 << 20
 
 
 class Encoder:
@@ -22,28 +27,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()  # known pieces that were met in a later group of texts too
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, little-endian unsigned 32-bit, from one call of the tokenizer."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        ends = np.cumsum([0, *map(len, found)])
+        data = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1])).tobytes()
+        ends = (4 * ends).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def encode_group(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; all pieces that are not known yet are encoded together."""
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        needed = set(chain.from_iterable(cut))
+        self.again.update(needed.intersection(self.known))
+        new = list(needed.difference(self.known))
+        self.known.update(zip(new, self.ids_of(new), strict=True))
+        out = [b"".join([self.known[p] for p in pieces]) for pieces in cut]
+        if len(self.known) > KEPT_PIECES:
+            self.known = {p: self.known[p] for p in self.again} if 2 * len(self.again) <= KEPT_PIECES else {}
+            self.again = set()
+        return out
 
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > KEPT_PIECES:
-            self.known.clear()
-        for piece, got in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(got.ids, "<u4").tobytes()
+    def encode_all(self, texts: Iterator[str]) -> Iterator[bytes]:
+        """The ids of each text in turn; texts are read in groups of about ``BATCH_CHARS`` characters."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= BATCH_CHARS:
+                yield from self.encode_group(group)
+                group, size = [], 0
+        if group:
+            yield from self.encode_group(group)
 
     def encode(self, text: str) -> bytes:
-        """The ids, little-endian unsigned 32-bit."""
-        pieces = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([self.known[p] for p in pieces])
-        except KeyError:
-            new = list({p for p in pieces if p not in self.known})
-            self.learn(new)
-            if len(self.known) == len(new):  # the memory was emptied meanwhile
-                return b"".join([self.known[p] if p in self.known else self._one(p) for p in pieces])
-            return b"".join([self.known[p] for p in pieces])
-
-    def _one(self, piece: str) -> bytes:
-        self.learn([piece])
-        return self.known[piece]
+        return self.encode_group([text])[0]
 
 
 def encoder(path: str) -> Encoder:

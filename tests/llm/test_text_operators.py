@@ -272,10 +272,11 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("bucket", [repeats.BUCKET_BYTES, 300])
-def test_repeats_against_brute_force(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket, anchor", [(repeats.BUCKET_BYTES, repeats.ANCHOR_BYTES), (300, repeats.ANCHOR_BYTES), (300, 1500), (300, 150)])
+def test_repeats_against_brute_force(spark, monkeypatch, bucket, anchor):
+    """All anchors whole; small buckets; most anchors thinned; most of them grouped by bytes after that."""
     monkeypatch.setattr(repeats, "SEGMENT", 700)
-    monkeypatch.setattr(repeats.spans, "__defaults__", (bucket,))
+    monkeypatch.setattr(repeats.spans, "__defaults__", (bucket, anchor))
     rng = random.Random(4)
     shared = [words(rng, 60, "abcdeé") for _ in range(4)]
     rows = []
@@ -288,7 +289,7 @@ def test_repeats_against_brute_force(spark, monkeypatch, bucket):
 
 
 def test_equal_strings_of_many_contexts_do_not_meet_in_one_bucket(spark, monkeypatch):
-    monkeypatch.setattr(repeats.spans, "__defaults__", (2000,))
+    monkeypatch.setattr(repeats.spans, "__defaults__", (2000, 2000))
     whole = repeats.repeats_of_bucket
 
     def small(bucket):
