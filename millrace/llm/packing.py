@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str =
         encode_all = encoder(tokenizer).encode_all
         for batch in batches:
             of, start, length, ids, total = [], [], [], [], []
-            for row, mine in enumerate(encode_all(value.as_py() for value in batch.column("text"))):
+            for row, mine in enumerate(encode_all(batch.column("text"))):
                 mine += end
                 for at in range(0, len(mine), 4 * window):
                     piece = mine[at : at + 4 * window]

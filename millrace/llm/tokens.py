@@ -1,21 +1,36 @@
 """Token ids of whole texts, with a memory of the pieces between blanks.
 
 No token of the word tokenizer reaches over a blank or line feed, and none depends on what lies beyond, so a text is cut
-there and each distinct piece is encoded once per worker. The unknown pieces of many texts are encoded in one call. A full memory
-forgets the pieces that were met once only; frequent ones stay.
+there and each distinct piece is encoded once per worker. Punctuation behind a word is a token of its own and the tokenizer lowers
+its input, so a piece is put together from its stem and what follows. The unknown stems of many texts are encoded in one call. A full
+memory keeps the pieces of the newest texts, hence the frequent ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from millrace.llm.worker import kept
 
 KEPT_PIECES = 1_000_000
 BATCH_CHARS = 4 << 20
+# Characters that may follow a word. No apostrophe: it may begin a contraction.
+PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_{|}~"
+
+
+def split_piece(piece: str) -> tuple[str, str]:
+    """The stem in lower case and the punctuation behind it, where the ids of both make up those of the piece."""
+    stem = piece.rstrip(PUNCTUATION)
+    # The last letter must stay one: some end in a mark when they are composed or lowered, and a mark joins the punctuation.
+    if not stem or "<" in piece or not normalize("NFC", stem[-1]).lower()[-1].isalpha():
+        stem = piece
+    return (stem.lower() if stem.isascii() and "<" not in stem else stem), piece[len(stem):]
 
 
 class Encoder:
@@ -27,7 +42,6 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()  # known pieces that were met in a later group of texts too
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece, little-endian unsigned 32-bit, from one call of the tokenizer."""
@@ -37,33 +51,44 @@ class Encoder:
         ends = (4 * ends).tolist()
         return [data[a:b] for a, b in zip(ends, ends[1:])]
 
-    def encode_group(self, texts: list[str]) -> list[bytes]:
+    def learn(self, pieces: list[str]) -> None:
+        parts = [split_piece(p) for p in pieces]
+        stems = list({s for part in parts for s in part}.difference(self.known))
+        self.known.update(zip(stems, self.ids_of(stems), strict=True))
+        known = self.known
+        known.update([(p, known[s] + known[t] if t else known[s]) for p, (s, t) in zip(pieces, parts, strict=True)])
+
+    def encode_group(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; all pieces that are not known yet are encoded together."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        needed = set(chain.from_iterable(cut))
-        self.again.update(needed.intersection(self.known))
-        new = list(needed.difference(self.known))
-        self.known.update(zip(new, self.ids_of(new), strict=True))
-        out = [b"".join([self.known[p] for p in pieces]) for pieces in cut]
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        self.learn([p for p in pieces if p not in self.known])
+        found = [self.known[p] for p in pieces]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        pool, at = np.frombuffer(b"".join(found), "<u4"), np.asarray(coded.indices)
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = pool[np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
         if len(self.known) > KEPT_PIECES:
-            self.known = {p: self.known[p] for p in self.again} if 2 * len(self.again) <= KEPT_PIECES else {}
-            self.again = set()
-        return out
-
-    def encode_all(self, texts: Iterator[str]) -> Iterator[bytes]:
-        """The ids of each text in turn; texts are read in groups of about ``BATCH_CHARS`` characters."""
-        group, size = [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size >= BATCH_CHARS:
-                yield from self.encode_group(group)
-                group, size = [], 0
-        if group:
-            yield from self.encode_group(group)
+            self.known = dict(zip(pieces, found, strict=True))
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            yield ids[a:b].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text in turn; texts are encoded in groups of about ``BATCH_CHARS`` bytes."""
+        ends = np.cumsum(np.asarray(pc.binary_length(texts), np.int64))
+        at = 0
+        while at < len(texts):
+            until = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_CHARS, side="right"))
+            until = max(until, at + 1)
+            yield from self.encode_group(texts.slice(at, until - at))
+            at = until
 
     def encode(self, text: str) -> bytes:
-        return self.encode_group([text])[0]
+        return next(self.encode_group(pa.array([text], pa.string())))
 
 
 def encoder(path: str) -> Encoder:

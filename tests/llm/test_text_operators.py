@@ -101,7 +101,7 @@ def test_tokens_of_odd_texts():
     from millrace.llm.tokens import Encoder
 
     plain, mine = Tokenizer.from_file(word_tokenizer()), Encoder(word_tokenizer())
-    for text in ["", "  a  b\n\nc ", "ΑΣ ΣΑΣ", "é ́x", "it's <|endoftext|>now", "a b\tc\r\nd", "1234 3.5%", "日本 語"]:
+    for text in ["It's, IT'S 'x' ΣΑΣ, ΑΣ. don't... 'S word,### a<|endoftext|>, ###, x², ²,", "now<|endoftext|>", "A\u0301, e\u0301!", "İ, ", "", "  a  b\n\nc ", "ΑΣ ΣΑΣ", "é ́x", "it's <|endoftext|>now", "a b\tc\r\nd", "1234 3.5%", "日本 語"]:
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
