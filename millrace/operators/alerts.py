@@ -207,13 +207,15 @@ def order_pay_monitor(
     is_create: Column,
     is_pay: Column,
     within: str,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Whether orders are paid in time, in event-time order.
 
     ``paid``: pay follows the create within the span, both ends included;
     ``no_pay``: the span of a create ended first; ``pay_without_create``: a pay
     that found no live create (none, already paid, or timed out).  A further
-    create before the end of the span takes the place of the earlier one.
+    create before the end of the span takes the place of the earlier one. Columns to
+    ``keep`` are those of the row that decides.
     """
     steps = df.where(is_create | is_pay).select(key, time, arrival, is_create.alias("_create"))
     place = F.struct(F.col("_create").alias("create"), F.col(time).alias("t"))
@@ -231,5 +233,5 @@ def order_pay_monitor(
     states = rows.withColumn("kind", kind).where("kind is not null")
     created = F.when(F.col("_create"), F.col(time)).when(F.col("kind") == "paid", F.col("_before.t"))
     return states.select(
-        key, "kind", created.alias("create_time"), F.when(~F.col("_create"), F.col(time)).alias("pay_time")
+        key, "kind", created.alias("create_time"), F.when(~F.col("_create"), F.col(time)).alias("pay_time"), *(keep or [])
     )

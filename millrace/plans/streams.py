@@ -1,32 +1,33 @@
 """Queries that read the shared tables as streams.
 
 Each runs to the end of the present input and returns what its sink holds.
-Where an operator only emits what the watermark has passed, its SQL twin is
-limited to the same horizon: the largest event time (in whole milliseconds,
-as Spark keeps it) minus the delay.
+Where closing by the watermark is itself the operator, its SQL twin is limited to
+the same horizon: the largest event time (in whole milliseconds, as Spark keeps
+it) minus the delay. All others are replayed in several micro-batches and
+flushed at the end of the input, so that nothing is cut off.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.durations import micros
 from millrace.functions.udfs import average
 from millrace.operators import aggregates as agg
-from millrace.operators import joins, windows
+from millrace.operators import joins, topn, windows
+from millrace.operators import sequence as seq
 from millrace.operators.project import tagged_union, union_all
 from millrace.plans import analytics
 from millrace.plans.keyed import (
-    CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item, monitor_sql,
-    no_drop_sql,
+    CONSECUTIVE_SQL, FAIL_PAIRS_SQL, FOLLOWED_SQL, RUNNING_SQL, UV_SQL, burst_sql, item,
 )
-from millrace.plans.registry import ORACLES, events, query, table
+from millrace.plans.registry import ORACLES, SHIFTED_SQL, events, query, shifted_events, table
 from millrace.plans.timed import HOT_ITEMS_SQL, PAYS, bucket, session_sql, sliding
 from millrace.session import scratch
 from millrace.sources import readers, schemas
-from millrace.streaming import batches, folds, keyed, sinks
+from millrace.streaming import batches, carried, keyed, sinks
+from millrace.streaming.replay import write_replay
 from millrace.streaming.runtime import (
-    instant, run_batches, run_to_files, run_to_upsert, state_settings, table_stream, unix_times, wall, with_event_time,
+    run_to_files, run_to_upsert, state_settings, table_stream, unix_times, with_event_time,
 )
 
 
@@ -42,9 +43,17 @@ def horizon(delay: str, source: str = "events") -> str:
     return f"SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {delay} FROM {source}"
 
 
-def seen(delay: str) -> str:
-    """The events the final watermark has passed."""
-    return f"(SELECT * FROM events WHERE ts <= ({horizon(delay)}))"
+def replayed(spark, sf_dir, *columns, beyond="0 seconds", exact=False):
+    """The events in four time-ordered steps and a last row that lets everything go."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", *columns)
+    return write_replay(rows, "ts").flush(beyond, exact=exact)
+
+
+def arriving(spark, sf_dir, time="ts", *columns):
+    """The events in four steps of their arrival, with times that may be out of order."""
+    rows = (shifted_events(spark, sf_dir) if time == "et" else table(spark, sf_dir, "events")).select("event_id", time, *columns)
+    n = rows.agg(F.max("event_id")).first()[0] + 1
+    return write_replay(rows, time, step=F.expr(f"event_id * 4 div {n}")).stream()
 
 
 def times(rows, *columns):
@@ -200,19 +209,16 @@ def stream_slide_et(spark, sf_dir):
     return closed_windows(run_to_upsert(summed, ["user_id", "window_start", "window_end"], "slide"))
 
 
-@query("stream_session_et", f"""
-    SELECT * FROM ({session_sql('ts', 'events', 12)}) WHERE window_end <= ({horizon('1 HOUR')})""")
+@query("stream_session_et", session_sql("ts", "events", 12))
 def stream_session_et(spark, sf_dir):
-    rows = timed_stream(spark, sf_dir, "1 hour")
+    rows = replayed(spark, sf_dir, "value", beyond="1 day").timed()
     sessions = windows.session(rows, ["user_id"], "ts", "12 hours", n=F.count(F.lit(1)), total=F.sum("value"))
     return closed_windows(run_to_files(sessions, "session"))
 
 
-@query("stream_salted_two_phase", f"""
-    SELECT {bucket('6 HOUR')} AS window_start, count(*) AS n FROM events GROUP BY 1
-    HAVING {bucket('6 HOUR')} + INTERVAL 6 HOUR <= ({horizon('1 HOUR')})""")
+@query("stream_salted_two_phase", f"SELECT {bucket('6 HOUR')} AS window_start, count(*) AS n FROM events GROUP BY 1")
 def stream_salted_two_phase(spark, sf_dir):
-    rows = timed_stream(spark, sf_dir, "1 hour").select("ts", F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("salt"))
+    rows = replayed(spark, sf_dir, beyond="1 day").timed().select("ts", F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("salt"))
     partial = rows.groupBy("salt", F.window("ts", "6 hours").alias("w")).agg(F.count(F.lit(1)).alias("c"))
     whole = partial.groupBy("w").agg(F.sum("c").alias("n")).select(F.col("w.start").alias("window_start"), "n")
     return times(run_to_files(whole, "salted"), "window_start")
@@ -242,12 +248,31 @@ def stream_table_group_agg(spark, sf_dir):
     return kept.select("user_id", "n", F.round("total", 4).alias("total"), F.round("average", 8).alias("average"))
 
 
-@query("stream_running_max_by", """
-    SELECT user_id, max({'value': value, 'event_id': event_id}).value AS value,
-           max({'value': value, 'event_id': event_id}).event_id AS event_id FROM events GROUP BY 1""")
+@query("stream_running_max", ORACLES["running_max"])
+def stream_running_max(spark, sf_dir):
+    rows = carried.running(
+        arriving(spark, sf_dir, "ts", "user_id", "value"), ["user_id"], "event_id", "running-max",
+        max_value=seq.highest("value"), first=seq.earliest(F.struct("ts")),
+    )
+    return rows.select("event_id", "user_id", "max_value", F.col("first.ts").alias("first_ts"))
+
+
+@query("stream_running_max_by", ORACLES["running_max_by"])
 def stream_running_max_by(spark, sf_dir):
-    best = event_stream(spark, sf_dir).groupBy("user_id").agg(F.max(F.struct("value", "event_id")).alias("best"))
-    return run_to_upsert(best.select("user_id", "best.*"), ["user_id"], "best")
+    rows = carried.running(
+        arriving(spark, sf_dir, "ts", "user_id", "value"), ["user_id"], "event_id", "running-max-by",
+        best=seq.highest(F.struct("value", "event_id", "ts")),
+    )
+    best = F.col("best")
+    return rows.select(
+        "event_id", "user_id", best["value"].alias("best_value"), best["event_id"].alias("best_id"), best["ts"].alias("best_ts"))
+
+
+@query("stream_running_reduce", ORACLES["running_reduce"])
+def stream_running_reduce(spark, sf_dir):
+    rows = carried.running(
+        arriving(spark, sf_dir, "ts", "user_id", "value"), ["user_id"], "event_id", "running-reduce", highest=seq.highest("value"))
+    return rows.select("event_id", "user_id", "ts", "highest")
 
 
 @query("stream_hot_items", HOT_ITEMS_SQL)
@@ -281,20 +306,26 @@ def stream_over_unbounded_global(spark, sf_dir):
 
 @query("stream_control_broadcast", ORACLES["control_broadcast"])
 def stream_control_broadcast(spark, sf_dir):
-    control = table(spark, sf_dir, "events").where("event_type = 'signup'")
-    control = control.select("event_id", (F.col("user_id") % 4).cast("string").alias("switch"))
-    data = event_stream(spark, sf_dir).where("event_type <> 'signup'").select("event_id")
-    switched = batches.label_by_control(data, control, "event_id", "switch", "switch_value")
+    # Two streams of their own over one replay: a batch brings what arrived on both in the same stretch.
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    replay = write_replay(rows, "event_id")
+    control = replay.stream().where("event_type = 'signup'").select(
+        "event_id", F.lit(True).alias("is_control"), (F.col("user_id") % 4).cast("string").alias("switch"))
+    data = replay.stream().where("event_type <> 'signup'").select(
+        "event_id", F.lit(False).alias("is_control"), F.lit(None).cast("string").alias("switch"))
+    switched = carried.label_by_control(data.unionByName(control), "event_id", F.col("is_control"), F.col("switch"), "switch_value")
     value = F.col("switch_value")
     label = F.when(value == "1", "switched to 1").when(value == "2", "switched to 2").otherwise("switched to other")
     return switched.select("event_id", label.alias("label"))
 
 
-# ------------------------------------------------------------------ folds, arrival order
+# --------------------------------------------------- carried state, arrival order
+
+USER = ["user_id"]
 
-def folded(spark, sf_dir, fold, label, *columns):
-    rows = event_stream(spark, sf_dir).select("event_id", "user_id", *(columns or ("value",)))
-    return run_to_files(keyed.fold_arrivals(rows, ["user_id"], "event_id", fold), label)
+
+def user_events(spark, sf_dir):
+    return event_stream(spark, sf_dir).select("event_id", "user_id", "value")
 
 
 @query("stream_keyed_profile", f"""
@@ -302,76 +333,86 @@ def folded(spark, sf_dir, fold, label, *columns):
            max(value) OVER {RUNNING_SQL} AS highest, round(avg(value) OVER {RUNNING_SQL}, 8) AS average,
            lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS previous FROM events""")
 def stream_keyed_profile(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.Profile("value", "event_id"), "profile")
-    return rows.select(
-        F.col("arrival").alias("event_id"), "user_id", "n", F.round("total", 4).alias("total"), "highest",
-        F.round("average", 8).alias("average"), "previous",
+    rows = carried.running(
+        user_events(spark, sf_dir), USER, "event_id", "profile", n=seq.tally(), total=seq.total("value"),
+        known=seq.tally(F.col("value").isNotNull()), highest=seq.highest("value"), previous=seq.previous("value"),
     )
+    average = F.round(F.col("total") / F.col("known"), 8).alias("average")
+    return rows.select("event_id", "user_id", "n", F.round("total", 4).alias("total"), "highest", average, "previous")
+
+
+def slid(spark, sf_dir, size, label):
+    total = lambda w: F.sum("value").over(w.rowsBetween(-(size - 1), 0))
+    rows = carried.sliding_rows(user_events(spark, sf_dir), USER, "event_id", size, label, total=total)
+    return rows.withColumn("total", F.round("total", 4))
 
 
 @query("stream_count_tumble", ORACLES["count_tumble"])
 def stream_count_tumble(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.CountTumble("value", 5), "count_tumble")
-    return rows.withColumn("total", F.round("total", 4))
+    full = slid(spark, sf_dir, 5, "count-tumble").where("nth % 5 = 0")
+    return full.select("user_id", F.expr("nth div 5 - 1").alias("window_no"), "total")
 
 
 @query("stream_count_slide", ORACLES["count_slide"])
 def stream_count_slide(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.CountSlide("value", "event_id", 5, 2), "count_slide")
-    return rows.select("user_id", F.col("arrival").alias("event_id"), "nth", F.round("total", 4).alias("total"))
+    return slid(spark, sf_dir, 5, "count-slide").where("nth % 2 = 0").select("user_id", "event_id", "nth", "total")
 
 
 @query("stream_count_slide_table", ORACLES["count_slide_table"])
 def stream_count_slide_table(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.CountSlide("value", "event_id", 5, 2, first_full=True), "count_slide_table")
-    return rows.select("user_id", F.col("arrival").alias("event_id"), "nth", F.round("total", 4).alias("total"))
+    fires = "nth >= 5 and (nth - 5) % 2 = 0"
+    return slid(spark, sf_dir, 5, "count-slide-table").where(fires).select("user_id", "event_id", "nth", "total")
 
 
 @query("stream_over_rows_bounded", ORACLES["over_rows_bounded"])
 def stream_over_rows_bounded(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.CountSlide("value", "event_id", 3, 1), "over_rows")
-    return rows.select(F.col("arrival").alias("event_id"), "user_id", F.round("total", 4).alias("total"))
+    return slid(spark, sf_dir, 3, "over-rows").select("event_id", "user_id", "total")
 
 
 @query("stream_prev_value_jump", ORACLES["prev_value_jump"])
 def stream_prev_value_jump(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.Jump("value", "event_id", 10), "jump")
-    return rows.withColumnRenamed("arrival", "event_id")
+    rows = carried.running(user_events(spark, sf_dir), USER, "event_id", "jump", previous_value=seq.previous("value"))
+    return rows.where("abs(value - previous_value) > 10").select("event_id", "user_id", "value", "previous_value")
 
 
 @query("stream_running_top3", """
     SELECT event_id, user_id, top1, top2, top3 FROM (""" + ORACLES["running_top3"] + ")")
 def stream_running_top3(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.RunningTop("value", "event_id"), "top3")
-    places = [F.get("top", F.lit(i)).alias(f"top{i + 1}") for i in range(3)]
-    return rows.select(F.col("arrival").alias("event_id"), "user_id", *places)
+    rows = carried.running_top(user_events(spark, sf_dir), USER, "event_id", "value", 3)
+    return rows.select("event_id", "user_id", "top1", "top2", "top3")
 
 
 @query("stream_udtaf_top2", ORACLES["udtaf_top2"])
 def stream_udtaf_top2(spark, sf_dir):
-    changes = folded(spark, sf_dir, folds.TopTwo("value", "event_id"), "top2")
-    # The newest row of each rank is the table aggregate's present result.
-    newest = agg.latest_per_key(changes, ["user_id", "rank"], ["arrival"])
-    return newest.select("user_id", "value", "rank")
+    rows = carried.running_top(user_events(spark, sf_dir), USER, "event_id", "value", 2, "top2")
+    # A row changes the table aggregate when it is among the two itself; the newest such row holds the present result.
+    changed = rows.where("event_id in (top1_event_id, top2_event_id)")
+    newest = agg.latest_per_key(changed.select("user_id", "event_id", "top1", "top2"), USER, ["event_id"])
+    ranks = F.array(*[F.struct(F.col(f"top{i}").alias("value"), F.lit(f"TOP{i}").alias("rank")) for i in (1, 2)])
+    return newest.select("user_id", F.inline(ranks)).where("value is not null")
 
 
 @query("stream_changelog", ORACLES["changelog"])
 def stream_changelog(spark, sf_dir):
-    rows = folded(spark, sf_dir, folds.Changes("value", "event_id"), "changelog")
-    return rows.select(
-        "user_id", F.col("arrival").alias("event_id"), "is_insert", "n", F.round("total", 4).alias("total")
-    )
+    rows = carried.changelog(user_events(spark, sf_dir), USER, "event_id", {"n": seq.tally(), "total": seq.total("value")})
+    return rows.withColumn("total", F.round("total", 4))
 
 
 @query("stream_login_fail_pairs", FAIL_PAIRS_SQL)
 def stream_login_fail_pairs(spark, sf_dir):
-    rows = event_stream(spark, sf_dir)
-    rows = rows.select(
-        "event_id", "user_id", F.unix_micros(instant(rows, "ts")).alias("at"), (F.col("event_type") == "error").alias("fails")
-    )
-    fold = folds.FailPairs("fails", "at", "event_id", micros("6 hours"))
-    pairs = run_to_files(keyed.fold_arrivals(rows, ["user_id"], "event_id", fold), "pairs")
-    return micro_times(pairs, ts="at", previous_time="previous_at").withColumnRenamed("arrival", "event_id")
+    rows = event_stream(spark, sf_dir).select("event_id", "user_id", "ts", (F.col("event_type") == "error").alias("fails"))
+    rows = carried.running(rows, USER, "event_id", "pairs", before=seq.previous(F.struct("fails", "ts")))
+    gap = F.expr("abs(timestampdiff(MICROSECOND, before.ts, ts)) <= 21600000000")
+    pairs = rows.where(F.col("fails") & F.col("before.fails") & gap)
+    return pairs.select("event_id", "user_id", "ts", F.col("before.ts").alias("previous_time"))
+
+
+def clicks_of_day(spark, sf_dir, label):
+    """Rows with their number per user, type and local day; days gone by are forgotten."""
+    day = F.to_date(F.expr("ts + interval 8 hours")).alias("local_day")
+    rows = event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", day)
+    return carried.running(
+        rows, ["user_id", "event_type", "local_day"], "event_id", label, ttl=("local_day", "2 days"), nth=seq.tally())
 
 
 @query("stream_blacklist_filter", """
@@ -380,14 +421,8 @@ def stream_login_fail_pairs(spark, sf_dir):
     SELECT user_id, event_type, event_id, nth, false AS is_alert FROM c WHERE nth < 2
     UNION ALL SELECT user_id, event_type, event_id, nth, true FROM c WHERE nth = 2""")
 def stream_blacklist_filter(spark, sf_dir):
-    rows = event_stream(spark, sf_dir)
-    rows = rows.select(
-        "event_id", "user_id", "event_type", F.to_date(F.expr("ts + interval 8 hours")).alias("local_day"),
-        F.unix_micros(instant(rows, "ts")).alias("at"),
-    )
-    fold = folds.Blacklist("local_day", "event_id", "at", 2)
-    judged = run_to_files(keyed.fold_arrivals(rows, ["user_id", "event_type"], "event_id", fold), "blacklist")
-    return judged.withColumnRenamed("arrival", "event_id").drop("carried")
+    judged = clicks_of_day(spark, sf_dir, "blacklist").where("nth <= 2")
+    return judged.select("user_id", "event_type", "event_id", "nth", (F.col("nth") == 2).alias("is_alert"))
 
 
 @query("stream_match_join", """
@@ -402,101 +437,164 @@ def stream_match_join(spark, sf_dir):
         return rows.select(F.col(key).alias("k"), F.round(F.col(balance) * 100).cast("bigint").alias("at"))
 
     both = tagged_union(side("customer", "c_custkey", "c_acctbal"), side("supplier", "s_suppkey", "s_acctbal"))
-    return run_to_files(keyed.fold_arrivals(both, ["k"], "at", folds.MatchPair("side", "at")), "match")
+    return carried.match_pairs(both, "k", "at")
 
 
-# -------------------------------------------------------------- folds, event-time order
+@query("stream_eager_trigger", ORACLES["eager_trigger"])
+def stream_eager_trigger(spark, sf_dir):
+    # Every row gives its window's new result; windows two days back are forgotten.
+    start = F.window("ts", "1 day")["start"].cast("timestamp_ntz").alias("window_start")
+    rows = arriving(spark, sf_dir, "ts", "user_id").select("event_id", "user_id", start)
+    return carried.running(rows, ["user_id", "window_start"], "event_id", "eager", ttl=("window_start", "2 days"), n=seq.tally())
 
-DELAY = "1 hour"
-SEEN = seen("1 HOUR")
 
+# ------------------------------------------------------- carried state, event-time order
 
-def in_event_time(spark, sf_dir, fold, label, **columns):
-    rows = timed_stream(spark, sf_dir, DELAY).select(
-        "event_id", "user_id", "ts", *[c.alias(n) for n, c in columns.items()]
-    )
-    return run_to_files(keyed.fold_event_time(rows, ["user_id"], "ts", "event_id", fold), label)
+@query("stream_over_unbounded_et", ORACLES["over_unbounded_et"])
+def stream_over_unbounded_et(spark, sf_dir):
+    # Times cut to the day, so that there are peers; they wait until the watermark has passed the day's first instant.
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("rt"))
+    replay = write_replay(rows, "rt").flush("1 day")
+    counted = carried.over_unbounded(replay.stream(), USER, "rt", "1 day", n=seq.tally())
+    return counted.where("event_id is not null").select("event_id", "user_id", "n")
 
 
-@query("stream_pattern_consecutive", CONSECUTIVE_SQL.replace("FROM events", f"FROM {SEEN}"))
+@query("stream_pattern_consecutive", CONSECUTIVE_SQL)
 def stream_pattern_consecutive(spark, sf_dir):
-    fold = folds.Consecutive("hit", keyed.AT, "event_id", 2, micros("12 hours"))
-    found = in_event_time(spark, sf_dir, fold, "consecutive", hit=F.col("event_type") == "error")
-    found = found.withColumnsRenamed({"arrival": "event_id", "first_arrival": "first_event_id"})
-    return micro_times(found, ts="at", first_time="first_at")
+    replay = replayed(spark, sf_dir, "event_type")
+    found = carried.consecutive(replay.stream(), USER, "ts", "event_id", replay.delay, F.col("event_type") == "error", 2, "12 hours")
+    return found.select("event_id", "user_id", "ts", "first_time", "first_event_id")
 
 
-@query("stream_pattern_followed_by", f"""
-    SELECT * FROM ({FOLLOWED_SQL.replace('FROM events', f'FROM {SEEN}')})
-    WHERE kind = 'matched' OR timeout_time - INTERVAL 1 MICROSECOND <= ({horizon('1 HOUR')})""")
+@query("stream_pattern_followed_by", FOLLOWED_SQL)
 def stream_pattern_followed_by(spark, sf_dir):
-    fold = folds.FollowedBy("begin", "answer", keyed.AT, "event_id", micros("2 days"))
-    found = in_event_time(
-        spark, sf_dir, fold, "followed",
-        begin=F.col("event_type") == "signup", answer=F.col("event_type") == "purchase",
+    replay = replayed(spark, sf_dir, "event_type", beyond="2 days")
+    found = carried.followed_by(
+        replay.stream(), USER, "ts", "event_id", replay.delay,
+        F.col("event_type") == "signup", F.col("event_type") == "purchase", "2 days",
     )
-    found = found.withColumnsRenamed({"begin_arrival": "begin_event_id", "then_arrival": "then_event_id"})
-    found = found.withColumn("then_event_id", F.coalesce("then_event_id", F.lit(-1)))
-    return micro_times(found, begin_time="begin_at", then_time="then_at", timeout_time="timeout_at")
+    return found.withColumn("then_event_id", F.coalesce("then_event_id", F.lit(-1)))
+
 
+@query("stream_pattern_timeout", ORACLES["pattern_timeout"])
+def stream_pattern_timeout(spark, sf_dir):
+    ended = stream_pattern_followed_by(spark, sf_dir).where("kind = 'timeout'")
+    return ended.select("user_id", "begin_event_id", "begin_time", "timeout_time")
 
-@query("stream_no_drop_alert", no_drop_sql(SEEN, horizon("1 HOUR")))
+
+@query("stream_no_drop_alert", ORACLES["no_drop_alert"])
 def stream_no_drop_alert(spark, sf_dir):
-    fold = folds.NoDrop("value", keyed.AT, micros("12 hours"))
-    found = in_event_time(spark, sf_dir, fold, "no_drop", value=F.col("value"))
+    replay = replayed(spark, sf_dir, "value", exact=True)
+    found = carried.no_drop(replay.stream(), USER, "ts", "event_id", replay.delay, "value", "12 hours")
     return micro_times(found, since="since", alert_time="alert_at")
 
 
-@query("stream_login_fail_burst", f"""
-    SELECT * FROM ({burst_sql(6, SEEN)}) WHERE first_time + INTERVAL 6 HOUR <= ({horizon('1 HOUR')})""")
+@query("stream_login_fail_burst", burst_sql(6))
 def stream_login_fail_burst(spark, sf_dir):
-    fold = folds.Burst("fails", keyed.AT, micros("6 hours"))
-    found = in_event_time(spark, sf_dir, fold, "burst", fails=F.col("event_type") == "error")
-    return micro_times(found, first_time="first_at", last_time="last_at")
+    replay = replayed(spark, sf_dir, "event_type", beyond="6 hours")
+    return carried.bursts(replay.stream(), USER, "ts", "event_id", replay.delay, F.col("event_type") == "error", "6 hours")
 
 
-@query("stream_order_pay_monitor", monitor_sql(SEEN, f"ts + INTERVAL 2 DAY <= ({horizon('1 HOUR')})"))
+@query("stream_order_pay_monitor", ORACLES["order_pay_monitor"])
 def stream_order_pay_monitor(spark, sf_dir):
-    fold = folds.OrderPay("create", "pay", keyed.AT, micros("2 days"))
-    found = in_event_time(
-        spark, sf_dir, fold, "order_pay",
-        create=F.col("event_type") == "signup", pay=F.col("event_type") == "purchase",
+    replay = replayed(spark, sf_dir, "event_type", beyond="2 days")
+    return carried.order_pay(
+        replay.stream(), "user_id", "ts", "event_id", replay.delay,
+        F.col("event_type") == "signup", F.col("event_type") == "purchase", "2 days",
     )
-    return micro_times(found, create_time="create_at", pay_time="pay_at")
 
 
-# -------------------------------------------------------------------------- stream joins
+# --------------------------------------------------------------- late rows, re-fired windows
 
-def timed_sides(spark, sf_dir, delay):
-    def side(name, time, *columns):
-        path = f"{sf_dir}/{name}.parquet"
-        rows = table_stream(spark, path, spark.read.parquet(path).schema)
-        return with_event_time(rows, time, delay).select(*columns)
+def late_cte(delay: int) -> str:
+    """The four batches of the arrivals, the watermark each is judged by (``old``) and the one behind it (``mark``)."""
+    return f"""
+    WITH e AS (SELECT *, {SHIFTED_SQL} AS et, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS b FROM events),
+    marks AS (SELECT b, max(max(et)) OVER (ORDER BY b) - INTERVAL {delay} MINUTE AS mark FROM e GROUP BY b),
+    j AS (SELECT e.*, o.mark AS old FROM e LEFT JOIN marks o ON o.b = e.b - 1)"""
+
+
+def fired_sql(keys: str, starts: str, minutes: int, source: str = "j") -> str:
+    """All firings of the windows of an hour, given ``late_cte``."""
+    return f"""
+    p AS (SELECT {keys}, s AS start, b, count(*) AS n, sum(value) AS total FROM (SELECT *, {starts} AS s FROM {source})
+          WHERE old IS NULL OR s + INTERVAL 1 HOUR + INTERVAL {minutes} MINUTE > old GROUP BY ALL),
+    w AS (SELECT {keys}, start, min(b) AS first_b FROM p GROUP BY ALL),
+    g AS (SELECT w.*, marks.b, mark FROM w JOIN marks ON marks.b >= first_b),
+    c AS (SELECT {keys}, start, b, mark, n AS fresh, sum(n) OVER v AS n, sum(total) OVER v AS total,
+                 min(CASE WHEN start + INTERVAL 1 HOUR <= mark THEN b END) OVER (PARTITION BY {keys}, start) AS fb
+          FROM g LEFT JOIN p USING ({keys}, start, b) WINDOW v AS (PARTITION BY {keys}, start ORDER BY b)),
+    fired AS (SELECT *, row_number() OVER (PARTITION BY {keys}, start ORDER BY b) - 1 AS firing FROM c
+              WHERE b = fb OR (b > fb AND fresh > 0))"""
+
+
+@query("stream_allowed_lateness", f"""
+    {late_cte(10)}, {fired_sql('event_type', bucket('1 HOUR', 'et'), 90)}
+    SELECT event_type, start AS window_start, start + INTERVAL 1 HOUR AS window_end, firing, CAST(n AS BIGINT) AS n,
+           round(total, 4) AS total FROM fired""")
+def stream_allowed_lateness(spark, sf_dir):
+    rows = arriving(spark, sf_dir, "et", "event_type", "value")
+    fired, _ = carried.allowed_lateness(rows, ["event_type"], "et", "1 hour", "10 minutes", "90 minutes", value="value")
+    shown = micro_times(fired, window_start="start", window_end="stop")
+    return shown.withColumn("total", F.round("total", 4))
+
+
+@query("stream_hot_urls", f"""
+    {late_cte(10)},
+    u AS (SELECT *, '/item/' || json_extract_string(props, '$.k') AS url FROM j WHERE event_type <> 'click'),
+    {fired_sql('url', sliding('1 HOUR', '10 MINUTE', '50 MINUTE', 'et'), 15, 'u')},
+    r AS (SELECT url, start + INTERVAL 1 HOUR AS window_end, CAST(n AS BIGINT) AS cnt FROM fired
+          QUALIFY row_number() OVER (PARTITION BY url, start ORDER BY firing DESC) = 1)
+    SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS row_num FROM r QUALIFY row_num <= 5""")
+def stream_hot_urls(spark, sf_dir):
+    # Clicks count for the watermark, as in the log, and are left out of the windows' ranking afterwards.
+    url = F.when(F.col("event_type") != "click", F.concat(F.lit("/item/"), F.get_json_object("props", "$.k"))).alias("url")
+    rows = arriving(spark, sf_dir, "et", "event_type", "props").select("event_id", "et", url)
+    fired, _ = carried.allowed_lateness(rows, ["url"], "et", "1 hour", "10 minutes", "15 minutes", step="10 minutes", label="hot-urls")
+    newest = agg.latest_per_key(fired.where("url is not null").select("url", "stop", "firing", "n"), ["url", "stop"], ["firing"])
+    counts = micro_times(newest.withColumnRenamed("n", "cnt"), window_end="stop").drop("firing")
+    return topn.top_n(counts, ["window_end"], [F.col("cnt").desc(), F.col("url").asc()], 5)
+
+
+def late_sql(starts: str, size: str, lateness: str) -> str:
+    return late_cte(10) + f" SELECT event_id, et FROM j WHERE {starts} + INTERVAL {size} + INTERVAL {lateness} <= old"
+
+
+@query("stream_late_side_output", late_sql(bucket("1 HOUR", "et"), "1 HOUR", "5 MINUTE"))
+def stream_late_side_output(spark, sf_dir):
+    rows = arriving(spark, sf_dir, "et")
+    return batches.split_late(rows, "et", "1 hour", "10 minutes", lateness="5 minutes")[1]
+
+
+@query("stream_late_side_output_sliding", late_sql(bucket("10 MINUTE", "et"), "30 MINUTE", "0 MINUTE"))
+def stream_late_side_output_sliding(spark, sf_dir):
+    rows = arriving(spark, sf_dir, "et")
+    return batches.split_late(rows, "et", "30 minutes", "10 minutes", step="10 minutes")[1]
+
+
+# -------------------------------------------------------------------------- stream joins
 
-    orders = side("orders", "o_orderdate", F.col("o_orderkey").alias("order_key"), "o_orderdate")
-    lines = side("lineitem", "l_shipdate", F.col("l_orderkey").alias("order_key"), "l_linenumber", "l_shipdate")
-    return orders, lines
+def sides(spark, sf_dir, beyond):
+    """Orders and their lines, each in four time-ordered steps of its own and flushed together."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"), "l_linenumber", "l_shipdate")
+    both = write_replay(orders, "o_orderdate"), write_replay(lines, "l_shipdate")
+    last = max((r.last() for r in both if r.last() is not None), default=None)
+    return tuple(r.flush(beyond, last=last, order_key=-1 - i) for i, r in enumerate(both))
 
 
 @query("stream_interval_join", f"SELECT o_orderkey AS order_key, o_orderdate, l_linenumber, l_shipdate FROM {PAYS}")
 def stream_interval_join(spark, sf_dir):
-    orders, lines = timed_sides(spark, sf_dir, "1 day")
+    orders, lines = (r.timed() for r in sides(spark, sf_dir, "15 days"))
     paired = joins.interval_join(
         orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days", bucketed=False
     )
     return times(run_to_files(paired, "interval"), "o_orderdate", "l_shipdate")
 
 
-def joined_horizon(delay: str) -> str:
-    return (f"SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL {delay}")
-
-
-@query("stream_reconcile_outer", f"""
-    SELECT * FROM ({ORACLES['reconcile_outer']}) WHERE kind = 'matched'
-      OR (kind = 'pay_no_receipt' AND o_orderdate + INTERVAL 10 DAY < ({joined_horizon('1 DAY')}))
-      OR (kind = 'receipt_no_pay' AND l_shipdate + INTERVAL 5 DAY < ({joined_horizon('1 DAY')}))""")
+@query("stream_reconcile_outer", ORACLES["reconcile_outer"])
 def stream_reconcile_outer(spark, sf_dir):
-    orders, lines = timed_sides(spark, sf_dir, "1 day")
+    orders, lines = (r.timed() for r in sides(spark, sf_dir, "15 days"))
     both = joins.reconcile_outer(
         orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days",
         kinds=("matched", "pay_no_receipt", "receipt_no_pay"), bucketed=False,
@@ -505,18 +603,32 @@ def stream_reconcile_outer(spark, sf_dir):
     return kept.withColumn("l_linenumber", F.coalesce("l_linenumber", F.lit(-1)))
 
 
-@query("stream_left_join_streams", f"""
+@query("stream_left_join_streams", """
     SELECT o_orderkey AS order_key, o_orderdate, l_shipdate AS r_l_shipdate FROM orders
     LEFT JOIN lineitem ON o_orderkey = l_orderkey
-      AND l_shipdate BETWEEN o_orderdate - INTERVAL 10 DAY AND o_orderdate + INTERVAL 10 DAY
-    WHERE l_orderkey IS NOT NULL OR o_orderdate + INTERVAL 10 DAY < ({joined_horizon('1 DAY')})""")
+      AND l_shipdate BETWEEN o_orderdate - INTERVAL 10 DAY AND o_orderdate + INTERVAL 10 DAY""")
 def stream_left_join_streams(spark, sf_dir):
-    orders, lines = timed_sides(spark, sf_dir, "1 day")
+    orders, lines = (r.timed() for r in sides(spark, sf_dir, "11 days"))
     kept = joins.left_join_streams(orders, lines, "order_key", "o_orderdate", "l_shipdate", "10 days")
     kept = times(run_to_files(kept, "left"), "o_orderdate", "r_l_shipdate")
     return kept.select("order_key", "o_orderdate", "r_l_shipdate")
 
 
+@query("stream_app_reconcile", ORACLES["app_reconcile"])
+def stream_app_reconcile(spark, sf_dir):
+    n = F.count(F.lit(1)).alias("n")
+    orders, lines = sides(spark, sf_dir, "15 days")
+    paid = orders.stream().select("order_key", F.col("o_orderdate").alias("at"), F.lit("l").alias("side"))
+    came = lines.stream().select("order_key", F.col("l_shipdate").alias("at"), F.lit("r").alias("side"))
+    # An order occurs once, so first come, first served pairs it with its first line.
+    by_key = carried.match_pairs(paid.unionByName(came), "order_key", "at", label="reconcile-keys")
+    return union_all(
+        stream_interval_join(spark, sf_dir).agg(n).select(F.lit("interval").alias("method"), F.lit("matched").alias("kind"), "n"),
+        stream_reconcile_outer(spark, sf_dir).groupBy("kind").agg(n).select(F.lit("outer").alias("method"), "kind", "n"),
+        by_key.agg(n).select(F.lit("key").alias("method"), F.lit("matched").alias("kind"), "n"),
+    )
+
+
 # --------------------------------------------------------------------- worked analytics
 
 @query("stream_app_word_count", ORACLES["app_word_count"])
@@ -573,21 +685,12 @@ def stream_app_hot_urls(spark, sf_dir):
       SELECT *, {sliding('1 HOUR', '10 MINUTE', '50 MINUTE')} AS s FROM c WHERE nth < 2) GROUP BY 1, 2""")
 def stream_app_ad_clicks(spark, sf_dir):
     # The event type stands for the advertisement and for the province: both lie on the click row.
-    rows = event_stream(spark, sf_dir)
-    rows = rows.select(
-        "event_id", "user_id", "event_type", F.to_date(F.expr("ts + interval 8 hours")).alias("local_day"),
-        F.unix_micros(instant(rows, "ts")).alias("at"),
-    )
-    fold = folds.Blacklist("local_day", "event_id", "at", 2)
-    judged = keyed.fold_arrivals(rows, ["user_id", "event_type"], "event_id", fold)
-    passed = judged.where("not is_alert").withColumn("ts", F.timestamp_micros("carried"))
-    # The judged clicks are a stream of their own, so that alerts and counts can both read them.
+    passed = clicks_of_day(spark, sf_dir, "ads").where("nth < 2").select("event_type", "ts")
+    # The clicks that pass are a stream of their own, so that alerts and counts can both read them.
     base = scratch(spark, "clicks")
-    run_to_files(passed.select("event_type", "ts"), "clicks", path=base)
-    clicks = spark.readStream.schema("event_type string, ts timestamp").parquet(f"{base}/data")
-    counted = windows.slide(
-        clicks.withWatermark("ts", "1 hour"), ["event_type"], "ts", "1 hour", "10 minutes", n=F.count(F.lit(1))
-    )
+    passed.write.parquet(base)
+    clicks = with_event_time(table_stream(spark, base, passed.schema), "ts", "1 hour")
+    counted = windows.slide(clicks, ["event_type"], "ts", "1 hour", "10 minutes", n=F.count(F.lit(1)))
     newest = run_to_upsert(counted, ["event_type", "window_start", "window_end"], "ads")
     return times(newest, "window_start").select("event_type", "window_start", "n")
 
@@ -607,15 +710,6 @@ def stream_app_login_risk(spark, sf_dir):
     )
 
 
-@query("stream_eager_trigger", f"""
-    SELECT user_id, {bucket('1 DAY')} AS window_start, count(*) AS n FROM events GROUP BY 1, 2""")
-def stream_eager_trigger(spark, sf_dir):
-    # Update mode gives a window out again whenever it changed; the table keeps the newest result.
-    rows = timed_stream(spark, sf_dir, "1 hour")
-    counted = windows.tumble(rows, ["user_id"], "ts", "1 day", n=F.count(F.lit(1))).drop("window_end")
-    return times(run_to_upsert(counted, ["user_id", "window_start"], "eager"), "window_start")
-
-
 @query("stream_app_order_timeout", f"""
     SELECT user_id, kind, create_time, pay_time FROM ({ORACLES['stream_order_pay_monitor']})
     UNION ALL SELECT user_id, 'pattern_' || kind, begin_time, then_time FROM ({ORACLES['stream_pattern_followed_by']})""")

@@ -3,8 +3,10 @@
 A fold sees the rows of one key one at a time.  ``step`` takes the remembered
 values and a row and returns new values and output rows; ``due`` and ``expire``
 give a fold a deadline in event time (microseconds, as everywhere here).
-Folds hold a bounded number of values, so the state of a key stays small; only ``FollowedBy`` keeps every begin that
-waits for its answer.  A null value counts as a row but adds nothing, as in the built-in aggregates.
+Folds hold a bounded number of values, so the state of a key stays small.
+
+This is the way for rules of one's own that no built-in operator expresses, at one Python call per row and one task per
+key. The operators of this library take the way of ``streaming.carried`` instead; the two folds below are examples.
 """
 
 from __future__ import annotations
@@ -16,15 +18,6 @@ State = tuple
 Rows = list[tuple]
 
 
-def plus(total: float | None, value: float | None) -> float | None:
-    """Sum in which nulls add nothing; null as long as there is no value."""
-    return total if value is None else value if total is None else total + value
-
-
-def highest_first(values: list, more: float | None, n: int) -> list:
-    return sorted([*values, *([] if more is None else [more])], reverse=True)[:n]
-
-
 @dataclass(frozen=True)
 class Fold:
     """``state`` and ``out`` are schemas in DDL; ``out`` leaves out the key columns."""
@@ -45,192 +38,6 @@ class Fold:
         return state, []
 
 
-@dataclass(frozen=True)
-class Profile(Fold):
-    """Running count, sum, maximum, average and the newest and previous value."""
-
-    value: str
-    arrival: str
-    state: str = field(default="n bigint, known bigint, total double, highest double, last double", init=False)
-    out: str = field(
-        default="arrival bigint, n bigint, total double, highest double, average double, last double, previous double",
-        init=False,
-    )
-
-    def start(self):
-        return (0, 0, None, None, None)
-
-    def step(self, state, row):
-        n, known, total, highest, last = state
-        v = row[self.value]
-        n, known, total = n + 1, known + (v is not None), plus(total, v)
-        highest = max((x for x in (highest, v) if x is not None), default=None)
-        average = total / known if known else None
-        return (n, known, total, highest, v), [(row[self.arrival], n, total, highest, average, v, last)]
-
-
-@dataclass(frozen=True)
-class CountTumble(Fold):
-    value: str
-    size: int
-    state: str = field(default="n bigint, total double, window_no bigint", init=False)
-    out: str = field(default="window_no bigint, total double", init=False)
-
-    def start(self):
-        return (0, None, 0)
-
-    def step(self, state, row):
-        n, total, number = state[0] + 1, plus(state[1], row[self.value]), state[2]
-        if n == self.size:
-            return (0, None, number + 1), [(number, total)]
-        return (n, total, number), []
-
-
-@dataclass(frozen=True)
-class CountSlide(Fold):
-    """Sum of the last ``size`` rows, every ``step_rows`` rows."""
-
-    value: str
-    arrival: str
-    size: int
-    step_rows: int
-    first_full: bool = False
-    state: str = field(default="n bigint, recent array<double>", init=False)
-    out: str = field(default="arrival bigint, nth bigint, total double", init=False)
-
-    def start(self):
-        return (0, [])
-
-    def step(self, state, row):
-        n, recent = state[0] + 1, [*state[1], row[self.value]][-self.size :]
-        past = n - self.size if self.first_full else n
-        fires = past >= 0 and past % self.step_rows == 0
-        known = [v for v in recent if v is not None]
-        return (n, recent), [(row[self.arrival], n, sum(known) if known else None)] if fires else []
-
-
-@dataclass(frozen=True)
-class Jump(Fold):
-    """Alert when a value differs from the previous one by more than ``threshold``."""
-
-    value: str
-    arrival: str
-    threshold: float
-    state: str = field(default="last double", init=False)
-    out: str = field(default="arrival bigint, value double, previous_value double", init=False)
-
-    def start(self):
-        return (None,)
-
-    def step(self, state, row):
-        v, last = row[self.value], state[0]
-        jumps = v is not None and last is not None and abs(v - last) > self.threshold
-        return (v,), [(row[self.arrival], v, last)] if jumps else []
-
-
-@dataclass(frozen=True)
-class RunningTop(Fold):
-    """The highest values so far, after every row; the earlier of two equal values first."""
-
-    value: str
-    arrival: str
-    n: int = 3
-    state: str = field(default="top array<double>", init=False)
-    out: str = field(default="arrival bigint, top array<double>", init=False)
-
-    def start(self):
-        return ([],)
-
-    def step(self, state, row):
-        top = highest_first(state[0], row[self.value], self.n)
-        return (top,), [(row[self.arrival], top)]
-
-
-@dataclass(frozen=True)
-class TopTwo(Fold):
-    """Table aggregate: both ranks again whenever one of them changes."""
-
-    value: str
-    arrival: str
-    state: str = field(default="top array<double>", init=False)
-    out: str = field(default="arrival bigint, value double, rank string", init=False)
-
-    def start(self):
-        return ([],)
-
-    def step(self, state, row):
-        top = highest_first(state[0], row[self.value], 2)
-        if top == list(state[0]):
-            return state, []
-        return (top,), [(row[self.arrival], v, f"TOP{i + 1}") for i, v in enumerate(top)]
-
-
-@dataclass(frozen=True)
-class Changes(Fold):
-    """Running count and sum as withdrawals (is_insert false) and insertions."""
-
-    value: str
-    arrival: str
-    state: str = field(default="n bigint, total double", init=False)
-    out: str = field(default="arrival bigint, is_insert boolean, n bigint, total double", init=False)
-
-    def start(self):
-        return (0, None)
-
-    def step(self, state, row):
-        n, total = state[0] + 1, plus(state[1], row[self.value])
-        old = [(row[self.arrival], False, *state)] if state[0] else []
-        return (n, total), [*old, (row[self.arrival], True, n, total)]
-
-
-@dataclass(frozen=True)
-class FailPairs(Fold):
-    """Two failures in a row, at most ``within`` apart in either direction."""
-
-    fails: str
-    time: str
-    arrival: str
-    within: int
-    state: str = field(default="last bigint", init=False)
-    out: str = field(default="arrival bigint, at bigint, previous_at bigint", init=False)
-
-    def start(self):
-        return (None,)
-
-    def step(self, state, row):
-        if not row[self.fails]:
-            return (None,), []
-        at, last = row[self.time], state[0]
-        close = at is not None and last is not None and abs(at - last) <= self.within
-        return (at,), [(row[self.arrival], at, last)] if close else []
-
-
-@dataclass(frozen=True)
-class Blacklist(Fold):
-    """Pass a day's rows below the threshold; one alert at the threshold.
-
-    ``carry`` names a bigint column of the row that the output keeps (a time).
-    """
-
-    day: str
-    arrival: str
-    carry: str
-    threshold: int
-    state: str = field(default="day date, n bigint", init=False)
-    out: str = field(default="arrival bigint, carried bigint, is_alert boolean, nth bigint", init=False)
-
-    def start(self):
-        return (None, 0)
-
-    def step(self, state, row):
-        day = row[self.day]
-        n = state[1] + 1 if state[0] == day else 1
-        passes, warns = n < self.threshold or n == 1, n == max(self.threshold, 2)
-        place = (row[self.arrival], row[self.carry])
-        shown = [(*place, False, n)] if passes else []
-        return (day, n), [*shown, *([(*place, True, n)] if warns else [])]
-
-
 @dataclass(frozen=True)
 class MatchPair(Fold):
     """Pair the rows of two tagged inputs; the first to come waits."""
@@ -251,9 +58,6 @@ class MatchPair(Fold):
         return ((None, None), [(left, at, "right")]) if left is not None else ((None, at), [])
 
 
-# ------------------------------------------------- folds over rows in event-time order
-
-
 @dataclass(frozen=True)
 class Consecutive(Fold):
     """``times`` adjacent hits in less than ``within``; every overlapping match."""
@@ -276,132 +80,3 @@ class Consecutive(Fold):
         ids, ats = [*state[0], number][-self.times :], [*state[1], at][-self.times :]
         matched = len(ids) == self.times and at - ats[0] < self.within
         return (ids, ats), [(number, at, ids[0], ats[0])] if matched else []
-
-
-@dataclass(frozen=True)
-class FollowedBy(Fold):
-    """Each begin with the first later answer in less than ``within``, or its timeout."""
-
-    begin: str
-    answer: str
-    time: str
-    arrival: str
-    within: int
-    state: str = field(default="ids array<bigint>, ats array<bigint>", init=False)
-    out: str = field(
-        default="begin_arrival bigint, begin_at bigint, then_arrival bigint, then_at bigint, kind string, timeout_at bigint",
-        init=False,
-    )
-
-    def start(self):
-        return ([], [])
-
-    def step(self, state, row):
-        ids, ats = list(state[0]), list(state[1])
-        at, number = row[self.time], row[self.arrival]
-        done = []
-        if row[self.answer]:
-            done = [(i, a, number, at, "matched", None) for i, a in zip(ids, ats)]
-            ids, ats = [], []
-        if row[self.begin]:
-            ids, ats = [*ids, number], [*ats, at]
-        return (ids, ats), done
-
-    def due(self, state):
-        # An answer exactly at the end of the wait is too late.
-        return state[1][0] + self.within - 1 if state[1] else None
-
-    def expire(self, state, at):
-        ids, ats = list(state[0]), list(state[1])
-        ended = []
-        while ats and ats[0] + self.within - 1 <= at:
-            begin = ats.pop(0)
-            ended.append((ids.pop(0), begin, None, None, "timeout", begin + self.within))
-        return (ids, ats), ended
-
-
-@dataclass(frozen=True)
-class OrderPay(Fold):
-    """Create, then pay within the span; the end of the span still counts."""
-
-    create: str
-    pay: str
-    time: str
-    within: int
-    state: str = field(default="created bigint", init=False)
-    out: str = field(default="kind string, create_at bigint, pay_at bigint", init=False)
-
-    def start(self):
-        return (None,)
-
-    def step(self, state, row):
-        at = row[self.time]
-        if row[self.create]:
-            return (at,), []
-        if row[self.pay]:
-            if state[0] is None:
-                return state, [("pay_without_create", None, at)]
-            return (None,), [("paid", state[0], at)]
-        return state, []
-
-    def due(self, state):
-        return None if state[0] is None else state[0] + self.within
-
-    def expire(self, state, at):
-        return (None,), [("no_pay", state[0], None)]
-
-
-@dataclass(frozen=True)
-class NoDrop(Fold):
-    """Alert every ``wait`` while the value does not drop."""
-
-    value: str
-    time: str
-    wait: int
-    state: str = field(default="last double, since bigint, nth bigint", init=False)
-    out: str = field(default="since bigint, nth bigint, alert_at bigint", init=False)
-
-    def start(self):
-        return (None, None, 0)
-
-    def step(self, state, row):
-        last, since, nth = state
-        v = row[self.value]
-        if last is not None and v is not None and v < last:
-            return (v, None, 0), []
-        return (v, row[self.time] if since is None else since, nth), []
-
-    def due(self, state):
-        return None if state[1] is None else state[1] + (state[2] + 1) * self.wait
-
-    def expire(self, state, at):
-        last, since, nth = state
-        return (last, since, nth + 1), [(since, nth + 1, since + (nth + 1) * self.wait)]
-
-
-@dataclass(frozen=True)
-class Burst(Fold):
-    """Failures from a first one for ``within``; a success clears them."""
-
-    fails: str
-    time: str
-    within: int
-    at_least: int = 2
-    state: str = field(default="first_at bigint, last_at bigint, n bigint", init=False)
-    out: str = field(default="first_at bigint, last_at bigint, n bigint", init=False)
-
-    def start(self):
-        return (None, None, 0)
-
-    def step(self, state, row):
-        if not row[self.fails]:
-            return self.start(), []
-        at = row[self.time]
-        first = at if state[0] is None else state[0]
-        return (first, at, state[2] + 1), []
-
-    def due(self, state):
-        return None if state[0] is None else state[0] + self.within
-
-    def expire(self, state, at):
-        return self.start(), [state] if state[2] >= self.at_least else []

@@ -49,58 +49,6 @@ def stream_of(spark, data, sentinel=True, files=4, order=None):
     return table_stream(spark, path + "/", schema, files_per_batch=1)
 
 
-def test_folds_in_arrival_order(spark, data):
-    batch = batch_of(spark, data)
-    stream = stream_of(spark, data, sentinel=False).select("n", "k", "v")
-
-    def folded(fold):
-        return run_to_files(keyed.fold_arrivals(stream, KEYS, "n", fold), "fold")
-
-    profile = folded(folds.Profile("v", "n"))
-    want = seq.sequence(batch, KEYS, ARRIVAL).running(c=seq.tally(), total=seq.total("v"), m=seq.highest("v"), p=seq.previous("v")).df
-    assert rows_of(profile, "arrival", "n", "total", "highest", "previous") == rows_of(want, "n", "c", "total", "m", "p")
-
-    slid = folded(folds.CountSlide("v", "n", 5, 2))
-    want = windows.count_slide(batch, KEYS, ARRIVAL, 5, 2, total=lambda w: F.sum("v").over(w))
-    assert rows_of(slid, "arrival", "total") == rows_of(want, "n", "total")
-
-    tumbled = folded(folds.CountTumble("v", 5))
-    want = windows.count_tumble(batch, KEYS, ARRIVAL, 5, total=F.sum("v"))
-    assert rows_of(tumbled, "k", "window_no", "total") == rows_of(want, "k", "window_no", "total")
-
-    jumps = folded(folds.Jump("v", "n", 20))
-    assert rows_of(jumps, "arrival", "previous_value") == rows_of(over.prev_value_jump(batch, KEYS, ARRIVAL, "v", 20), "n", "previous_value")
-
-    changes = folded(folds.Changes("v", "n"))
-    want = aggregates.changelog(batch, KEYS, ARRIVAL, {"c": seq.tally(), "total": seq.total("v")})
-    assert rows_of(changes, "arrival", "is_insert", "n", "total") == rows_of(want, "n", "is_insert", "c", "total")
-
-    top = folded(folds.RunningTop("v", "n"))
-    want = topn.running_top(batch, KEYS, ARRIVAL, "v")
-    assert rows_of(top, "arrival", F.get("top", F.lit(0)), F.get("top", F.lit(2))) == rows_of(want, "n", "top1", "top3")
-
-
-def test_folds_skip_nulls(spark, data):
-    rows = [(*r[:3], None if r[0] % 4 == 1 or r[0] < 9 else r[3], r[4]) for r in data]
-    batch = make(spark, rows)
-    stream = stream_of(spark, rows, sentinel=False).select("n", "k", "v")
-
-    def folded(fold):
-        return run_to_files(keyed.fold_arrivals(stream, KEYS, "n", fold), "fold")
-
-    want = seq.sequence(batch, KEYS, ARRIVAL).running(c=seq.tally(), total=seq.total("v"), m=seq.highest("v"), p=seq.previous("v")).df
-    got = folded(folds.Profile("v", "n"))
-    assert rows_of(got, "arrival", "n", "total", "highest", "previous") == rows_of(want, "n", "c", "total", "m", "p")
-    want = windows.count_slide(batch, KEYS, ARRIVAL, 5, 2, total=lambda w: F.sum("v").over(w))
-    assert rows_of(folded(folds.CountSlide("v", "n", 5, 2)), "arrival", "total") == rows_of(want, "n", "total")
-    want = windows.count_tumble(batch, KEYS, ARRIVAL, 5, total=F.sum("v"))
-    assert rows_of(folded(folds.CountTumble("v", 5)), "k", "window_no", "total") == rows_of(want, "k", "window_no", "total")
-    want = over.prev_value_jump(batch, KEYS, ARRIVAL, "v", 20)
-    assert rows_of(folded(folds.Jump("v", "n", 20)), "arrival", "previous_value") == rows_of(want, "n", "previous_value")
-    for fold in (folds.RunningTop("v", "n"), folds.TopTwo("v", "n"), folds.Changes("v", "n")):
-        assert folded(fold).count() > 0
-
-
 def test_a_settled_key_is_forgotten():
     class Value:
         def __init__(self):
@@ -143,35 +91,6 @@ def test_folds_in_event_time(spark, data):
     want = patterns.pattern_consecutive(batch, KEYS, "t", "n", fails, 2, "8 seconds")
     assert rows_of(found, "first_arrival", "arrival") == rows_of(want, "first_n", "n")
 
-    begin, answer = F.col("v") < 15, F.col("v") > 35
-    found = folded(folds.FollowedBy("b", "a", keyed.AT, "n", micros("10 seconds")), b=begin, a=answer)
-    want = patterns.pattern_followed_by(batch, KEYS, "t", "n", begin, answer, "10 seconds")
-    assert rows_of(found, "begin_arrival", "then_arrival", "kind") == rows_of(want, "begin_n", "then_n", "kind")
-
-    found = folded(folds.Burst("f", keyed.AT, micros("9 seconds")), f=fails)
-    want = alerts.login_fail_burst(batch, KEYS, "t", "n", fails, "9 seconds")
-    assert rows_of(found, "k", "first_at", "n") == rows_of(want, "k", seq.ticks(want, "first_time"), "n")
-
-    found = folded(folds.NoDrop("v", keyed.AT, micros("3 seconds")), v=F.col("v"))
-    end = batch.agg(F.max("s")).first()[0] + 100_000
-    want = alerts.no_drop_alert(batch, KEYS, "t", "n", "v", "3 seconds")
-    inside = found.where(F.col("alert_at") <= end * 1_000_000)
-    assert rows_of(inside, "k", "since", "nth") == rows_of(want, "k", seq.ticks(want, "since"), "nth")
-
-
-def test_order_pay_fold(spark):
-    rows = [
-        (0, "29", 842, 0.0, "create"), (1, "29", 844, 0.0, "pay"), (2, "56", 913, 0.0, "create"), (3, "68", 950, 0.0, "pay"),
-        (4, "00", 1000, 0.0, "create"), (5, "00", 1900, 0.0, "pay"), (6, "56", 1951, 0.0, "pay"),
-    ]
-    stream = with_event_time(stream_of(spark, rows), "t", "5 seconds")
-    create, pay = F.col("kind") == "create", F.col("kind") == "pay"
-    fed = stream.select("n", "k", "t", create.alias("c"), pay.alias("p"))
-    fold = folds.OrderPay("c", "p", keyed.AT, micros("15 minutes"))
-    got = run_to_files(keyed.fold_event_time(fed, KEYS, "t", "n", fold), "pay").where("k <> 'end'")
-    want = alerts.order_pay_monitor(make(spark, rows), "k", "t", "n", create, pay, "15 minutes")
-    assert rows_of(got, "k", "kind") == rows_of(want, "k", "kind")
-
 
 def test_built_in_windows(spark, data):
     batch = batch_of(spark, data)
