@@ -3,15 +3,18 @@
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template. Windows of
 ``WINDOW`` words of the benchmark, as they are and canonical, are hash-joined with all windows of all documents. Shared windows of one
 shift are a run. Slots are compared where the windows of a run stand, each by its own shift: a value of the item must always have become the
-same value, inside a run and among the runs put together. Runs that are word for word always go together. If the runs hold enough windows
-of the item, the document holds it, word for word or with other parameters.
+same value, inside a run and among the runs put together, which are those no further apart than ``REACH`` lengths of the item, nearest
+first. Windows that are equal word for word need no slot test: all of them, of whatever run, always go together. If the windows put
+together are enough of the item, the document holds it, word for word or with other parameters.
+
+An item of fewer than ``WINDOW`` words, but at least ``SHORT``, is one window of its own length and is looked for word for word.
 
 Names are capitalised words that do not begin a sentence; units count behind a number. A benchmark window needs ``LITERAL``
 words that are no placeholders to be looked for as a template, with fewer it is looked for word for word only; a run without any such word
 does not count, so runs of numbers do not match each other. The share is the larger of two: of all windows those found word for word, of
 the windows with enough such words those found either way.
 
-Defined results: a null text is empty; items and documents below ``WINDOW`` words share nothing; rows that repeat id and text are
+Defined results: a null text is empty; items below ``SHORT`` words and documents without a word share nothing; rows that repeat id and text are
 one document; of repeated items each counts; further columns are not read; an empty table on either side gives no rows.
 """
 
@@ -24,7 +27,9 @@ from millrace.session import stored
 
 WINDOW = 8
 LITERAL = 5
+SHORT = 3
 SHARE = 0.4
+REACH = 4
 BROADCAST_WINDOWS = 1_000_000  # 24 bytes each
 
 # Words that are units when they follow a number.
@@ -51,10 +56,10 @@ def canonical(words: str) -> Column:
         f"when i > 0 and w in ({units}) and {number(f'{words}[i - 1]')} then '{UNIT}' else w end)")
 
 
-def windows(canon: str) -> Column:
-    """Hash of each run of ``WINDOW`` canonical words."""
+def windows(canon: str, length: int = WINDOW) -> Column:
+    """Hash of each run of ``length`` words."""
     return F.expr(
-        f"if(size({canon}) < {WINDOW}, array(), transform(sequence(1, size({canon}) - {WINDOW - 1}), i -> xxhash64(slice({canon}, i, {WINDOW}))))"
+        f"if(size({canon}) < {length}, array(), transform(sequence(1, size({canon}) - {length - 1}), i -> xxhash64(slice({canon}, i, {length}))))"
     ).cast("array<bigint>")
 
 
@@ -67,21 +72,31 @@ def plain(words: str | Column) -> Column:
     return F.transform(words, lambda w: F.replace(w, F.lit(NAME), F.lit("")))
 
 
-def windows_of(words: str, canon: str) -> Column:
-    """(place, hash, whether of the words themselves) of each window; canonical only where it has a slot, else it is the same."""
+def windows_of(words: str, canon: str, lengths: list[int]) -> Column:
+    """(place, hash, whether of the words themselves) of each window; canonical only where it has a slot, else it is the same.
+
+    Windows of other ``lengths`` are of the words themselves.
+    """
     both = F.struct(windows(words).alias("e"), windows(canon).alias("c"))
+    exact = lambda column: F.transform(column, lambda w, i: F.struct(i.alias("pos"), w.alias("w"), F.lit(True).alias("exact")))
+    short = [exact(windows(words, n)) for n in lengths]
     return F.transform(F.array(both), lambda b: F.concat(
-        F.transform(b["e"], lambda w, i: F.struct(i.alias("pos"), w.alias("w"), F.lit(True).alias("exact"))),
+        exact(b["e"]),
         F.filter(F.transform(b["c"], lambda w, i: F.struct(i.alias("pos"), w.alias("w"), F.lit(False).alias("exact"))),
-                 lambda s: s["w"] != F.get(b["e"], s["pos"])),
+                 lambda s: s["w"] != F.get(b["e"], s["pos"])), *short,
     ))[0]
 
 
-# Slots of a run (the windows of one shift): item value and document value at the item's places that its windows cover.
+def _pairs(places: str) -> str:
+    """Item value and document value at the slots that the windows from these places on cover."""
+    return (f"transform(filter(array_distinct(flatten(transform({places}, i -> sequence(i, least(i + {WINDOW}, size(icanon)) - 1)))), j -> {is_slot('icanon[j]')}), "
+            "j -> struct(j as j, iwords[j] as a, words[r.shift + j] as b))")
+
+
+# The windows of one shift in order of the shift, with what they say about the slots.
 RUNS = (
-    "transform(runs, r -> struct(r.shift as shift, r.at_exact as exact, r.at_dense as dense, size(r.at) = size(r.at_exact) as same, "
-    f"transform(filter(array_distinct(flatten(transform(r.at, i -> sequence(i, i + {WINDOW - 1})))), j -> {is_slot('icanon[j]')}), "
-    "j -> struct(j as j, iwords[j] as a, words[r.shift + j] as b)) as pairs))")
+    "transform(array_sort(runs), r -> struct(r.shift as shift, r.at_exact as exact, r.at_dense as dense, "
+    f"array_intersect(r.at_dense, r.at_exact) as both, {_pairs('r.at')} as pairs, {_pairs('r.at_exact')} as same))")
 _NONE = (
     "named_struct('exact', cast(array() as array<int>), 'dense', cast(array() as array<int>), "
     "'pairs', cast(array() as array<struct<j: int, a: string, b: string>>))")
@@ -90,12 +105,17 @@ _JOINED = (
 _AGREE = (
     "size(array_distinct(transform(concat(s.pairs, r.pairs), p -> struct(p.a, p.b)))) = "
     "size(array_distinct(transform(concat(s.pairs, r.pairs), p -> p.a)))")
-# What can be put together: all runs that are word for word, and from each run on the nearest others whose values agree.
+# Shifts are different numbers, so no more runs than this lie within reach on either side; each run looks at these alone.
+_NEAR = f"{REACH} * size(icanon)"
+_NEAREST = (
+    f"array_sort(filter(slice(runs, greatest(n + 1 - {_NEAR}, 1), 2 * {_NEAR} + 1), r -> abs(r.shift - q.shift) <= {_NEAR}), (x, y) -> case "
+    "when abs(x.shift - q.shift) < abs(y.shift - q.shift) then -1 when abs(x.shift - q.shift) > abs(y.shift - q.shift) then 1 "
+    "when x.shift < y.shift then -1 when x.shift > y.shift then 1 else 0 end)")
+# What can be put together: all windows that are word for word, and from each run on the nearest others whose values agree.
 TRIES = (
-    f"concat(array(aggregate(filter(runs, r -> r.same), {_NONE}, (s, r) -> {_JOINED})), "
-    "transform(filter(runs, q -> not q.same), q -> aggregate(array_sort(runs, (x, y) -> case when abs(x.shift - q.shift) < abs(y.shift - q.shift) then -1 "
-    "when abs(x.shift - q.shift) > abs(y.shift - q.shift) then 1 when x.shift < y.shift then -1 when x.shift > y.shift then 1 else 0 end), "
-    f"{_NONE}, (s, r) -> if({_AGREE}, {_JOINED}, s))))")
+    f"concat(array(aggregate(runs, {_NONE}, (s, r) -> named_struct('exact', array_union(s.exact, r.exact), "
+    "'dense', array_union(s.dense, r.both), 'pairs', array_union(s.pairs, r.same)))), "
+    f"transform(runs, (q, n) -> aggregate({_NEAREST}, {_NONE}, (s, r) -> if({_AGREE}, {_JOINED}, s))))")
 
 
 def contaminated(
@@ -104,9 +124,14 @@ def contaminated(
     """``id``, ``h`` (hash of the text), ``item``, shared windows, ``share``, ``slots``, ``changed`` and ``kind`` of every hit."""
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("h"), "text")
-    items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("marked"))
+    items = benchmark.select(F.col(item).alias("item"), F.filter(tokens(F.col(item_text)), lambda w: w != "").alias("marked"))
     items = items.select("item", plain("marked").alias("iwords"), canonical("marked").alias("icanon"))
-    listed = items.select("item", "icanon", F.inline(windows_of("iwords", "icanon")).alias("ipos", "w", "exact"))
+    # At most five lengths, and none where all items are long.
+    size = F.size("iwords")
+    lengths = sorted(r["n"] for r in items.select(size.alias("n")).where(size.between(SHORT, WINDOW - 1)).distinct().collect())
+    own = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64("iwords").alias("w"), F.lit(True).alias("exact")))
+    whole = F.when(size.between(SHORT, WINDOW - 1), own).otherwise(windows_of("iwords", "icanon", []))
+    listed = items.select("item", "icanon", F.inline(whole).alias("ipos", "w", "exact"))
     literal = F.expr(f"size(filter(slice(icanon, ipos + 1, {WINDOW}), c -> not ({is_slot('c')})))")
     listed = listed.select("item", "ipos", "w", "exact", (literal >= LITERAL).alias("dense"), (literal > 0).alias("worded"))
     index = stored(listed.where("exact or dense"), "benchmark-windows")
@@ -116,7 +141,7 @@ def contaminated(
 
     seen = rows.select("id", "h", tokens(F.col("text")).alias("marked"))
     seen = seen.select("id", "h", plain("marked").alias("words"), canonical("marked").alias("canon"))
-    placed = seen.select("id", "h", F.inline(windows_of("words", "canon")).alias("pos", "w", "exact")).drop("exact")
+    placed = seen.select("id", "h", F.inline(windows_of("words", "canon", lengths)).alias("pos", "w", "exact")).drop("exact")
     only = lambda flag: F.collect_set(F.when(F.col(flag), F.col("ipos")))
     shared = placed.join(probe, "w").groupBy("id", "h", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
         F.collect_set("ipos").alias("at"), only("exact").alias("at_exact"), only("dense").alias("at_dense"),

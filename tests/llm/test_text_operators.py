@@ -143,7 +143,7 @@ def test_reparameterised_questions_are_found(spark):
 
 def test_inconsistent_slots_are_no_hit(spark):
     item = "take 5 steps north then 5 steps east then 5 steps south and say where you are in the end"
-    rows = [(1, item.replace("5", "8"), None), (2, item.replace("5", "8", 1).replace("5", "9", 1), None)]
+    rows = [(1, item.replace("5", "8"), None), (2, item.replace("5", "8").replace("8", "9", 2).replace("9", "8", 1), None)]
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert table(decontam.contaminated(frame(spark, rows), items), "id") == [(1,)]
 
@@ -164,11 +164,71 @@ def test_partial_edited_and_slot_dense_copies_are_found(spark):
             (9, NATALIA.replace("in April and May", "in June and May"), None), (10, f"{third} {filler} {put('exactly')}", None)]
     items = spark.createDataFrame([(1, NATALIA), (2, numbers)], "item_id long, text string")
     got = decontam.contaminated(frame(spark, rows), items)
+    # Nine differs in one value only: twenty of its windows are the item's, word for word.
     assert table(got, "id", "item", "kind") == sorted(
-        [(i, 1, "same words") for i in (1, 2, 3, 4)] + [(5, 2, "same words"), (7, 1, "other parameters"), (8, 1, "other parameters"),
+        [(i, 1, "same words") for i in (1, 2, 3, 4, 9)] + [(5, 2, "same words"), (7, 1, "other parameters"), (8, 1, "other parameters"),
                                                         (10, 1, "other parameters")], key=repr)
 
 
+def test_one_changed_name_does_not_hide_a_copy(spark):
+    item = ("One day Anna walks to the market with six baskets and fills them with plums while the old farmer tells Anna that every basket of "
+            "plums costs more than he asked for in the last dry summer")
+    copies = item[::-1].replace("annA", "siroB", 1)[::-1]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontam.contaminated(frame(spark, [(1, copies, None), (2, "One day Anna walks " + words(random.Random(2), 30), None)]), items)
+    assert table(got, "id", "kind", "changed") == [(1, "same words", 0)]
+
+
+def test_short_items_are_looked_for_whole(spark):
+    filler = words(random.Random(9), 30, "uvwxyz")
+    rows = [(1, f"{filler}. What is two plus two? {filler}", None), (2, f"What is two and two plus two {filler}", None), (3, "what is two, plus two", None),
+            (4, f"{filler} the sky is {filler}", None), (5, "7 8 9", None)]
+    items = spark.createDataFrame([(1, "What is two plus two?"), (2, "the sky"), (3, "7 8 9"), (4, "(The sky is)")], "item_id long, text string")
+    assert table(decontam.contaminated(frame(spark, rows), items), "id", "item", "kind") == [(1, 1, "same words"), (3, 1, "same words"), (4, 4, "same words")]
+
+
+def brute_exact_share(text, item):
+    """Share of an item's windows that stand in a text, word for word."""
+    found = lambda t: re.findall(r"[a-z]+", t.lower())
+    grams = lambda w: {tuple(w[i : i + 8]) for i in range(len(w) - 7)}
+    own = found(item)
+    return sum(tuple(own[i : i + 8]) in grams(found(text)) for i in range(len(own) - 7)) / (len(own) - 7)
+
+
+def test_exact_shares_against_brute_force(spark):
+    rng = random.Random(11)
+    texts = [words(rng, rng.randint(8, 40), "abcdefgh") for _ in range(12)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rng.randint(0, 3)):
+            w = rng.choice(texts).split()
+            a = rng.randint(0, len(w) - 1)
+            w = w[a : a + rng.randint(1, len(w))]
+            if rng.random() < 0.4:
+                w.insert(rng.randint(0, len(w)), "zzz")
+            parts += [" ".join(w), words(rng, 5, "uvwx")]
+        rows.append((i, " ".join(parts), None))
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    want = {(i, k) for i, t, _ in rows for k, item in enumerate(texts) if brute_exact_share(t, item) >= decontam.SHARE}
+    assert len(want) > 10 and set(table(decontam.contaminated(frame(spark, rows), items), "id", "item")) == want
+
+
+def test_many_repeats_of_an_item_cost_in_proportion(spark):
+    import time
+
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+
+    def took(n):
+        text = " ".join(ITEM.replace("3", str(i + 10)).replace("4", str(i + 7)) for i in range(n))
+        began = time.perf_counter()
+        assert decontam.contaminated(frame(spark, [(1, text, None)]), items).count() == 1
+        return time.perf_counter() - began
+
+    took(10)
+    assert took(800) < 3 * took(400) + 2
+
+
 def test_decontamination_of_nothing(spark, odd, nothing):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert decontam.contaminated(nothing, items).count() == 0
