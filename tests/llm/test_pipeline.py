@@ -10,6 +10,7 @@ ITEM = "Anna walks from the harbour to the market and buys bread for the whole f
 
 def documents(spark):
     rows = [(1, BASE.format("seven"), "en", "a", 1), (2, BASE.format("seven"), "en", "b", 1), (3, None, "en", "a", 0), (4, "12 !", "de", "a", 4),
+            (7, "ένα μικρό σκυλί τρέχει γρήγορα στον δρόμο κάτω από τα δέντρα", None, "a", 60),
             (5, f"before that. {ITEM} and more text after it", "en", "a", 9),
             (6, "please write to jo.doe@mail.example.com about the small boat in the green harbour", "en", "c", 80),
             (6, "please write to jo.doe@mail.example.com about the small boat in the green harbour", "en", "c", 80)]

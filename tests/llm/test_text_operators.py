@@ -383,21 +383,37 @@ def test_languages_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
-def test_phrases_against_plain_parsing():
+@pytest.mark.parametrize("columns", [langid.COLUMNS, 2])
+def test_phrases_against_plain_parsing(monkeypatch, columns):
+    monkeypatch.setattr(langid, "COLUMNS", columns)
     rng = random.Random(6)
     model = langid.Model([("a", words(rng, 80, "abc")), ("b", words(rng, 80, "bcd"))])
     texts = [words(rng, 30, "abcd") for _ in range(5)] + ["", "dd", "ab?!c é"]
-    rates, _ = model.rates(texts)
-    for t, rate in zip(texts, rates):
+    phrases, _, _ = model.parsed(texts)
+    go = lambda sample, state, code: int(sample.follow(np.array([state]), np.array([code]))[0])
+    for t, counted in zip(texts, phrases):
         codes, _ = model.codes([t])
         for k, sample in enumerate(model.tables):
             n, at = 0, 0
             while at < len(codes):
                 state, end = 0, at
-                while end < len(codes) and sample[state, codes[end]] >= 0:
-                    state, end = sample[state, codes[end]], end + 1
+                while end < len(codes) and go(sample, state, codes[end]) >= 0:
+                    state, end = go(sample, state, codes[end]), end + 1
                 n, at = n + 1, max(end, at + 1)
-            assert rate[k] == pytest.approx(n * model.bits[k] / max(1, len(codes)))
+            assert counted[k] == n
+
+
+def test_scripts_of_very_many_letters(spark):
+    rng = random.Random(16)
+    of = {"zh": [chr(c) for c in range(0x4E00, 0x4E00 + 3500)], "ko": [chr(c) for c in range(0xAC00, 0xAC00 + 3500)], "en": list("abcdefghilmnorstu")}
+    lexicon = {k: ["".join(rng.choices(v, k=rng.randint(2, 4))) for _ in range(900)] for k, v in of.items()}
+    text = lambda k: " ".join(rng.choices(lexicon[k], k=60))
+    rows = [(i, text(k), k) for i, k in enumerate(["zh", "ko", "en"] * 80)]
+    got = langid.identify(frame(spark, rows)).select("doc_id", "lang", "language.*").collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+    greek = frame(spark, [*rows, (999, "ένα μικρό σκυλί τρέχει γρήγορα στον δρόμο", None), (998, "a", "en"), (997, "12", "en")])
+    told = langid.identify(greek).where(langid.doubtful("language"))
+    assert table(told, "doc_id") == [(997,), (999,)]
 
 
 def test_language_without_labels(spark, nothing):
