@@ -2,7 +2,8 @@
 
 Every stage takes what the one before kept, as a Parquet table, and all but the last return the columns of ``documents``:
 
-1. language ID: documents without a letter, of which no language can be told, go; all others stay.
+1. language ID: documents in none of the languages that the corpus labels go: those without a letter, and those that cross-parsing
+   breaks into phrases of a letter or two in the language that suits them best. A missing ``lang`` becomes the one that was told.
 2. n-gram Jaccard join: of each class of near or exact copies the row of smallest id stays (then smallest text hash).
 3. benchmark decontamination: documents that hold a benchmark item, also with other numbers, names or units, go.
 4. PII: validated personal data becomes format-preserving pseudonyms; ``n_chars`` follows the new length.
@@ -34,7 +35,10 @@ def _keys(found: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = langid.identify(docs, result="cp_language")
-    return told.where(F.col("cp_language.lang_pred") != langid.UNKNOWN).select(docs.columns)
+    told = told.where(~langid.doubtful("cp_language"))
+    if "lang" in docs.columns:
+        told = told.withColumn("lang", F.coalesce("lang", "cp_language.lang_pred"))
+    return told.select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
