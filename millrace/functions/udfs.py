@@ -43,7 +43,9 @@ def udaf_avg(df: DataFrame, keys: list[str], value: str, name: str = "average")
         return {"sum": groups.sum(), "count": groups.count()}
 
     fields = {"sum": "sum", "count": "sum"}
-    return user_aggregate(df, keys, value, fields, accumulate, F.col("sum") / F.col("count"), name)
+    whole = df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    types = {"sum": "bigint" if whole else "double", "count": "bigint"}
+    return user_aggregate(df, keys, value, fields, accumulate, F.col("sum") / F.col("count"), name, types)
 
 
 def average(value: Column | str) -> Column:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pandas.core.groupby import SeriesGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.operators import sequence as seq
 from millrace.operators.sequence import sequence
@@ -174,25 +177,31 @@ def user_aggregate(
     accumulate: Callable[[SeriesGroupBy], dict[str, pd.Series]],
     finish: Column,
     name: str,
+    types: dict[str, str] | None = None,
 ) -> DataFrame:
     """A Python accumulator that scales: accumulate per Arrow batch, merge on the JVM.
 
     ``accumulate`` gets a batch's values grouped by key and folds each group
     into ``fields``, one pandas series per field; each field names the built-in
     aggregate that merges it (sum, min, max).  A group is never handed to
-    Python as a whole, so it may be of any size.
+    Python as a whole, so it may be of any size.  Keys and values keep their
+    types, nulls included; ``types`` gives those of the fields, double if left out.
     """
-    key_types = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
-    schema = ", ".join([*key_types, *[f"`{f}` double" for f in fields]])
+    kinds = {f: (types or {}).get(f, "double") for f in fields}
+    schema = ", ".join([*[f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys], *[f"`{f}` {t}" for f, t in kinds.items()]])
+    field_types = {f.name: to_arrow_type(f.dataType) for f in T.StructType.fromDDL(", ".join(f"`{f}` {t}" for f, t in kinds.items()))}
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                parts = accumulate(batch.groupby(keys, dropna=False, sort=False)[value])
-                folded = pd.DataFrame({f: parts[f].astype("float64") for f in fields}).reset_index()
-                yield folded[[*keys, *fields]]
-
-    merged = df.select(*keys, value).mapInPandas(partial, schema).groupBy(*keys).agg(
+                # Arrow-backed columns: an integer key with nulls stays an integer.
+                frame = batch.to_pandas(types_mapper=pd.ArrowDtype)
+                parts = accumulate(frame.groupby(keys, dropna=False, sort=False)[value])
+                folded = pd.DataFrame({f: parts[f] for f in fields}).reset_index()
+                target = {**{k: batch.schema.field(k).type for k in keys}, **field_types}
+                yield pa.RecordBatch.from_arrays([pa.Array.from_pandas(folded[c]).cast(t) for c, t in target.items()], list(target))
+
+    merged = df.select(*keys, value).mapInArrow(partial, schema).groupBy(*keys).agg(
         *[getattr(F, how)(field).alias(field) for field, how in fields.items()]
     )
     return merged.select(*keys, finish.alias(name))

@@ -18,10 +18,20 @@ def match_join(left: DataFrame, right: DataFrame, key: str, left_arrival: str, r
     ``completed_by`` tells which side came second and so completed the pair.
     """
     second = F.when(F.col(left_arrival) > F.col(right_arrival), "left").otherwise("right")
-    nth = {"_nth": seq.tally()}
-    firsts = sequence(left, [key], [left_arrival]).running(**nth).df
-    seconds = sequence(right, [key], [right_arrival]).running(**nth).df
-    return firsts.join(seconds, [key, "_nth"]).drop("_nth").withColumn("completed_by", second)
+    kind = left.schema[left_arrival].dataType
+    sides = [
+        df.where(F.col(key).isNotNull()).select(key, F.col(at).cast(kind).alias("_at"), F.lit(side).alias("_side"), F.struct(
+            *[c for c in df.columns if c != key]).alias(f"_{side}"))
+        for side, df, at in (("l", left, left_arrival), ("r", right, right_arrival))
+    ]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    # Both sides are numbered in one walk, and its partitioning serves the pairing, so the rows are shuffled once.
+    counts = {f"_n{side}": seq.tally(F.col("_side") == side) for side in "lr"}
+    rows = sequence(both, [key], ["_at", "_side"]).running(**counts).df
+    nth = F.when(F.col("_side") == "l", F.col("_nl")).otherwise(F.col("_nr")).alias("_nth")
+    pairs = rows.groupBy(key, nth).agg(*[F.first(f"_{s}", ignorenulls=True).alias(f"_{s}") for s in "lr"])
+    met = pairs.where("_l is not null and _r is not null").select(key, "_l.*", "_r.*")
+    return met.withColumn("completed_by", second)
 
 
 def _once(df: DataFrame, time: str, width: int) -> DataFrame:

@@ -93,6 +93,21 @@ def src_web_log(spark, sf_dir):
     return log.select("ip", "user", F.unix_seconds(F.col("time").cast("timestamp")).alias("seconds"), "method", "url")
 
 
+@query("src_web_log_rejects", """
+    SELECT CASE WHEN event_id % 7 = 0 THEN 'no time' ELSE 'cut off' END AS what, count(*) AS n FROM events
+    WHERE event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY 1
+    UNION ALL SELECT 'good', count(*) FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_type <> 'click'""")
+def src_web_log_rejects(spark, sf_dir):
+    # Lines whose time is no time, and lines that end early; both are kept, whatever their method.
+    whole = events(spark, sf_dir).select("event_id", F.when(F.col("event_type") == "click", "POST").otherwise("GET").alias("method"), "ts")
+    time = F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.date_format("ts", readers.WEB_LOG_TIME))
+    line = F.concat_ws(" ", F.lit("10.0.0.1"), F.lit("u"), F.lit("-"), time, F.lit("+0000"),
+                       F.when(F.col("event_id") % 11 != 0, F.concat_ws(" ", "method", F.lit("/a"))))
+    log = readers.decode_web_log(whole.select(line.alias("value")), rejects=True)
+    what = F.when(F.col(readers.CORRUPT).isNull(), "good").when(F.col(readers.CORRUPT).contains(" soon "), "no time").otherwise("cut off")
+    return log.groupBy(what.alias("what")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src_table_file", """
     SELECT 'u' || user_id AS id, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total
     FROM events WHERE event_id % 10 <> 9 GROUP BY 1""")
@@ -392,6 +407,14 @@ def fn_from_json_csv(spark, sf_dir):
     )
 
 
+@query("fn_from_json_rejects", """
+    SELECT event_id, CASE WHEN event_id % 5 > 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+           CASE WHEN event_id % 5 = 0 THEN substr(props, 1, 3) END AS _corrupt FROM events""")
+def fn_from_json_rejects(spark, sf_dir):
+    cut = F.when(F.col("event_id") % 5 == 0, F.substring("props", 1, 3)).otherwise(F.col("props")).alias("props")
+    return readers.decode_json(events(spark, sf_dir).select("event_id", cut), "k bigint", "props", rejects=True)
+
+
 @query("fn_epoch_to_ts", "SELECT event_id, date_trunc('second', ts) AS t1, date_trunc('second', ts) AS t2 FROM events")
 def fn_epoch_to_ts(spark, sf_dir):
     seconds = _seconds("ts").cast("bigint")

@@ -54,10 +54,15 @@ def decode_delimited(
     return df.select(*rest, F.from_csv(F.col(column), ddl, options).alias("_r")).select(*rest, "_r.*")
 
 
-def decode_json(df: DataFrame, schema: T.StructType | str, column: str = "value") -> DataFrame:
-    """JSON messages to typed columns.  A message that is not JSON gives nulls."""
+def decode_json(df: DataFrame, schema: T.StructType | str, column: str = "value", rejects: bool = False) -> DataFrame:
+    """JSON messages to typed columns.  A message that is not JSON gives nulls; with ``rejects`` its text is kept in ``_corrupt``."""
     rest = [c for c in df.columns if c != column]
-    return df.select(*rest, F.from_json(F.col(column), schema).alias("_r")).select(*rest, "_r.*")
+    if not rejects:
+        return df.select(*rest, F.from_json(F.col(column), schema).alias("_r")).select(*rest, "_r.*")
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    full = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return df.select(*rest, F.from_json(F.col(column), full, options).alias("_r")).select(*rest, "_r.*")
 
 
 def good_rows(df: DataFrame) -> DataFrame:
@@ -74,20 +79,27 @@ def decode_web_log(
     time_format: str = WEB_LOG_TIME,
     method: str | None = "GET",
     keep: list[str] | None = None,
+    rejects: bool = False,
 ) -> DataFrame:
     """Space-separated access-log lines to (ip, user, time, method, url), one method only.
 
-    ``keep`` names columns beside the line that stay, such as the arrival.
+    ``keep`` names columns beside the line that stay, such as the arrival. With ``rejects`` a line without a url or with a time that
+    cannot be read, of whatever method, is kept in ``_corrupt``; otherwise it has nulls or is left out.
     """
     part = {n: field(column, " ", i) for n, i in WEB_LOG_FIELDS.items()}
-    kept = df if method is None else df.where(part["method"] == method)
-    return kept.select(
+    wanted = F.lit(True) if method is None else part["method"] == method
+    corrupt = []
+    if rejects:
+        bad = part["url"].isNull() | parse_time(part["time"], time_format).isNull()
+        corrupt, wanted = [F.when(bad, F.col(column)).alias(CORRUPT)], bad | wanted
+    return df.where(wanted).select(
         *(keep or []),
         part["ip"].alias("ip"),
         part["user"].alias("user"),
         parse_time(part["time"], time_format).alias("time"),
         part["method"].alias("method"),
         part["url"].alias("url"),
+        *corrupt,
     )
 
 

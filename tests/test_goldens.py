@@ -220,3 +220,26 @@ def test_burst_edges(spark, layout):
     assert rows_of(found, "id", seconds("first_time"), seconds("last_time"), "n") == [
         ("a", 0, 2, 2), ("a", 3, 4, 2), ("b", 10, 11, 2), ("c", 1, 2, 2)
     ]
+
+
+def test_records_that_cannot_be_read_are_kept(spark):
+    lines = spark.createDataFrame([("{\"id\":\"a\",\"ts\":1,\"vc\":2}",), ("{\"id\":",), ("[]x",), (None,)], "value string")
+    got = readers.decode_json(lines, schemas.WATER_SENSOR, rejects=True)
+    assert sorted(r[0] for r in readers.corrupt_rows(got).collect()) == ["[]x", "{\"id\":"]
+    log = spark.createDataFrame([("1.1.1.1 u - 01/02/2024:10:00:00 +0000 GET /a",), ("1.1.1.1 u - tomorrow +0000 POST /a",), ("x",),
+                                 ("1.1.1.1 u - 01/02/2024:10:00:00 +0000 POST /b",)], "value string")
+    got = readers.decode_web_log(log, rejects=True)
+    assert [r["url"] for r in readers.good_rows(got).collect()] == ["/a"]
+    assert sorted(r[0] for r in readers.corrupt_rows(got).collect()) == ["1.1.1.1 u - tomorrow +0000 POST /a", "x"]
+
+
+def test_user_aggregates_keep_large_keys_and_values(spark):
+    big = 2**60 + 1
+    rows = [(big, 1), (big, None), (big + 1, big), (None, 3), (None, 4)]
+    df = spark.createDataFrame(rows, "k bigint, v bigint")
+    from millrace.functions.udfs import udaf_avg
+    from millrace.operators.aggregates import user_aggregate
+
+    got = user_aggregate(df, ["k"], "v", {"top": "max"}, lambda g: {"top": g.max()}, F.col("top"), "top", {"top": "bigint"})
+    assert {tuple(r) for r in got.collect()} == {(big, 1), (big + 1, big), (None, 4)}
+    assert {r["k"]: r["average"] for r in udaf_avg(df, ["k"], "v").collect()} == {big: 1.0, big + 1: float(big), None: 3.5}
