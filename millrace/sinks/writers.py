@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,9 +65,17 @@ class UpsertTable:
     Each write adds the batch's newest row per key in its own folder
     ``batch_id=N``, so it costs as much as the batch, not as the table, and a
     repeated batch overwrites its own folder only.  Reading resolves the
-    versions with one partial aggregate; ``compact`` does so once for good.
+    versions with one partial aggregate.
+
+    Every ``SNAPSHOT`` batches the versions so far are resolved once into a
+    snapshot beside the table, and a manifest names it when it is complete.
+    Readers take the newest snapshot that is named and the batches after it, so
+    they touch a bounded number of versions.  Nothing is deleted: a reader that
+    began earlier goes on with what it has seen.
     """
 
+    SNAPSHOT = 16
+
     def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str]):
         self.spark, self.path, self.keys, self.order = spark, path.rstrip("/"), keys, order
 
@@ -74,10 +83,38 @@ class UpsertTable:
         # Without an order a key occurs once per batch, as in an updating result.
         newest = latest_per_key(batch, self.keys, self.order) if self.order else batch
         newest.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if (batch_id + 1) % self.SNAPSHOT == 0:
+            whole = self._resolved(self._versions(upto=batch_id))
+            whole.write.mode("overwrite").parquet(f"{self.path}.snapshots/{batch_id}")
+            named = self.spark.range(1).coalesce(1).select(F.lit(batch_id).cast("long").alias("upto"))
+            named.write.mode("append").parquet(f"{self.path}.manifest")
+
+    def snapshot(self) -> int | None:
+        """The last batch that the newest complete snapshot holds."""
+        try:
+            names = self.spark.read.schema("upto long").parquet(f"{self.path}.manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return names.agg(F.max("upto")).first()[0]
+
+    def _versions(self, upto: int | None = None) -> DataFrame:
+        # Folders of batches before the snapshot are pruned by their name.
+        parts, whole = self.spark.read.parquet(self.path), self.snapshot()
+        if upto is not None and whole is not None and whole >= upto:  # the batch is repeated
+            whole = whole - self.SNAPSHOT if whole >= self.SNAPSHOT else None
+        parts = parts.where(F.col("batch_id") <= upto) if upto is not None else parts
+        if whole is None:
+            return parts
+        kept = self.spark.read.parquet(f"{self.path}.snapshots/{whole}")
+        return kept.unionByName(parts.where(F.col("batch_id") > whole))
+
+    def _resolved(self, versions: DataFrame) -> DataFrame:
+        return latest_per_key(versions, self.keys, [*self.order, "batch_id"])
 
     def read(self) -> DataFrame:
-        versions = self.spark.read.parquet(self.path)
-        return latest_per_key(versions, self.keys, [*self.order, "batch_id"]).drop("batch_id")
+        return self._resolved(self._versions()).drop("batch_id")
 
     def compact(self, path: str) -> UpsertTable:
         """The same table at a new path in one version; the old path is left as it is."""

@@ -1,6 +1,7 @@
 """Replays, end of input, and keyed state between micro-batches, against the batch forms and against one batch."""
 
 import random
+import re
 
 import pytest
 from conftest import rows_of
@@ -283,3 +284,21 @@ def test_nothing_at_all(spark):
     assert replay.last() is None
     got = carried.running(replay.stream(), KEYS, "n", "nothing", c=seq.tally()) if spark.read.parquet(replay.path).count() else None
     assert got is None
+
+
+def test_an_upsert_table_is_compacted_while_it_runs(spark, monkeypatch):
+    from millrace.sinks.writers import UpsertTable
+
+    monkeypatch.setattr(UpsertTable, "SNAPSHOT", 3)
+    rng = random.Random(4)
+    table, newest = UpsertTable(spark, scratch(spark, "upsert") + "/table", ["k"], ["n"]), {}
+    for batch_id in range(8):
+        rows = [(batch_id * 10 + i, rng.choice("abcdefgh"), i, float(i), "x") for i in range(4)]
+        newest.update({r[1]: r[0] for r in rows})
+        table.merge(make(spark, rows), batch_id)
+        if batch_id == 5:  # repeated after a failure, snapshot included
+            table.merge(make(spark, rows), batch_id)
+        assert rows_of(table.read(), "k", "n") == sorted(newest.items())
+    assert table.snapshot() == 5
+    plan = table._versions()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+ > 5\)", plan)  # older folders are not opened
