@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ SAMPLE_ROWS = 128
 SAMPLE_CHARS = 200
 MOST_CHARS = 400_000
 STRETCH = 1024
+GROUP_BYTES = 4 << 20
 UNKNOWN = "und"
 COLUMNS = 64
 
@@ -125,7 +127,7 @@ class Model:
         joined = {k: "\n".join(v)[:share] for k, v in texts.items()}
         letters = sorted({c for t in joined.values() for c in t.lower() if c.isalpha()})
         code = {c: i + 2 for i, c in enumerate(letters)}
-        self.of_char = np.zeros(0x110000, np.int32)
+        self.of_char = np.zeros(0x110000, np.uint16 if len(letters) + 2 < 1 << 16 else np.int32)
         for point in range(0x110000):
             char = chr(point)
             if char.isalpha():
@@ -144,13 +146,13 @@ class Model:
         keep = np.ones(len(raw), bool)
         keep[1:] = (raw[1:] != 0) | (raw[:-1] != 0)
         keep[ends[:-1][ends[:-1] < len(raw)]] = True
-        return raw[keep], np.concatenate([[0], np.cumsum(keep)])[ends]
+        return raw[keep], np.concatenate([[0], np.cumsum(keep, dtype=np.int32)])[ends].astype(np.int64)
 
     def parsed(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases of each text (rows) in each language, the length of the text as read, and whether it has a letter."""
         codes, ends = self.codes(texts)
         n = np.diff(ends)
-        letters = np.concatenate([[0], np.cumsum(codes > 0)])
+        letters = np.concatenate([[0], np.cumsum(codes > 0, dtype=np.int32)])
         counts = -(-n // STRETCH)
         of = np.repeat(np.arange(len(texts)), counts)
         nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -206,6 +208,16 @@ def judge(model: Model, texts: list[str]) -> tuple[np.ndarray, ...]:
             np.where(has, count, 0))
 
 
+def groups(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in slices of about ``GROUP_BYTES``, which bound the arrays of a worker."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts), np.int64))
+    at = 0
+    while at < len(texts):
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + GROUP_BYTES, side="right")))
+        yield texts.slice(at, until - at)
+        at = until
+
+
 def predicted(docs: DataFrame, model: Model, *, text: str = "text", result: str = "language") -> DataFrame:
     """All columns, and a struct of ``lang_pred``, ``score`` (lead over the second language), ``bits`` per character and ``phrases``."""
     shipped = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays, bounded by MOST_CHARS
@@ -214,7 +226,7 @@ def predicted(docs: DataFrame, model: Model, *, text: str = "text", result: str
         model = object.__new__(Model)
         vars(model).update(shipped.value)
         for batch in batches:
-            parts = [judge(model, batch.slice(at, 2000).to_pylist()) for at in range(0, len(batch), 2000)]
+            parts = [judge(model, part.to_pylist()) for part in groups(batch)]
             lang, score, bits, phrases = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else ([], [], [], [])
             yield pa.StructArray.from_arrays(
                 [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()), pa.array(phrases, pa.int64())],
