@@ -55,7 +55,25 @@ def op2(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir))
 
 
-@query("op4_rule_ledger")
+@query("op4_rule_ledger", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+    g AS (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS gram
+          FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+    r AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+          FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place
+                FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS often FROM g) WHERE often > 1) GROUP BY doc_id),
+    m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                 CAST(len(t) - len(regexp_replace(t, '[^\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(len(lines) - list_unique(lines) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                 CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(regexp_replace(t, '\P{L}+', '', 'g')) AS BIGINT) AS n_letters
+          FROM w LEFT JOIN r USING (doc_id)),
+    b AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (5 * n_symbols > 4 * n_words)::INT
+                 + 8 * (n_lines >= 4 AND 10 * n_dup_lines > 5 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+                 + 32 * (word_chars > 25 * n_words)::INT + 64 * (10 * n_letters < 4 * word_chars)::INT AS BIGINT) AS failed_bits FROM m)
+    SELECT *, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, 'v2-strict' AS policy FROM b""")
 def op4(spark, sf_dir):
     rows = quality.ledger(documents(spark, sf_dir))
     base_failed = F.col("failed_bits").bitwiseAND(F.lit(quality.mask(quality.BASE))) != 0
@@ -107,7 +125,22 @@ def op6(spark, sf_dir):
     return repeats.clean(documents(spark, sf_dir))
 
 
-@query("op5_minhash_join")
+# All pairs by their common shingles; banding finds those at 0.8 or more with a recall of 0.9995.
+@query("op5_minhash_join", r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS words FROM documents),
+    n AS (SELECT doc_id, words, array_to_string(words, ' ') AS node FROM w),
+    rep AS (SELECT node, min(doc_id) AS id, count(*) - 1 AS n_copies, any_value(words) AS words FROM n WHERE node <> '' GROUP BY node),
+    s AS (SELECT DISTINCT id, array_to_string(list_slice(words, i, i + 4), ' ') AS g
+          FROM (SELECT id, words, unnest(range(1, greatest(1, len(words) - 4) + 1)) AS i FROM rep)),
+    z AS (SELECT id, count(*) AS c FROM s GROUP BY id),
+    p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY ALL),
+    l AS (SELECT a, b FROM p JOIN z x ON x.id = a JOIN z y ON y.id = b WHERE 5 * k >= 4 * (x.c + y.c - k)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    reach AS (SELECT id, id AS root FROM rep UNION SELECT e.b, reach.root FROM reach JOIN e ON e.a = reach.id),
+    cls AS (SELECT id, min(root) AS class_id FROM reach GROUP BY id),
+    deg AS (SELECT a AS id, count(*) AS n_links FROM e GROUP BY a)
+    SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n_copies, 0) AS n_copies
+    FROM n LEFT JOIN rep USING (node) LEFT JOIN cls ON cls.id = rep.id LEFT JOIN deg ON deg.id = rep.id""")
 def op5(spark, sf_dir):
     return neardup.classes(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
 
