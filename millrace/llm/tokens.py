@@ -18,7 +18,8 @@ import pyarrow.compute as pc
 
 from millrace.llm.worker import kept
 
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
+CALL_PIECES = 8192
 BATCH_CHARS = 4 << 20
 # Characters that may follow a word. No apostrophe: it may begin a contraction.
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[\\]^_{|}~"
@@ -43,13 +44,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
-    def ids_of(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, little-endian unsigned 32-bit, from one call of the tokenizer."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        ends = np.cumsum([0, *map(len, found)])
-        data = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1])).tobytes()
-        ends = (4 * ends).tolist()
-        return [data[a:b] for a, b in zip(ends, ends[1:])]
+    def ids_of(self, pieces: list[str]) -> Iterator[bytes]:
+        """The ids of each piece, little-endian unsigned 32-bit; a call of the tokenizer per ``CALL_PIECES``, as its results are large."""
+        for at in range(0, len(pieces), CALL_PIECES):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[at : at + CALL_PIECES], add_special_tokens=False)]
+            ends = np.cumsum([0, *map(len, found)])
+            data = np.fromiter(chain.from_iterable(found), "<u4", int(ends[-1])).tobytes()
+            ends = (4 * ends).tolist()
+            yield from (data[a:b] for a, b in zip(ends, ends[1:]))
 
     def learn(self, pieces: list[str]) -> None:
         parts = [split_piece(p) for p in pieces]
