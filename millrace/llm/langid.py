@@ -232,7 +232,9 @@ def predicted(docs: DataFrame, model: Model, *, text: str = "text", result: str
                 [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()), pa.array(phrases, pa.int64())],
                 RESULT.names)
 
-    return docs.withColumn(result, F.arrow_udf(run, RESULT, F.ArrowUDFType.SCALAR_ITER)(F.coalesce(F.col(text), F.lit(""))))
+    # Told once per text: a deterministic function is evaluated anew in a filter and in each later use of its result.
+    tell = F.arrow_udf(run, RESULT, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    return docs.withColumn(result, tell(F.coalesce(F.col(text), F.lit(""))))
 
 
 def doubtful(language: str, text: str = "text") -> Column:

@@ -33,7 +33,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 RECALL = 0.9995
 HASHES_MOST = 128
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 BLOCK = 1024
 COLUMNS = 4096
 WORD = re.compile(r"\w+")
