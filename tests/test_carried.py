@@ -12,6 +12,7 @@ from millrace.operators import aggregates, alerts, joins, over, patterns, topn,
 from millrace.operators import sequence as seq
 from millrace.session import scratch
 from millrace.streaming import carried
+from millrace.streaming import replay as replay_module
 from millrace.streaming.replay import measured_delay, open_replay, write_replay
 from millrace.streaming.runtime import run_batches, run_to_files, unix_times
 
@@ -302,3 +303,31 @@ def test_an_upsert_table_is_compacted_while_it_runs(spark, monkeypatch):
     assert table.snapshot() == 5
     plan = table._versions()._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*batch_id#\d+ > 5\)", plan)  # older folders are not opened
+
+
+def test_a_micro_batch_takes_a_whole_step(spark, monkeypatch):
+    """However many files the tasks write, and also where a step has hardly any rows."""
+    monkeypatch.setattr(replay_module, "_tasks", lambda spark, steps: 3)
+    with_splits = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "1m"}
+    rows = make(spark, [(i, f"k{i % 7}", i * 3 % 400, 0.0, "x") for i in range(400)])
+    old = {name: spark.conf.get(name) for name in with_splits}
+    try:
+        for name, value in with_splits.items():
+            spark.conf.set(name, value)
+        by_time = write_replay(rows, "t")
+        arrivals = write_replay(rows, "t", step=F.expr("case when n < 2 then 0 when n < 100 then 2 else 3 end"))
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+    def seen(replay):
+        found = []
+        run_batches(replay.stream(), lambda b, n: found.append(sorted(r["n"] for r in b.select("n").collect())), scratch(spark, "steps"))
+        return found
+
+    assert by_time.files_per_step > 1 and by_time.delay == "0 milliseconds"
+    assert [len(b) for b in seen(by_time)] == [100, 100, 100, 100]
+    assert seen(arrivals) == [[0, 1], [], list(range(2, 100)), list(range(100, 400))]
+    assert seen(arrivals.flush("1 minute"))[:4] == seen(arrivals)[:4] and len(seen(arrivals)) == 5
+    counts = arrivals.timed().groupBy(F.window("t", "30 seconds")).agg(F.count("*").alias("c"))
+    assert run_to_files(counts, "late").agg(F.sum("c")).first()[0] == 400
