@@ -55,7 +55,7 @@ def _within(df: DataFrame, left_time: str, right_time: str, lower: int, upper: i
     )
 
 
-def _signed(duration: str) -> int:
+def signed(duration: str) -> int:
     return -micros(duration[1:]) if duration.startswith("-") else micros(duration)
 
 
@@ -75,7 +75,7 @@ def interval_join(
     one key spread over many tasks.  Streams (with a watermark on both sides)
     take ``bucketed=False``.
     """
-    low, high = _signed(lower), _signed(upper)
+    low, high = signed(lower), signed(upper)
     on = [key]
     if bucketed:
         width = max(high - low, 1)
@@ -85,6 +85,22 @@ def interval_join(
     return paired.drop("_bucket")
 
 
+def negated(duration: str) -> str:
+    return duration[1:] if duration.startswith("-") else f"-{duration}"
+
+
+def in_reach(
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, lower: str, upper: str, how: str = "left_semi"
+) -> DataFrame:
+    """The left rows with a right row in the interval of ``interval_join`` (``left_semi``), or without one (``left_anti``)."""
+    low, high = signed(lower), signed(upper)
+    width = max(high - low, 1)
+    other = right.select(F.col(key).alias("_rk"), F.col(right_time).alias("_rt"))
+    other = _copied(other, "_rt", -high, -low, width).withColumnRenamed("_bucket", "_other")
+    same = (F.col(key) == F.col("_rk")) & (F.col("_bucket") == F.col("_other")) & _within(left, left_time, "_rt", low, high)
+    return _once(left, left_time, width).join(other, same, how).drop("_bucket")
+
+
 def reconcile_outer(
     left: DataFrame,
     right: DataFrame,
@@ -100,7 +116,7 @@ def reconcile_outer(
 
     Rows with a null key or time, and rows that occur several times, are kept one by one.
     """
-    low, high = _signed(lower), _signed(upper)
+    low, high = signed(lower), signed(upper)
     inside = _within(left, left_time, right_time, low, high)
     out_columns = [key, *[c for c in (*left.columns, *right.columns) if c != key]]
     right_key = right.withColumnRenamed(key, "_rk")

@@ -460,15 +460,15 @@ def stream_over_unbounded_et(spark, sf_dir):
 
 
 @query("stream_pattern_consecutive", CONSECUTIVE_SQL)
-def stream_pattern_consecutive(spark, sf_dir):
-    replay = replayed(spark, sf_dir, "event_type")
+def stream_pattern_consecutive(spark, sf_dir, replay=None):
+    replay = replay or replayed(spark, sf_dir, "event_type")
     found = carried.consecutive(replay.stream(), USER, "ts", "event_id", replay.delay, F.col("event_type") == "error", 2, "12 hours")
     return found.select("event_id", "user_id", "ts", "first_time", "first_event_id")
 
 
 @query("stream_pattern_followed_by", FOLLOWED_SQL)
-def stream_pattern_followed_by(spark, sf_dir):
-    replay = replayed(spark, sf_dir, "event_type", beyond="2 days")
+def stream_pattern_followed_by(spark, sf_dir, replay=None):
+    replay = replay or replayed(spark, sf_dir, "event_type", beyond="2 days")
     found = carried.followed_by(
         replay.stream(), USER, "ts", "event_id", replay.delay,
         F.col("event_type") == "signup", F.col("event_type") == "purchase", "2 days",
@@ -490,14 +490,14 @@ def stream_no_drop_alert(spark, sf_dir):
 
 
 @query("stream_login_fail_burst", burst_sql(6))
-def stream_login_fail_burst(spark, sf_dir):
-    replay = replayed(spark, sf_dir, "event_type", beyond="6 hours")
+def stream_login_fail_burst(spark, sf_dir, replay=None):
+    replay = replay or replayed(spark, sf_dir, "event_type", beyond="6 hours")
     return carried.bursts(replay.stream(), USER, "ts", "event_id", replay.delay, F.col("event_type") == "error", "6 hours")
 
 
 @query("stream_order_pay_monitor", ORACLES["order_pay_monitor"])
-def stream_order_pay_monitor(spark, sf_dir):
-    replay = replayed(spark, sf_dir, "event_type", beyond="2 days")
+def stream_order_pay_monitor(spark, sf_dir, replay=None):
+    replay = replay or replayed(spark, sf_dir, "event_type", beyond="2 days")
     return carried.order_pay(
         replay.stream(), "user_id", "ts", "event_id", replay.delay,
         F.col("event_type") == "signup", F.col("event_type") == "purchase", "2 days",
@@ -583,23 +583,30 @@ def sides(spark, sf_dir, beyond):
     return tuple(r.flush(beyond, last=last, order_key=-1 - i) for i, r in enumerate(both))
 
 
+def met(both, bounds, join, label, **how):
+    """Orders and lines as streams, joined in each micro-batch."""
+    orders, lines = both
+    return carried.joined(
+        orders.stream(), lines.stream(), "order_key", (orders.time, lines.time), (orders.delay, lines.delay), bounds, join, label, **how)
+
+
 @query("stream_interval_join", f"SELECT o_orderkey AS order_key, o_orderdate, l_linenumber, l_shipdate FROM {PAYS}")
-def stream_interval_join(spark, sf_dir):
-    orders, lines = (r.timed() for r in sides(spark, sf_dir, "15 days"))
-    paired = joins.interval_join(
-        orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days", bucketed=False
-    )
-    return times(run_to_files(paired, "interval"), "o_orderdate", "l_shipdate")
+def stream_interval_join(spark, sf_dir, both=None):
+    def join(orders, lines):
+        return joins.interval_join(orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days")
+
+    return met(both or sides(spark, sf_dir, "15 days"), ("-5 days", "10 days"), join, "interval")
 
 
 @query("stream_reconcile_outer", ORACLES["reconcile_outer"])
-def stream_reconcile_outer(spark, sf_dir):
-    orders, lines = (r.timed() for r in sides(spark, sf_dir, "15 days"))
-    both = joins.reconcile_outer(
-        orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days",
-        kinds=("matched", "pay_no_receipt", "receipt_no_pay"), bucketed=False,
-    )
-    kept = times(run_to_files(both, "reconcile"), "o_orderdate", "l_shipdate")
+def stream_reconcile_outer(spark, sf_dir, both=None):
+    def join(orders, lines):
+        return joins.reconcile_outer(
+            orders, lines, "order_key", "o_orderdate", "l_shipdate", "-5 days", "10 days",
+            kinds=("matched", "pay_no_receipt", "receipt_no_pay"),
+        )
+
+    kept = met(both or sides(spark, sf_dir, "15 days"), ("-5 days", "10 days"), join, "reconcile", outer="lr")
     return kept.withColumn("l_linenumber", F.coalesce("l_linenumber", F.lit(-1)))
 
 
@@ -608,23 +615,24 @@ def stream_reconcile_outer(spark, sf_dir):
     LEFT JOIN lineitem ON o_orderkey = l_orderkey
       AND l_shipdate BETWEEN o_orderdate - INTERVAL 10 DAY AND o_orderdate + INTERVAL 10 DAY""")
 def stream_left_join_streams(spark, sf_dir):
-    orders, lines = (r.timed() for r in sides(spark, sf_dir, "11 days"))
-    kept = joins.left_join_streams(orders, lines, "order_key", "o_orderdate", "l_shipdate", "10 days")
-    kept = times(run_to_files(kept, "left"), "o_orderdate", "r_l_shipdate")
+    def join(orders, lines):
+        return joins.left_join_streams(orders, lines, "order_key", "o_orderdate", "l_shipdate", "10 days")
+
+    kept = met(sides(spark, sf_dir, "11 days"), ("-10 days", "10 days"), join, "left", outer="l", prefix="r_")
     return kept.select("order_key", "o_orderdate", "r_l_shipdate")
 
 
 @query("stream_app_reconcile", ORACLES["app_reconcile"])
 def stream_app_reconcile(spark, sf_dir):
     n = F.count(F.lit(1)).alias("n")
-    orders, lines = sides(spark, sf_dir, "15 days")
+    orders, lines = both = sides(spark, sf_dir, "15 days")
     paid = orders.stream().select("order_key", F.col("o_orderdate").alias("at"), F.lit("l").alias("side"))
     came = lines.stream().select("order_key", F.col("l_shipdate").alias("at"), F.lit("r").alias("side"))
     # An order occurs once, so first come, first served pairs it with its first line.
     by_key = carried.match_pairs(paid.unionByName(came), "order_key", "at", label="reconcile-keys")
     return union_all(
-        stream_interval_join(spark, sf_dir).agg(n).select(F.lit("interval").alias("method"), F.lit("matched").alias("kind"), "n"),
-        stream_reconcile_outer(spark, sf_dir).groupBy("kind").agg(n).select(F.lit("outer").alias("method"), "kind", "n"),
+        stream_interval_join(spark, sf_dir, both).agg(n).select(F.lit("interval").alias("method"), F.lit("matched").alias("kind"), "n"),
+        stream_reconcile_outer(spark, sf_dir, both).groupBy("kind").agg(n).select(F.lit("outer").alias("method"), "kind", "n"),
         by_key.agg(n).select(F.lit("key").alias("method"), F.lit("matched").alias("kind"), "n"),
     )
 
@@ -703,10 +711,11 @@ def stream_app_login_risk(spark, sf_dir):
     def shown(rows, detector, since, until):
         return rows.select("user_id", F.lit(detector).alias("detector"), F.col(since).alias("since"), F.col(until).alias("until"))
 
+    replay = replayed(spark, sf_dir, "event_type", beyond="6 hours")  # as far as the bursts need; the pattern waits for nothing
     return union_all(
         shown(stream_login_fail_pairs(spark, sf_dir), "pair", "previous_time", "ts"),
-        shown(stream_pattern_consecutive(spark, sf_dir), "pattern", "first_time", "ts"),
-        shown(stream_login_fail_burst(spark, sf_dir), "burst", "first_time", "last_time"),
+        shown(stream_pattern_consecutive(spark, sf_dir, replay), "pattern", "first_time", "ts"),
+        shown(stream_login_fail_burst(spark, sf_dir, replay), "burst", "first_time", "last_time"),
     )
 
 
@@ -714,11 +723,12 @@ def stream_app_login_risk(spark, sf_dir):
     SELECT user_id, kind, create_time, pay_time FROM ({ORACLES['stream_order_pay_monitor']})
     UNION ALL SELECT user_id, 'pattern_' || kind, begin_time, then_time FROM ({ORACLES['stream_pattern_followed_by']})""")
 def stream_app_order_timeout(spark, sf_dir):
-    found = stream_pattern_followed_by(spark, sf_dir).select(
+    replay = replayed(spark, sf_dir, "event_type", beyond="2 days")
+    found = stream_pattern_followed_by(spark, sf_dir, replay).select(
         "user_id", F.concat(F.lit("pattern_"), "kind").alias("kind"),
         F.col("begin_time").alias("create_time"), F.col("then_time").alias("pay_time"),
     )
-    return stream_order_pay_monitor(spark, sf_dir).unionByName(found)
+    return stream_order_pay_monitor(spark, sf_dir, replay).unionByName(found)
 
 
 # -------------------------------------------------------------------------------- timers

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.durations import micros
-from millrace.operators import alerts, patterns, topn
+from millrace.operators import alerts, joins, patterns, topn
 from millrace.operators import sequence as seq
+from millrace.operators.project import tagged_union
 from millrace.operators.sequence import Running, sequence, ticks
 from millrace.operators.watermark import span
 from millrace.session import scratch
@@ -311,6 +312,57 @@ def label_by_control(both: DataFrame, arrival: str, control: Column, value: Colu
     return by_batches(both, label, make)
 
 
+# ------------------------------------------------------------------ joins by key and time
+
+def joined(left: DataFrame, right: DataFrame, key: str, times: tuple[str, str], delays: tuple[str, str], bounds: tuple[str, str],
+           join: Callable[[DataFrame, DataFrame], DataFrame], label: str, outer: str = "", prefix: str = "") -> DataFrame:
+    """A join of two streams by key and time; ``join`` is a batch operator of ``operators.joins``, called on the rows of each micro-batch.
+
+    The right time lies within ``bounds`` of the left one. ``outer`` names the sides (``l``, ``r``) whose unmatched rows are told;
+    ``prefix`` is what the operator puts before the names of right columns. Carried: the rows that rows still to come may meet, by the
+    smaller watermark of the two inputs, and whether they met one. A pair is told in the batch of its later row, an unmatched row when
+    nothing can meet it any more, or at once if it has no key or time. Late rows meet what is still carried.
+    """
+    columns, reach = {"l": left.columns, "r": right.columns}, {"l": joins.signed(bounds[1]), "r": -joins.signed(bounds[0])}
+    sides = {"l": ("r", *times, *bounds), "r": ("l", *reversed(times), joins.negated(bounds[1]), joins.negated(bounds[0]))}
+
+    def make(spark, base, hold):
+        state = WholeRows(spark, f"{base}/state")
+        marks = {s: EventOrder(spark, f"{base}/{s}", time, delay) for s, time, delay in zip("lr", times, delays, strict=True)}
+
+        def step(batch, batch_id):
+            passed = [m.advance(batch.where(F.col("side") == s), batch_id) for s, m in marks.items()]
+            mark = F.lit(-(2**62) if None in passed else min(passed))
+            rows = _in_front(batch.withColumn("_hit", F.lit(False)), state.before(batch_id))
+
+            def of(side):
+                at = ticks(rows, sides[side][1])
+                gone = F.col(key).isNull() | at.isNull() | (at + F.lit(reach[side]) <= mark)
+                return rows.where(F.col("side") == side).select(
+                    *columns[side], (F.col(ROW) == 1).alias(f"_{side}_new"), F.col("_hit").alias(f"_{side}_hit"), gone.alias(f"_{side}_gone"))
+
+            mine = {side: of(side) for side in "lr"}
+            kept = []
+            for side, (other, time, other_time, lower, upper) in sides.items():
+                stay = mine[side].where(~F.col(f"_{side}_gone"))
+                if side in outer:
+                    meet = lambda how: joins.in_reach(stay, mine[other], key, time, other_time, lower, upper, how)  # noqa: B023, E731
+                    stay = meet("left_semi").withColumn(f"_{side}_hit", F.lit(True)).unionByName(meet("left_anti"))
+                kept.append(stay.select(*columns[side], F.col(f"_{side}_hit").alias("_hit"), F.lit(side).alias("side")))
+            state.leave(kept[0].unionByName(kept[1], allowMissingColumns=True), batch_id)
+
+            found = join(mine["l"], mine["r"])
+            names = {s: [f"{prefix if s == 'r' else ''}_{s}_{n}" for n in ("new", "hit", "gone")] for s in "lr"}
+            (l_new, l_hit, l_gone), (r_new, r_hit, r_gone) = ([F.col(n) for n in names[s]] for s in "lr")
+            told = F.when(l_new.isNotNull() & r_new.isNotNull(), l_new | r_new).when(l_new.isNotNull(), ~l_hit & l_gone).otherwise(
+                ~r_hit & r_gone)
+            return found.where(told).drop(*names["l"], *names["r"])
+
+        return step
+
+    return by_batches(tagged_union(left, right), label, make)
+
+
 # ------------------------------------------------------------------------ event-time order
 
 class EventOrder:

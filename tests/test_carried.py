@@ -331,3 +331,38 @@ def test_a_micro_batch_takes_a_whole_step(spark, monkeypatch):
     assert seen(arrivals.flush("1 minute"))[:4] == seen(arrivals)[:4] and len(seen(arrivals)) == 5
     counts = arrivals.timed().groupBy(F.window("t", "30 seconds")).agg(F.count("*").alias("c"))
     assert run_to_files(counts, "late").agg(F.sum("c")).first()[0] == 400
+
+
+@pytest.mark.parametrize("files", ["ordered", "mixed"])
+def test_joins_over_carried_rows(spark, files):
+    """Equal rows, rows without key or time, and matches over several batches; only rows that may still meet are carried."""
+    rng = random.Random(9)
+    pays = [(i, rng.choice([None, "a", *"bcdefghij"]), rng.randint(0, 300), None, "p") for i in range(60)]
+    receipts = [(i, rng.choice([None, "a", *"bcdefghij"]), rng.randint(0, 320), None, "r") for i in range(70)]
+    pays, receipts = pays + pays[:5], receipts + receipts[:5]
+    left, right = (
+        make(spark, rows).select(F.col("k").alias("tx"), "n", F.when(F.col("n") != 3, F.col("t")).alias(time)).withColumnRenamed("n", f"n_{time}")
+        for rows, time in ((pays, "pt"), (receipts, "rt")))
+
+    def source(df, time):
+        if files == "ordered":
+            return write_replay(df, time, steps=4)
+        path = scratch(spark, "mixed")
+        for part in range(4):
+            df.where(F.pmod(F.xxhash64(f"n_{time}"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(path)
+        return open_replay(spark, path, time, df.schema)
+
+    both = source(left, "pt"), source(right, "rt")
+    last = max(r.last() for r in both)
+    l, r = (x.flush("1 minute", last=last, tx=f"end{i}") for i, x in enumerate(both))
+    on = ("tx", "pt", "rt", "-5 seconds", "10 seconds")
+    for label, join, how in (
+        ("inner", lambda a, b: joins.interval_join(a, b, *on), {}),
+        ("outer", lambda a, b: joins.reconcile_outer(a, b, *on), {"outer": "lr"}),
+    ):
+        got = carried.joined(l.stream(), r.stream(), "tx", ("pt", "rt"), (l.delay, r.delay), on[3:], join, label, **how)
+        names = [c for c in join(left, right).columns if c != "tx"]
+        assert rows_of(got, "tx", *names) == rows_of(join(left, right), "tx", *names)
+    join = lambda a, b: joins.left_join_streams(a, b, "tx", "pt", "rt", "10 seconds")
+    got = carried.joined(l.stream(), r.stream(), "tx", ("pt", "rt"), (l.delay, r.delay), ("-10 seconds", "10 seconds"), join, "left", "l", "r_")
+    assert rows_of(got, *got.columns) == rows_of(join(left, right), *got.columns)
