@@ -105,6 +105,44 @@ def test_tokens_of_odd_texts():
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_encoded_together():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from millrace.llm.tokens import Encoder
+
+    plain, mine, given = Tokenizer.from_file(word_tokenizer()), Encoder(word_tokenizer()), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    mine.tokenizer = Counted()
+    rng = random.Random(5)
+    texts = [words(rng, 1000, letters) for letters in ("abcdefgh", "stuvwxéßñ", "ΑΒΓΣας", "日本語")]
+    texts += [texts[0].title().replace(" ", ", "), texts[1].replace(" ", "!\n")]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in mine.encode_all(pa.array(texts))]
+    assert got == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(given) < 50
+    distinct = {s.lower() if s.isascii() else s for text in texts for w in text.split() for s in [w.strip(",!")]}
+    assert set(mine.known) == distinct | {"", ",", "!"}
+
+
+def test_words_that_the_tokenizer_breaks():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from millrace.llm.tokens import Encoder
+
+    plain, mine = Tokenizer.from_file(word_tokenizer()), Encoder(word_tokenizer())
+    # A letter composed of a letter and a mark, one that is lowered to both, marks, spaces that are no blanks.
+    texts = ["ab \ufb2aab cd", "İstanbul ab, É\u0331 H\u0331, h\u0331!", "a\u2003b c\xa0d, \u2003", "ab, ab! <ab> ab<|endoftext|>, É, É!", "", None]
+    for each in (texts, texts[1:]):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in mine.encode_all(pa.array(["x", *(t or "" for t in each)]).slice(1))]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in each]
+
+
 # ------------------------------------------------------------------ licences
 
 def test_license_places(spark):
