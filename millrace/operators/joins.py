@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.durations import micros
@@ -92,13 +92,21 @@ def negated(duration: str) -> str:
 def in_reach(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, lower: str, upper: str, how: str = "left_semi"
 ) -> DataFrame:
-    """The left rows with a right row in the interval of ``interval_join`` (``left_semi``), or without one (``left_anti``)."""
+    """The left rows with a right row in the interval of ``interval_join`` (``left_semi``), or without one (``left_anti``); ``both``
+    gives all of them and tells which in ``_met``.
+
+    One walk per key and bucket and one shuffle of both sides: a left row at the end of its interval sees the newest right time up to there.
+    """
     low, high = signed(lower), signed(upper)
     width = max(high - low, 1)
-    other = right.select(F.col(key).alias("_rk"), F.col(right_time).alias("_rt"))
-    other = _copied(other, "_rt", -high, -low, width).withColumnRenamed("_bucket", "_other")
-    same = (F.col(key) == F.col("_rk")) & (F.col("_bucket") == F.col("_other")) & _within(left, left_time, "_rt", low, high)
-    return _once(left, left_time, width).join(other, same, how).drop("_bucket")
+    mine = _once(left, left_time, width).withColumns({"_at": ticks(left, left_time) + F.lit(high), "_rt": F.lit(None).cast("long")})
+    other = right.where(F.col(key).isNotNull()).select(key, right_time)
+    other = _copied(other, right_time, -high, -low, width).select(key, "_bucket", *[ticks(other, right_time).alias(c) for c in ("_at", "_rt")])
+    both = mine.withColumn("_mine", F.lit(True)).unionByName(other.withColumn("_mine", F.lit(False)), allowMissingColumns=True)
+    newest = F.max("_rt").over(Window.partitionBy(key, "_bucket").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))
+    seen = both.withColumn("_met", F.coalesce(newest >= F.col("_at") - F.lit(high - low), F.lit(False))).where("_mine")
+    seen = seen.withColumn(key, F.col(key).cast(left.schema[key].dataType)).drop("_bucket", "_at", "_rt", "_mine")
+    return seen if how == "both" else seen.where(F.col("_met") if how == "left_semi" else ~F.col("_met")).drop("_met")
 
 
 def reconcile_outer(

@@ -579,7 +579,7 @@ def sides(spark, sf_dir, beyond):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_key"), "l_linenumber", "l_shipdate")
     both = write_replay(orders, "o_orderdate"), write_replay(lines, "l_shipdate")
-    last = max((r.last() for r in both if r.last() is not None), default=None)
+    last = max((at for at in [r.last() for r in both] if at is not None), default=None)
     return tuple(r.flush(beyond, last=last, order_key=-1 - i) for i, r in enumerate(both))
 
 

@@ -321,19 +321,22 @@ def joined(left: DataFrame, right: DataFrame, key: str, times: tuple[str, str],
     The right time lies within ``bounds`` of the left one. ``outer`` names the sides (``l``, ``r``) whose unmatched rows are told;
     ``prefix`` is what the operator puts before the names of right columns. Carried: the rows that rows still to come may meet, by the
     smaller watermark of the two inputs, and whether they met one. A pair is told in the batch of its later row, an unmatched row when
-    nothing can meet it any more, or at once if it has no key or time. Late rows meet what is still carried.
+    nothing can meet it any more, or at once if it has no key or time. Late rows meet what is still carried. What is carried is looked
+    for among the rows in its reach only, so a micro-batch shuffles its rows once, for the join.
     """
     columns, reach = {"l": left.columns, "r": right.columns}, {"l": joins.signed(bounds[1]), "r": -joins.signed(bounds[0])}
     sides = {"l": ("r", *times, *bounds), "r": ("l", *reversed(times), joins.negated(bounds[1]), joins.negated(bounds[0]))}
 
     def make(spark, base, hold):
         state = WholeRows(spark, f"{base}/state")
-        marks = {s: EventOrder(spark, f"{base}/{s}", time, delay) for s, time, delay in zip("lr", times, delays, strict=True)}
+        marks = Marks(spark, f"{base}/marks", [micros(d) for d in delays])
 
         def step(batch, batch_id):
-            passed = [m.advance(batch.where(F.col("side") == s), batch_id) for s, m in marks.items()]
+            newest = [F.max(F.when(F.col("side") == s, ticks(batch, time))) for s, time in zip("lr", times, strict=True)]
+            passed = marks.advance(list(batch.agg(*newest).first()), batch_id)
             mark = F.lit(-(2**62) if None in passed else min(passed))
-            rows = _in_front(batch.withColumn("_hit", F.lit(False)), state.before(batch_id))
+            carried = state.before(batch_id)
+            rows = _in_front(batch.withColumn("_hit", F.lit(False)), carried and hold(carried))
 
             def of(side):
                 at = ticks(rows, sides[side][1])
@@ -346,8 +349,10 @@ def joined(left: DataFrame, right: DataFrame, key: str, times: tuple[str, str],
             for side, (other, time, other_time, lower, upper) in sides.items():
                 stay = mine[side].where(~F.col(f"_{side}_gone"))
                 if side in outer:
-                    meet = lambda how: joins.in_reach(stay, mine[other], key, time, other_time, lower, upper, how)  # noqa: B023, E731
-                    stay = meet("left_semi").withColumn(f"_{side}_hit", F.lit(True)).unionByName(meet("left_anti"))
+                    # Rows that stay lie above the mark less their reach, and what meets them no further below that than the lower bound.
+                    near = mine[other].where(ticks(mine[other], other_time) > mark - F.lit(reach[side]) + F.lit(joins.signed(lower)))
+                    stay = joins.in_reach(stay, near, key, time, other_time, lower, upper, "both")
+                    stay = stay.withColumn(f"_{side}_hit", F.col(f"_{side}_hit") | F.col("_met"))
                 kept.append(stay.select(*columns[side], F.col(f"_{side}_hit").alias("_hit"), F.lit(side).alias("side")))
             state.leave(kept[0].unionByName(kept[1], allowMissingColumns=True), batch_id)
 
@@ -365,6 +370,30 @@ def joined(left: DataFrame, right: DataFrame, key: str, times: tuple[str, str],
 
 # ------------------------------------------------------------------------ event-time order
 
+class Marks:
+    """Watermarks of one or more inputs: the largest time seen less the delay of the input, in microseconds; a row for each batch."""
+
+    def __init__(self, spark: SparkSession, path: str, delays: list[int]):
+        self.spark, self.path, self.delays = spark, path, delays
+        self.known: dict[int, list[int | None]] = {-1: [None] * len(delays)}
+
+    def after(self, batch_id: int) -> list[int | None]:
+        """The watermarks after a batch; none before the first time of an input."""
+        if batch_id not in self.known:  # after a restart
+            columns = ", ".join(f"m{i} long" for i in range(len(self.delays)))
+            self.known[batch_id] = list(self.spark.read.schema(columns).parquet(f"{self.path}/{batch_id}").first())
+        return self.known[batch_id]
+
+    def advance(self, newest: list[int | None], batch_id: int) -> list[int | None]:
+        """The watermarks after a batch with these largest times."""
+        seen = [None if at is None else at - delay for at, delay in zip(newest, self.delays, strict=True)]
+        new = [max((m for m in pair if m is not None), default=None) for pair in zip(self.after(batch_id - 1), seen, strict=True)]
+        self.known = {batch_id - 1: self.after(batch_id - 1), batch_id: new}
+        row = self.spark.range(1).coalesce(1).select(*[F.lit(m).cast("long").alias(f"m{i}") for i, m in enumerate(new)])
+        row.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
+        return new
+
+
 class EventOrder:
     """Releases rows in event-time order: a row waits until the watermark of its own stream has passed it.
 
@@ -373,21 +402,15 @@ class EventOrder:
     """
 
     def __init__(self, spark: SparkSession, base: str, time: str, delay: str):
-        self.spark, self.base, self.time, self.delay = spark, base, time, micros(delay)
-        self.marks: dict[int, int | None] = {-1: None}
+        self.spark, self.base, self.time = spark, base, time
+        self.marks = Marks(spark, f"{base}/marks", [micros(delay)])
 
     def mark(self, batch_id: int) -> int | None:
         """The watermark after a batch in microseconds; none before the first time."""
-        if batch_id not in self.marks:  # after a restart
-            self.marks[batch_id] = self.spark.read.schema("mark long").parquet(f"{self.base}/marks/{batch_id}").first()[0]
-        return self.marks[batch_id]
+        return self.marks.after(batch_id)[0]
 
     def advance(self, batch: DataFrame, batch_id: int) -> int | None:
-        old, newest = self.mark(batch_id - 1), batch.agg(F.max(ticks(batch, self.time))).first()[0]
-        self.marks[batch_id] = new = max((m for m in (old, None if newest is None else newest - self.delay) if m is not None), default=None)
-        row = self.spark.range(1).coalesce(1).select(F.lit(new).cast("long").alias("mark"))
-        row.write.mode("overwrite").parquet(f"{self.base}/marks/{batch_id}")
-        return new
+        return self.marks.advance([batch.agg(F.max(ticks(batch, self.time))).first()[0]], batch_id)[0]
 
     def release(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, int | None]:
         """The rows that may be worked on now, and the watermark."""

@@ -366,3 +366,16 @@ def test_joins_over_carried_rows(spark, files):
     join = lambda a, b: joins.left_join_streams(a, b, "tx", "pt", "rt", "10 seconds")
     got = carried.joined(l.stream(), r.stream(), "tx", ("pt", "rt"), (l.delay, r.delay), ("-10 seconds", "10 seconds"), join, "left", "l", "r_")
     assert rows_of(got, *got.columns) == rows_of(join(left, right), *got.columns)
+
+
+def test_carried_rows_look_at_rows_in_their_reach_only(spark, monkeypatch):
+    """What is carried is looked for among the rows in its reach only."""
+    seen, reach = [], joins.in_reach
+    monkeypatch.setattr(carried.joins, "in_reach", lambda *args: seen.append(args[1].count()) or reach(*args))
+    pays, receipts = (make(spark, [(i, f"t{i % 50}", i, None, "p") for i in range(400)]).select(
+        F.col("k").alias("tx"), F.col("t").alias(time)) for time in ("pt", "rt"))
+    l, r = (write_replay(df, time) for df, time in ((pays, "pt"), (receipts, "rt")))
+    join = lambda a, b: joins.left_join_streams(a, b, "tx", "pt", "rt", "10 seconds")
+    args = ("tx", ("pt", "rt"), (l.delay, r.delay), ("-10 seconds", "10 seconds"), join, "near")
+    carried.joined(l.stream(), r.stream(), *args, "l", "r_")
+    assert len(seen) == 4 and max(seen) <= 40

@@ -1,5 +1,7 @@
 """Joins and sessions on repeated rows, null keys and null times: every layout gives the same rows."""
 
+import random
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -28,6 +30,26 @@ def test_reconciling_keeps_every_row(spark):
     assert [r[2] for r in bucketed].count("right_only") == 3
 
 
+def test_reach_is_told_in_one_shuffle(spark):
+    args = (*sides(spark), "k", "lt", "rt", "-5 seconds", "10 seconds")
+    told = joins.in_reach(*args, "both")
+    assert rows_of(told, "l", "k", "_met") == [(1, "a", True), (1, "a", True), (2, "a", False), (3, None, False), (4, "a", False), (5, "b", False)]
+    assert rows_of(joins.in_reach(*args), "l") == [(1,), (1,)]
+    assert rows_of(joins.in_reach(*args, "left_anti"), "l") == [(2,), (3,), (4,), (5,)]
+    assert told._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_reach_against_all_pairs(spark):
+    rng = random.Random(4)
+    time = F.timestamp_seconds("s").cast("timestamp_ntz")
+    left, right = ([(i, rng.choice(["a", "a", "b", None]), rng.choice([None, *range(120)])) for i in range(80)] for _ in "lr")
+    frames = (spark.createDataFrame(rows, f"{n} long, k string, s long").select(n, "k", time.alias(f"{n}t"))
+              for n, rows in (("l", left), ("r", right)))
+    got = joins.in_reach(*frames, "k", "lt", "rt", "-3 seconds", "1 second", "both")
+    want = [(i, any(k is not None and k == o and None not in (s, t) and -3 <= t - s <= 1 for _, o, t in right)) for i, k, s in left]
+    assert rows_of(got, "l", "_met") == want
+
+
 def test_interval_joins_carry_the_bucket_and_run_no_job(spark):
     left, right = sides(spark)
     tracker = spark.sparkContext.statusTracker()
