@@ -63,19 +63,18 @@ class KeyedRows:
         reader = self.spark.read
         return (reader.schema(self.schema) if self.schema else reader).parquet(*paths)
 
-    def _newest(self, versions: DataFrame) -> DataFrame:
-        last, same = _others(versions.groupBy(*self.keys).agg(F.max(VERSION).alias("_last")), self.keys)
+    def _newest(self, versions: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+        last = versions.groupBy(*self.keys).agg(F.max(VERSION).alias("_last"))
+        if touched is not None:  # told from keys alone, so that the rows themselves are joined once
+            last = last.join(*_others(touched, self.keys), "left_semi")
+        last, same = _others(last, self.keys)
         newest = versions.join(last, same & (F.col(VERSION) == F.col("_last"))).where("_carries")
         return newest.select(*[c for c in versions.columns if c not in ("_carries", VERSION)])
 
     def before(self, batch_id: int, touched: DataFrame | None = None) -> DataFrame | None:
         """Rows carried into a batch, of the touched keys or of all; none at the start."""
         versions = self._versions(batch_id)
-        if versions is None:
-            return None
-        if touched is not None:
-            versions = versions.join(*_others(touched, self.keys), "left_semi")
-        return self._newest(versions)
+        return None if versions is None else self._newest(versions, touched)
 
     def leave(self, rows: DataFrame, touched: DataFrame, batch_id: int) -> None:
         """``rows`` replace whatever the ``touched`` keys carried."""
@@ -269,13 +268,20 @@ def match_pairs(both: DataFrame, key: str, arrival: str, side: str = "side", lab
         state = KeyedRows(spark, f"{base}/state", [key])
 
         def step(batch, batch_id):
-            touched = batch.select(key).distinct()
-            rows = _in_front(batch.withColumn("_came", F.lit(batch_id)), state.before(batch_id, touched)).drop(ROW)
-            numbered = sequence(rows, [key, side], ["_came", arrival]).running(_nth=seq.tally()).df
+            # Rows without a key pair with nothing and are not carried.
+            keyed = batch.where(F.col(key).isNotNull())
+            touched = keyed.select(key).distinct()
+            carried = state.before(batch_id, touched)
+            # Cached, as the keys are counted before they are walked.
+            rows = _in_front(keyed.withColumn("_came", F.lit(batch_id)), carried and hold(carried)).drop(ROW)
+            # Both sides are numbered in one walk, and its partitioning serves the pairing.
+            counts = {f"_n{s}": seq.tally(F.col(side) == s) for s in "lr"}
+            numbered = sequence(rows, [key], ["_came", arrival, side]).running(**counts).df
             place = F.struct("_came", arrival, side)
+            nth = F.when(F.col(side) == "l", F.col("_nl")).otherwise(F.col("_nr")).alias("_nth")
             # Keys and numbers meet in one group-by of at most two rows.
             pair = lambda s: F.max(F.when(F.col(side) == s, place))
-            met = numbered.where(F.col(key).isNotNull()).groupBy(key, "_nth").agg(pair("l").alias("l"), pair("r").alias("r"))
+            met = numbered.groupBy(key, nth).agg(pair("l").alias("l"), pair("r").alias("r"))
             met = hold(met)
             alone = met.where("l is null or r is null").select(key, F.coalesce("l", "r").alias("p")).select(key, "p.*")
             state.leave(alone, touched, batch_id)

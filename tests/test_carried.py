@@ -379,3 +379,21 @@ def test_carried_rows_look_at_rows_in_their_reach_only(spark, monkeypatch):
     args = ("tx", ("pt", "rt"), (l.delay, r.delay), ("-10 seconds", "10 seconds"), join, "near")
     carried.joined(l.stream(), r.stream(), *args, "l", "r_")
     assert len(seen) == 4 and max(seen) <= 40
+
+
+def test_pairs_are_numbered_in_one_walk(spark, monkeypatch):
+    """Both sides of a key go through one window, keys that are null through none; what is carried is looked up once per micro-batch."""
+    walks, real = [], carried.sequence
+
+    def walked(rows, keys, order):
+        walks.append((keys, rows.where("k is null").count()))
+        return real(rows, keys, order)
+
+    monkeypatch.setattr(carried, "sequence", walked)
+    rows = [(i, None if i % 5 == 0 else "ab"[i % 2], i, None, "lr"[i // 7 % 2]) for i in range(40)]
+    tagged = lambda df: df.select("k", "n", F.col("kind").alias("side"))
+    got = carried.match_pairs(tagged(arrivals(spark, rows)), "k", "n")
+    batch = tagged(make(spark, rows))
+    left, right = (batch.where(F.col("side") == s).select("k", F.col("n").alias(c)) for s, c in (("l", "ln"), ("r", "rn")))
+    assert rows_of(got, "k", "left_n", "right_n") == rows_of(joins.match_join(left, right, "k", "ln", "rn"), "k", "ln", "rn")
+    assert walks == [(["k"], 0)] * 4
